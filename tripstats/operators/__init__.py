@@ -13,7 +13,7 @@ from .sample import (
     sample_rank,
     with_sample_sizes,
 )
-from .sketch import SketchParams, cms_cells, cms_estimate, cms_merge, cms_native
+from .sketch import SketchParams, cms_cells, cms_cells_from_counts, cms_estimate, cms_merge, cms_native
 
 __all__ = [
     "HALF_OPEN",
@@ -45,6 +45,7 @@ __all__ = [
     "with_sample_sizes",
     "SketchParams",
     "cms_cells",
+    "cms_cells_from_counts",
     "cms_estimate",
     "cms_merge",
     "cms_native",

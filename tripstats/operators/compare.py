@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .group_count import exact_counts, order_result, scaled_counts, top_k
 from .sample import Sample
-from .sketch import SketchParams, cms_cells, cms_estimate
+from .sketch import SketchParams, cms_cells, cms_cells_from_counts, cms_estimate
 
 CMS_COL = "cms_estimated_count"
 # A sample's group counts have at most ``sample.size`` rows; they are
@@ -60,9 +60,14 @@ class GroupCountQuery:
         return self.domain(df) if self.sketch_filtered else self.prepared(df)
 
 
+def exact_all(q: GroupCountQuery, table: DataFrame) -> DataFrame:
+    """Exact counts of every group of the domain."""
+    return exact_counts(q.domain(table), q.keys, q.exact_col)
+
+
 def exact_side(q: GroupCountQuery, table: DataFrame) -> DataFrame:
     """Exact counts of the domain, cut to the top groups when ``q.top``."""
-    counts = exact_counts(q.domain(table), q.keys, q.exact_col)
+    counts = exact_all(q, table)
     return top_k(counts, q.exact_col, q.keys, q.top) if q.top is not None else counts
 
 
@@ -78,21 +83,35 @@ def sample_top(q: GroupCountQuery, sample: Sample, k: int | None = None) -> Data
 
 
 def sketch_cells_for(
-    q: GroupCountQuery, table: DataFrame, params: SketchParams, pre_group: bool = False
+    q: GroupCountQuery, table: DataFrame, params: SketchParams, mode: str = "grouped"
 ) -> DataFrame:
-    return cms_cells(q.sketch_domain(table), q.keys, params, pre_group=pre_group)
+    """Cell table of the query's sketch domain.
+
+    ``mode="rows"`` hashes row by row (task state bounded by the sketch
+    size); ``mode="grouped"`` hashes each distinct key once -- from the exact
+    group counts when the sketch domain is the query domain (Spark reuses
+    that aggregate's exchange), else after a pre-aggregation by key.  Both
+    give the same cells.
+    """
+    if mode == "rows":
+        return cms_cells(q.sketch_domain(table), q.keys, params)
+    if mode != "grouped":
+        raise ValueError(f"unknown sketch mode {mode!r}")
+    if q.sketch_filtered:
+        return cms_cells_from_counts(exact_all(q, table), q.keys, q.exact_col, params)
+    return cms_cells(q.sketch_domain(table), q.keys, params, pre_group=True)
 
 
 def cms_side(
     q: GroupCountQuery,
     table: DataFrame,
     params: SketchParams,
-    pre_group: bool = False,
+    mode: str = "grouped",
     exact: DataFrame | None = None,
 ) -> DataFrame:
     """Sketch estimates for the keys of the exact side (its top keys)."""
     exact = exact if exact is not None else exact_side(q, table)
-    cells = sketch_cells_for(q, table, params, pre_group)
+    cells = sketch_cells_for(q, table, params, mode)
     return cms_estimate(exact, q.keys, cells, params, CMS_COL)
 
 
@@ -110,7 +129,7 @@ def comparison(
     table: DataFrame,
     sample: Sample,
     params: SketchParams = SketchParams(),
-    pre_group: bool = False,
+    mode: str = "grouped",
 ) -> DataFrame:
     """``keys, exact, sampled, cms_estimated_count`` for the exact top groups.
 
@@ -119,7 +138,7 @@ def comparison(
     keys, so a group missing from the sample has a null sampled count.
     """
     exact = exact_side(q, table)
-    with_cms = cms_side(q, table, params, pre_group, exact=exact)
+    with_cms = cms_side(q, table, params, mode, exact=exact)
     sampled = sample_side(q, sample)
     if sample.size <= MAX_BROADCAST_SAMPLE_GROUPS:
         sampled = F.broadcast(sampled)

@@ -6,12 +6,16 @@ identifying key (with a seed prefix), and the sample is the ``k`` rows of
 smallest rank -- a bottom-k sample, uniform without replacement, with the same
 output distribution as a reservoir sample.
 
-Scale: one aggregate pass over the key columns counts the population and, at
-the same time, how many rows fall under each of a ladder of thresholds
-``2**60 / 2**i``.  The finest threshold that still keeps ``>= k`` rows is used
-as a pre-filter, so at most about ``2k`` rows reach the final top-k merge no
-matter how big the table is.  The result is exact -- no fallback and no
-probabilistic cut.
+Scale: a plain ``orderBy(rank).limit(k)`` lets every task send its best ``k``
+rows to the one task that merges them -- ``tasks * k`` rows, too many on a
+large cluster.  So rows are first pre-filtered to ``rank < T`` where ``T`` is
+chosen from the population size ``N`` so that about ``k + 8 sqrt(k) + 64``
+rows pass (at least ``k`` except with probability below 1e-15); only those
+reach the final top-k merge.  The sample is then written once to the shared
+checkpoint folder and its row count checked: if fewer than ``min(k, N)`` rows
+passed, the pass is redone without the pre-filter, so the result is always
+exact.  The written sample also cuts the lineage -- later queries read ``k``
+rows, not the plan that chose them.
 """
 
 from __future__ import annotations
@@ -26,11 +30,10 @@ from pyspark.sql import functions as F
 from ..functions.hashing import RANK_BITS, RANK_SPACE, rank_hash
 from ..functions.keys import ColumnLike, key_text, seeded
 from ..schemas import DEFAULT_SAMPLE_SEED
+from ..session import fresh_path
 
 _RANK = "_tripstats_rank"
 _TIE = "_tripstats_tie"
-# Ladder depth: thresholds down to 2**60 / 2**50, enough for 10**15 rows.
-_LADDER = 50
 
 
 @dataclass(frozen=True)
@@ -57,35 +60,56 @@ def _with_rank(df: DataFrame, key_cols: Sequence[ColumnLike], seed: int) -> Data
     return df.withColumn(_RANK, rank_hash(text)).withColumn(_TIE, text)
 
 
+def prefilter_threshold(size: int, population: int) -> int:
+    """Rank threshold that keeps ``size`` rows out of ``population`` with a
+    margin of 8 standard deviations (``RANK_SPACE``: keep everything)."""
+    if population <= 0 or size >= population:
+        return RANK_SPACE
+    expected = size + 8.0 * math.sqrt(size) + 64.0
+    if expected >= population:
+        return RANK_SPACE
+    return int(math.ceil(expected / population * float(RANK_SPACE)))
+
+
+def _bottom(ranked: DataFrame, size: int, threshold: int) -> DataFrame:
+    kept = ranked if threshold >= RANK_SPACE else ranked.where(F.col(_RANK) < F.lit(threshold))
+    return kept.orderBy(_RANK, _TIE).limit(size).drop(_RANK, _TIE)
+
+
 def sample_bottom_k(
     df: DataFrame,
     k: int,
     key_cols: Sequence[ColumnLike],
     seed: int = DEFAULT_SAMPLE_SEED,
+    path: str | None = None,
+    population: int | None = None,
 ) -> Sample:
-    """The ``min(k, N)`` rows of smallest rank.
+    """The ``min(k, N)`` rows of smallest rank, written to ``path``.
 
     ``key_cols`` must be unique per row (use all columns, or a key plus an
     occurrence number); rows sharing a key share a rank and would enter the
-    sample together.
+    sample together.  ``path`` defaults to a fresh folder under the shared
+    checkpoint folder; ``population`` may be passed when already known (for a
+    plain Parquet scan ``count()`` reads only file footers).
     """
     if k < 0:
         raise ValueError("k must be >= 0")
-    ranked = _with_rank(df, key_cols, seed)
-    ladder = [
-        F.count_if(F.col(_RANK) < F.lit(RANK_SPACE >> i)).alias(f"c{i}") for i in range(1, _LADDER + 1)
-    ]
-    stats = ranked.select(_RANK).agg(F.count(F.lit(1)).alias("n"), *ladder).first()
-    population = int(stats["n"])
+    spark = df.sparkSession
+    if population is None:
+        population = df.count()
     size = min(k, population)
-    threshold = RANK_SPACE
-    for i in range(1, _LADDER + 1):
-        if stats[f"c{i}"] >= size:
-            threshold = RANK_SPACE >> i
-        else:
-            break
-    kept = ranked if threshold == RANK_SPACE else ranked.where(F.col(_RANK) < F.lit(threshold))
-    rows = kept.orderBy(_RANK, _TIE).limit(size).drop(_RANK, _TIE)
+    if path is None:
+        path = fresh_path(spark, "sample")
+    ranked = _with_rank(df, key_cols, seed)
+    threshold = prefilter_threshold(size, population)
+    _bottom(ranked, size, threshold).write.mode("overwrite").parquet(path)
+    rows = spark.read.parquet(path)
+    if threshold < RANK_SPACE and rows.count() < size:
+        # Fewer than ``size`` rows under the threshold (p < 1e-15): redo the
+        # pass over all rows into a new folder.
+        path = fresh_path(spark, "sample")
+        _bottom(ranked, size, RANK_SPACE).write.mode("overwrite").parquet(path)
+        rows = spark.read.parquet(path)
     return Sample(rows=rows, population=population, size=size)
 
 
@@ -136,6 +160,7 @@ __all__ = [
     "Sample",
     "RANK_BITS",
     "bernoulli_threshold",
+    "prefilter_threshold",
     "sample_bernoulli_hash",
     "sample_bernoulli_native",
     "sample_bottom_k",

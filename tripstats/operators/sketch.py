@@ -91,6 +91,30 @@ def cms_cells(
     return exploded.groupBy(*cell).agg(total.cast("bigint").alias("c"))
 
 
+def cms_cells_from_counts(
+    counts: DataFrame,
+    key_cols: Sequence[str],
+    count_col: str,
+    params: SketchParams = SketchParams(),
+) -> DataFrame:
+    """Cell table of a key multiset given as ``(keys..., count)`` rows.
+
+    Each distinct key is hashed once and adds its count to its ``depth``
+    cells -- the same cells as inserting every row.  Used where exact group
+    counts of the same domain are computed anyway: Spark then shares the
+    group-count exchange between the exact answer and the sketch.
+    """
+    text = seeded(key_text(key_cols), params.seed)
+    h1, h2 = digest_pair(text)
+    hashed = counts.select(F.col(count_col).alias("_n"), h1.alias("_h1"), h2.alias("_h2"))
+    exploded = hashed.select("_n", "_h1", "_h2", _rows_index(params.depth).alias("d"))
+    cell = [
+        F.col("d").cast("int").alias("d"),
+        bucket(F.col("_h1"), F.col("_h2"), F.col("d"), params.width).alias("b"),
+    ]
+    return exploded.groupBy(*cell).agg(F.sum("_n").cast("bigint").alias("c"))
+
+
 def cms_merge(*cell_tables: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
     """Merge sketches of the same parameters: cell-wise sum."""
     if not cell_tables:

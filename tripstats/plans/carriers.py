@@ -125,11 +125,17 @@ def table_for(spark: SparkSession, sf_dir: str, q: str) -> DataFrame:
     return lineitem(spark, sf_dir) if QUERY_TABLE[q] == "lineitem" else events(spark, sf_dir)
 
 
-def sample_for(spark: SparkSession, sf_dir: str, q: str) -> Sample:
-    """The sample of carrier ``q`` (Q3: the lineitem sample with its routes)."""
-    if QUERY_TABLE[q] == "events":
-        return events_sample(spark, sf_dir)
-    s = lineitem_sample(spark, sf_dir)
+def sample_for(spark: SparkSession, sf_dir: str, q: str, samples: dict | None = None) -> Sample:
+    """The sample of carrier ``q`` (Q3: the lineitem sample with its routes).
+
+    ``samples`` (table name -> Sample) lets several queries share one drawn
+    sample; missing entries are drawn and added.
+    """
+    samples = {} if samples is None else samples
+    base = QUERY_TABLE[q]
+    if base not in samples:
+        samples[base] = events_sample(spark, sf_dir) if base == "events" else lineitem_sample(spark, sf_dir)
+    s = samples[base]
     if q == "q3":
         return Sample(with_routes(spark, sf_dir, s.rows), s.population, s.size)
     return s

@@ -36,9 +36,7 @@ EVENTS_HI = "2024-01-15"
 
 
 def exact(q: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec = C.CARRIER_QUERIES[q]
-    out = cmp.exact_side(spec, C.table_for(spark, sf_dir, q))
-    return out
+    return cmp.exact_side(C.CARRIER_QUERIES[q], C.table_for(spark, sf_dir, q))
 
 
 def sampled(q: str, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,9 +48,10 @@ def sketched(q: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return cmp.cms_side(spec, C.table_for(spark, sf_dir, q), C.NARROW_CMS)
 
 
-def gold(q: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+def gold(q: str, spark: SparkSession, sf_dir: str, samples: dict | None = None) -> DataFrame:
     spec = C.CARRIER_QUERIES[q]
-    return cmp.comparison(spec, C.table_for(spark, sf_dir, q), C.sample_for(spark, sf_dir, q), C.GOLD_CMS)
+    sample = C.sample_for(spark, sf_dir, q, samples)
+    return cmp.comparison(spec, C.table_for(spark, sf_dir, q), sample, C.GOLD_CMS)
 
 
 def sample_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,16 +59,18 @@ def sample_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples: dict = {}
     parts = [
-        error_metrics(gold(q, spark, sf_dir), spec.name, spec.exact_col, spec.sampled_col)
+        error_metrics(gold(q, spark, sf_dir, samples), spec.name, spec.exact_col, spec.sampled_col)
         for q, spec in C.CARRIER_QUERIES.items()
     ]
     return reduce(DataFrame.unionByName, parts)
 
 
 def gold_metrics_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples: dict = {}
     parts = [
-        per_key_error_metrics(gold(q, spark, sf_dir), spec.name, spec.exact_col, spec.sampled_col)
+        per_key_error_metrics(gold(q, spark, sf_dir, samples), spec.name, spec.exact_col, spec.sampled_col)
         for q, spec in C.CARRIER_QUERIES.items()
     ]
     return reduce(DataFrame.unionByName, parts)
