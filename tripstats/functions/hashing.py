@@ -5,9 +5,10 @@ codegen) and can be written the same way in any SQL engine that has ``md5``,
 which is what lets a sample or a sketch be checked row for row against an
 independent engine.
 
-* :func:`rank_hash` -- a 60-bit unsigned value from the first 15 hex digits;
-  used to order rows for bottom-k sampling and to threshold a Bernoulli
-  sample.
+* :func:`rank_hash` -- the 32-digit lowercase hex digest itself.  Fixed-width
+  lowercase hex sorts as text exactly as the 128-bit number it spells, so
+  ranks are ordered and thresholded as strings, with no base conversion;
+  :func:`rank_threshold` spells a 60-bit threshold as such a prefix.
 * :func:`bucket` -- ``(h1 + d * h2) mod width`` with ``h1``/``h2`` the first two
   32-bit groups of the digest (double hashing, Kirsch & Mitzenmacher 2006),
   the row index ``d`` of a Count-Min sketch (Cormode & Muthukrishnan 2005).
@@ -27,8 +28,16 @@ def hex_digits_to_long(hex_text: Column, start: int, length: int) -> Column:
 
 
 def rank_hash(text: Column) -> Column:
-    """Uniform 60-bit rank in ``[0, 2**60)`` of a text."""
-    return hex_digits_to_long(F.md5(text), 1, 15)
+    """Uniform rank of a text: its md5 digest as 32 lowercase hex digits."""
+    return F.md5(text)
+
+
+def rank_threshold(threshold: int) -> str:
+    """Hex text ``t`` such that ``rank < t`` iff the rank's first 60 bits are
+    ``< threshold`` (``threshold`` in ``[0, 2**60]``)."""
+    if threshold >= RANK_SPACE:
+        return "g"  # above every hex digit: keeps all ranks
+    return format(threshold, "015x")
 
 
 def digest_pair(text: Column) -> tuple[Column, Column]:

@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import RANK_BITS, RANK_SPACE, rank_hash
+from ..functions.hashing import RANK_BITS, RANK_SPACE, rank_hash, rank_threshold
 from ..functions.keys import ColumnLike, key_text, seeded
 from ..schemas import DEFAULT_SAMPLE_SEED
 from ..session import fresh_path
@@ -51,7 +51,7 @@ class Sample:
 
 
 def sample_rank(key_cols: Sequence[ColumnLike], seed: int = DEFAULT_SAMPLE_SEED) -> Column:
-    """The 60-bit rank of a row; ``key_cols`` must identify the row."""
+    """The rank of a row (hex digest text); ``key_cols`` must identify the row."""
     return rank_hash(seeded(key_text(key_cols), seed))
 
 
@@ -72,7 +72,7 @@ def prefilter_threshold(size: int, population: int) -> int:
 
 
 def _bottom(ranked: DataFrame, size: int, threshold: int) -> DataFrame:
-    kept = ranked if threshold >= RANK_SPACE else ranked.where(F.col(_RANK) < F.lit(threshold))
+    kept = ranked if threshold >= RANK_SPACE else ranked.where(F.col(_RANK) < F.lit(rank_threshold(threshold)))
     return kept.orderBy(_RANK, _TIE).limit(size).drop(_RANK, _TIE)
 
 
@@ -133,7 +133,7 @@ def sample_bernoulli_hash(
     population = df.count()
     threshold = bernoulli_threshold(k, population)
     rank = sample_rank(key_cols, seed)
-    rows = df.where(rank < F.lit(threshold))
+    rows = df.where(rank < F.lit(rank_threshold(threshold)))
     size = rows.count()
     return Sample(rows=rows, population=population, size=size)
 

@@ -27,7 +27,7 @@ def _seeded(cols: list[str], seed: int, prefix: str = "") -> str:
 
 
 def _rank(cols: list[str], seed: int) -> str:
-    return f"CAST('0x' || substr(md5({_seeded(cols, seed)}), 1, 15) AS BIGINT)"
+    return f"md5({_seeded(cols, seed)})"
 
 
 def _case_map(col: str, mapping: dict[str, str], default: str) -> str:
@@ -288,9 +288,9 @@ def _events_range(upper_exclusive: bool) -> str:
 
 def _bernoulli() -> str:
     frac = f"least(1.0, {C.EVENTS_SAMPLE_K}::DOUBLE / greatest(1, (SELECT count(*) FROM events))::DOUBLE)"
+    threshold = f"CAST(floor({frac} * {float(RANK_SPACE)!r}) AS BIGINT)"
     return (
-        f"SELECT * FROM events WHERE {_rank(EV_KEY, S)} < "
-        f"CAST(floor({frac} * {float(RANK_SPACE)!r}) AS BIGINT)"
+        f"SELECT * FROM events WHERE CAST('0x' || substr({_rank(EV_KEY, S)}, 1, 15) AS BIGINT) < {threshold}"
     )
 
 
