@@ -1 +1,5 @@
-"""Structured Streaming forms of the layer steps."""
+"""Structured Streaming form of the ingest + clean steps."""
+
+from .ingest import start_silver_stream
+
+__all__ = ["start_silver_stream"]
