@@ -48,9 +48,9 @@ def sketched(q: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return cmp.cms_side(spec, C.table_for(spark, sf_dir, q), C.NARROW_CMS)
 
 
-def gold(q: str, spark: SparkSession, sf_dir: str, samples: dict | None = None) -> DataFrame:
+def gold(q: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = C.CARRIER_QUERIES[q]
-    sample = C.sample_for(spark, sf_dir, q, samples)
+    sample = C.sample_for(spark, sf_dir, q)
     return cmp.comparison(spec, C.table_for(spark, sf_dir, q), sample, C.GOLD_CMS)
 
 
@@ -59,18 +59,16 @@ def sample_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    samples: dict = {}
     parts = [
-        error_metrics(gold(q, spark, sf_dir, samples), spec.name, spec.exact_col, spec.sampled_col)
+        error_metrics(gold(q, spark, sf_dir), spec.name, spec.exact_col, spec.sampled_col)
         for q, spec in C.CARRIER_QUERIES.items()
     ]
     return reduce(DataFrame.unionByName, parts)
 
 
 def gold_metrics_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    samples: dict = {}
     parts = [
-        per_key_error_metrics(gold(q, spark, sf_dir, samples), spec.name, spec.exact_col, spec.sampled_col)
+        per_key_error_metrics(gold(q, spark, sf_dir), spec.name, spec.exact_col, spec.sampled_col)
         for q, spec in C.CARRIER_QUERIES.items()
     ]
     return reduce(DataFrame.unionByName, parts)
@@ -89,9 +87,9 @@ def sample_bernoulli_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample_materialized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events sample written once with its sizes, and read back."""
+    """The events sample written with its sizes beside it, and read back."""
     path = fresh_path(spark, "events-sample")
-    write_flat(with_sample_sizes(C.events_sample(spark, sf_dir)), path)
+    write_flat(with_sample_sizes(C.stored_sample(spark, sf_dir, "events")), path)
     return spark.read.parquet(path)
 
 
