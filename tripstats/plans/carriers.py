@@ -128,7 +128,7 @@ _SAMPLE_STORE: dict[tuple[str, str, str], Sample] = {}
 
 
 def stored_sample(spark: SparkSession, sf_dir: str, table: str) -> Sample:
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), table)
+    key = (spark.conf.get("spark.app.id", ""), sf_dir.rstrip("/"), table)
     if key not in _SAMPLE_STORE:
         draw = events_sample if table == "events" else lineitem_sample
         _SAMPLE_STORE[key] = draw(spark, sf_dir)

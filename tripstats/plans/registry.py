@@ -16,7 +16,7 @@ from ..operators import compare as cmp
 from ..operators.clean import HALF_OPEN, INCLUSIVE_MIDNIGHT, pickup_range
 from ..operators.errors import error_metrics, per_key_error_metrics
 from ..operators.quality import gate_report, quarantine
-from ..operators.sample import sample_bernoulli_hash, with_sample_sizes
+from ..operators.sample import sample_bernoulli_hash, sample_bernoulli_native, with_sample_sizes
 from ..operators.sketch import cms_cells, cms_merge, cms_native
 from ..schemas import PAYMENT_TYPE_MAP, SILVER_SCHEMA
 from ..session import fresh_path
@@ -86,6 +86,11 @@ def sample_bernoulli_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.rows
 
 
+def sample_bernoulli_native_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spark's own ``sample(fraction, seed)``: size varies, depends on partitioning."""
+    return sample_bernoulli_native(C.events(spark, sf_dir), C.EVENTS_SAMPLE_K, C.SAMPLE_SEED).rows
+
+
 def sample_materialized(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events sample written with its sizes beside it, and read back."""
     path = fresh_path(spark, "events-sample")
@@ -212,6 +217,7 @@ def queries() -> dict[str, QueryFn]:
             "gold_metrics_per_key": gold_metrics_per_key,
             "sample_bottom_k": sample_bottom_k_q,
             "sample_bernoulli_hash": sample_bernoulli_q,
+            "sample_bernoulli_native": sample_bernoulli_native_q,
             "sample_materialized": sample_materialized,
             "cms_build_cells": cms_build_cells,
             "cms_build_native": cms_build_native,

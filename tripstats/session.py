@@ -73,8 +73,10 @@ def checkpoint_root(spark: SparkSession) -> str:
             root = None
     if not root:
         root = tempfile.mkdtemp(prefix="tripstats-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext.getCheckpointDir() or root
+        try:
+            spark.sparkContext.setCheckpointDir(root)
+        except Exception:  # Spark Connect: no SparkContext; the folder is still used
+            pass
     return root.rstrip("/")
 
 
