@@ -9,9 +9,10 @@ independent engine.
   lowercase hex sorts as text exactly as the 128-bit number it spells, so
   ranks are ordered and thresholded as strings, with no base conversion;
   :func:`rank_threshold` spells a 60-bit threshold as such a prefix.
-* :func:`bucket` -- ``(h1 + d * h2) mod width`` with ``h1``/``h2`` the first two
-  32-bit groups of the digest (double hashing, Kirsch & Mitzenmacher 2006),
-  the row index ``d`` of a Count-Min sketch (Cormode & Muthukrishnan 2005).
+* :func:`bucket` -- ``(h1 + d * h2) mod width`` for row ``d`` of a Count-Min
+  sketch (Cormode & Muthukrishnan 2005) by double hashing (Kirsch &
+  Mitzenmacher 2006).  ``h1``/``h2`` are the upper 32 and lower 28 bits of
+  the digest's first 60 bits -- one base conversion per key.
 """
 
 from __future__ import annotations
@@ -40,10 +41,22 @@ def rank_threshold(threshold: int) -> str:
     return format(threshold, "015x")
 
 
+H2_BITS = 28
+
+
+def digest_bits(text: Column) -> Column:
+    """The first 60 bits of the md5 digest of ``text`` as a bigint."""
+    return hex_digits_to_long(F.md5(text), 1, 15)
+
+
+def split_bits(bits: Column) -> tuple[Column, Column]:
+    """``(h1, h2)`` from 60 digest bits: upper 32 bits, lower 28 bits."""
+    return F.shiftright(bits, H2_BITS), bits.bitwiseAND(F.lit((1 << H2_BITS) - 1))
+
+
 def digest_pair(text: Column) -> tuple[Column, Column]:
-    """``(h1, h2)``: two independent 32-bit values of one digest."""
-    digest = F.md5(text)
-    return hex_digits_to_long(digest, 1, 8), hex_digits_to_long(digest, 9, 8)
+    """``(h1, h2)``: two independent values of one digest (32 and 28 bits)."""
+    return split_bits(digest_bits(text))
 
 
 def bucket(h1: Column, h2: Column, row: Column, width: int) -> Column:

@@ -130,19 +130,17 @@ def sample_topk_sql() -> str:
 def _cells_sql(dom: str, keys: list[str], width: int, depth: int, seed: int, extra_cols: str = "") -> str:
     return (
         f"SELECT {extra_cols}r.d AS d, "
-        f"CAST((CAST('0x' || substr(m, 1, 8) AS BIGINT) + r.d * CAST('0x' || substr(m, 9, 8) AS BIGINT)) % {width} AS INTEGER) AS b, "
+        f"CAST(((h >> 28) + r.d * (h & 268435455)) % {width} AS INTEGER) AS b, "
         f"count(*) AS c "
-        f"FROM (SELECT {extra_cols}md5({_seeded(keys, seed)}) AS m FROM ({dom})) "
+        f"FROM (SELECT {extra_cols}CAST('0x' || substr(md5({_seeded(keys, seed)}), 1, 15) AS BIGINT) AS h FROM ({dom})) "
         f"CROSS JOIN (SELECT CAST(range AS INTEGER) AS d FROM range({depth})) r "
         f"GROUP BY ALL"
     )
 
 
 def _estimate_sql(exact: str, keys: list[str], exact_col: str, cells: str, width: int, depth: int, seed: int) -> str:
-    m = f"md5({_seeded(keys, seed, 'ex.')})"
-    bucket = (
-        f"CAST((CAST('0x' || substr({m}, 1, 8) AS BIGINT) + r.d * CAST('0x' || substr({m}, 9, 8) AS BIGINT)) % {width} AS INTEGER)"
-    )
+    h = f"CAST('0x' || substr(md5({_seeded(keys, seed, 'ex.')}), 1, 15) AS BIGINT)"
+    bucket = f"CAST((({h} >> 28) + r.d * ({h} & 268435455)) % {width} AS INTEGER)"
     ks = ", ".join(f"pr.{k}" for k in keys)
     return (
         f"WITH ex AS ({exact}), cells AS ({cells}), "
