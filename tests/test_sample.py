@@ -93,3 +93,25 @@ def test_scaled_counts_sum_close_to_population(spark):
     s = C.lineitem_sample(spark, SF_SMALL)
     total = s.rows.groupBy("l_suppkey").count().agg(F.sum("count")).first()[0]
     assert total == s.size
+
+
+def test_xxhash_rank_properties(spark):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    n = ev.count()
+    a = sample_bottom_k(ev.repartition(3), 120, ["event_id"], method="xxhash64")
+    b = sample_bottom_k(ev.repartition(6, "user_id"), 120, ["event_id"], method="xxhash64")
+    assert a.size == 120 and _ids(a.rows) == _ids(b.rows)
+    forced = sample_bottom_k(ev, 120, ["event_id"], method="xxhash64", population=n * 1000)
+    assert _ids(forced.rows) == _ids(a.rows)
+    md5 = sample_bottom_k(ev, 120, ["event_id"])
+    assert _ids(md5.rows) != _ids(a.rows)
+
+
+def test_xxhash_rank_null_keys_stay_apart(spark):
+    df = spark.createDataFrame([("a", None), (None, "a")], "x string, y string")
+    s = sample_bottom_k(df, 1, ["x", "y"], method="xxhash64")
+    assert s.rows.count() == 1
+    from tripstats.operators.sample import _with_rank
+
+    ranks = [r["_tripstats_rank"] for r in _with_rank(df, ["x", "y"], 1, "xxhash64").collect()]
+    assert ranks[0] != ranks[1]

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import RANK_BITS, RANK_SPACE, rank_hash, rank_threshold
-from ..functions.keys import ColumnLike, key_text, seeded
+from ..functions.keys import ColumnLike, as_column, key_text, seeded
 from ..schemas import DEFAULT_SAMPLE_SEED
 from ..session import fresh_path
 
@@ -55,9 +55,35 @@ def sample_rank(key_cols: Sequence[ColumnLike], seed: int = DEFAULT_SAMPLE_SEED)
     return rank_hash(seeded(key_text(key_cols), seed))
 
 
-def _with_rank(df: DataFrame, key_cols: Sequence[ColumnLike], seed: int) -> DataFrame:
-    text = seeded(key_text(key_cols), seed)
-    return df.withColumn(_RANK, rank_hash(text)).withColumn(_TIE, text)
+RANK_METHODS = ("md5", "xxhash64")
+
+
+def _with_rank(df: DataFrame, key_cols: Sequence[ColumnLike], seed: int, method: str = "md5") -> DataFrame:
+    """Add the rank and a tie-breaker.
+
+    ``md5``: the digest of the key text (portable: any SQL engine with md5
+    reproduces it).  ``xxhash64``: Spark's 64-bit hash of the key values with
+    the seed and null flags mixed in -- no text is built, an order of
+    magnitude cheaper per row, Spark-only; ties are broken by a second hash.
+    """
+    if method == "md5":
+        text = seeded(key_text(key_cols), seed)
+        return df.withColumn(_RANK, rank_hash(text)).withColumn(_TIE, text)
+    if method == "xxhash64":
+        cols = [as_column(c) for c in key_cols]
+        flags = [c.isNull() for c in cols]
+        return df.withColumn(_RANK, F.xxhash64(F.lit(seed), *cols, *flags)).withColumn(
+            _TIE, F.xxhash64(F.lit(~seed), *cols, *flags)
+        )
+    raise ValueError(f"unknown rank method {method!r}; use one of {RANK_METHODS}")
+
+
+def _rank_filter(threshold: int, method: str) -> Column:
+    """``rank < threshold`` with ``threshold`` given in the 60-bit space."""
+    if method == "md5":
+        return F.col(_RANK) < F.lit(rank_threshold(threshold))
+    # xxhash64 ranks span the signed 64-bit range
+    return F.col(_RANK) < F.lit(-(1 << 63) + (threshold << 4))
 
 
 def prefilter_threshold(size: int, population: int) -> int:
@@ -71,8 +97,8 @@ def prefilter_threshold(size: int, population: int) -> int:
     return int(math.ceil(expected / population * float(RANK_SPACE)))
 
 
-def _bottom(ranked: DataFrame, size: int, threshold: int) -> DataFrame:
-    kept = ranked if threshold >= RANK_SPACE else ranked.where(F.col(_RANK) < F.lit(rank_threshold(threshold)))
+def _bottom(ranked: DataFrame, size: int, threshold: int, method: str = "md5") -> DataFrame:
+    kept = ranked if threshold >= RANK_SPACE else ranked.where(_rank_filter(threshold, method))
     return kept.orderBy(_RANK, _TIE).limit(size).drop(_RANK, _TIE)
 
 
@@ -83,6 +109,7 @@ def sample_bottom_k(
     seed: int = DEFAULT_SAMPLE_SEED,
     path: str | None = None,
     population: int | None = None,
+    method: str = "md5",
 ) -> Sample:
     """The ``min(k, N)`` rows of smallest rank, written to ``path``.
 
@@ -90,7 +117,8 @@ def sample_bottom_k(
     occurrence number); rows sharing a key share a rank and would enter the
     sample together.  ``path`` defaults to a fresh folder under the shared
     checkpoint folder; ``population`` may be passed when already known (for a
-    plain Parquet scan ``count()`` reads only file footers).
+    plain Parquet scan ``count()`` reads only file footers).  ``method``
+    chooses the rank hash (see :func:`_with_rank`).
     """
     if k < 0:
         raise ValueError("k must be >= 0")
@@ -100,15 +128,15 @@ def sample_bottom_k(
     size = min(k, population)
     if path is None:
         path = fresh_path(spark, "sample")
-    ranked = _with_rank(df, key_cols, seed)
+    ranked = _with_rank(df, key_cols, seed, method)
     threshold = prefilter_threshold(size, population)
-    _bottom(ranked, size, threshold).write.mode("overwrite").parquet(path)
+    _bottom(ranked, size, threshold, method).write.mode("overwrite").parquet(path)
     rows = spark.read.parquet(path)
     if threshold < RANK_SPACE and rows.count() < size:
         # Fewer than ``size`` rows under the threshold (p < 1e-15): redo the
         # pass over all rows into a new folder.
         path = fresh_path(spark, "sample")
-        _bottom(ranked, size, RANK_SPACE).write.mode("overwrite").parquet(path)
+        _bottom(ranked, size, RANK_SPACE, method).write.mode("overwrite").parquet(path)
         rows = spark.read.parquet(path)
     return Sample(rows=rows, population=population, size=size)
 

@@ -127,10 +127,16 @@ def build_sample(
     k: int = DEFAULT_SAMPLE_SIZE,
     seed: int = DEFAULT_SAMPLE_SEED,
     identity: Sequence[str] = SAMPLE_IDENTITY,
+    rank_method: str = "xxhash64",
 ) -> Sample:
-    """Bottom-k sample of silver, stored with its population and size."""
+    """Bottom-k sample of silver, stored with its population and size.
+
+    The rank is ``xxhash64`` of the identity columns by default (no text is
+    built per row -- the cheap choice for the largest table); ``md5`` gives a
+    sample that other SQL engines can reproduce row for row.
+    """
     silver = read_silver(spark, silver_path)
-    drawn = sample_bottom_k(silver, k, identity, seed, path=f"{sample_path}_rows")
+    drawn = sample_bottom_k(silver, k, identity, seed, path=f"{sample_path}_rows", method=rank_method)
     write_flat(with_sample_sizes(drawn), sample_path)
     return read_sample(spark, sample_path)
 
