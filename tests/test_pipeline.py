@@ -68,3 +68,27 @@ def test_stream_ingest_is_incremental(spark, tmp_dir):
     from tripstats.operators.clean import clean_trips
     expected = clean_trips(spark.read.schema(raw_all.schema).option("header", "true").csv(raw_dir + "/batch=0"), **kw)
     assert first == expected.count()
+
+
+def test_sample_of_many_copies_is_proportional(spark, tmp_dir):
+    """A third of silver is one repeated trip; the sample keeps ~a third of copies."""
+    from tripstats.plans.pipeline import build_sample
+    from tripstats.sources.layers import write_partitioned
+
+    silver = T.carrier_silver(spark, SF_SMALL)
+    n = silver.count()
+    copy = silver.limit(1)
+    rep = copy.select("*", F.explode(F.sequence(F.lit(1), F.lit(n // 2))).alias("_i")).drop("_i")
+    path = tmp_dir + "/silver"
+    write_partitioned(silver.unionByName(rep), path)
+    s = build_sample(spark, path, tmp_dir + "/sample", k=600)
+    first = copy.first()
+    same = s.rows.where(
+        (F.col("tpep_pickup_datetime") == first["tpep_pickup_datetime"])
+        & (F.col("PULocationID") == first["PULocationID"])
+        & (F.col("DOLocationID") == first["DOLocationID"])
+        & (F.col("fare_amount") == first["fare_amount"])
+    ).count()
+    share = (n // 2 + 1) / (n + n // 2)
+    assert s.size == 600
+    assert abs(same / 600 - share) < 0.1

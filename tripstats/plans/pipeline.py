@@ -41,9 +41,12 @@ from ..sources.csv_source import read_raw_csv
 from ..sources.layers import file_count, read_layer, write_flat, write_partitioned
 from .taxi import TAXI_QUERIES
 
-# Row identity used to rank silver rows for the sample: the raw columns.
-# Identical duplicate rows share a rank (use ``dedup=True`` to drop them).
-SAMPLE_IDENTITY = tuple(RAW_TRIP_SCHEMA.fieldNames())
+# Row identity used to rank silver rows for the sample: the row's place in
+# the layer (file and row index within the file).  It is unique even when a
+# third of all rows are identical copies -- ranking by content would give all
+# copies one rank, so they would enter the sample all together or not at all
+# -- and it does not depend on how Spark splits the files into tasks.
+SAMPLE_IDENTITY = ("_metadata.file_path", "_metadata.row_index")
 
 
 @dataclass
