@@ -36,6 +36,8 @@ class GroupCountQuery:
     * ``top``: keep the ``top`` largest exact groups (ties by key); ``None``
       keeps all groups.
     * ``order``: ``"count"`` or ``"key"`` for the output order.
+    * ``weight``: the table's rows are pre-aggregated and this column holds
+      how many original rows each stands for (counts become sums).
     """
 
     name: str
@@ -47,6 +49,7 @@ class GroupCountQuery:
     sketch_filtered: bool = True
     top: int | None = None
     order: str = "count"
+    weight: str | None = None
     description: str = field(default="", compare=False)
 
     def prepared(self, df: DataFrame) -> DataFrame:
@@ -62,7 +65,7 @@ class GroupCountQuery:
 
 def exact_all(q: GroupCountQuery, table: DataFrame) -> DataFrame:
     """Exact counts of every group of the domain."""
-    return exact_counts(q.domain(table), q.keys, q.exact_col)
+    return exact_counts(q.domain(table), q.keys, q.exact_col, q.weight)
 
 
 def exact_side(q: GroupCountQuery, table: DataFrame) -> DataFrame:
@@ -73,7 +76,7 @@ def exact_side(q: GroupCountQuery, table: DataFrame) -> DataFrame:
 
 def sample_side(q: GroupCountQuery, sample: Sample) -> DataFrame:
     """Scaled counts of the sample's domain (all groups)."""
-    return scaled_counts(q.domain(sample.rows), q.keys, sample.factor, q.sampled_col)
+    return scaled_counts(q.domain(sample.rows), q.keys, sample.factor, q.sampled_col, q.weight)
 
 
 def sample_top(q: GroupCountQuery, sample: Sample, k: int | None = None) -> DataFrame:
@@ -94,12 +97,12 @@ def sketch_cells_for(
     give the same cells.
     """
     if mode == "rows":
-        return cms_cells(q.sketch_domain(table), q.keys, params)
+        return cms_cells(q.sketch_domain(table), q.keys, params, weight=q.weight)
     if mode != "grouped":
         raise ValueError(f"unknown sketch mode {mode!r}")
     if q.sketch_filtered:
         return cms_cells_from_counts(exact_all(q, table), q.keys, q.exact_col, params)
-    return cms_cells(q.sketch_domain(table), q.keys, params, pre_group=True)
+    return cms_cells(q.sketch_domain(table), q.keys, params, pre_group=True, weight=q.weight)
 
 
 def cms_side(

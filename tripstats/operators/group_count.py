@@ -13,22 +13,34 @@ def key_order(keys: Sequence[str]) -> list[Column]:
     return [F.asc_nulls_last(k) for k in keys]
 
 
-def exact_counts(df: DataFrame, keys: Sequence[str], count_col: str) -> DataFrame:
-    """``count(*)`` per group.
+def row_total(weight: str | None = None) -> Column:
+    """``count(*)``, or ``sum(weight)`` for pre-aggregated rows that each
+    stand for ``weight`` original rows."""
+    return F.count(F.lit(1)) if weight is None else F.sum(weight).cast("bigint")
+
+
+def exact_counts(
+    df: DataFrame, keys: Sequence[str], count_col: str, weight: str | None = None
+) -> DataFrame:
+    """``count(*)`` per group (``sum(weight)`` for weighted rows).
 
     Planned as partial hash aggregate -> exchange on the keys -> final
     aggregate, so a hot key is collapsed to one row per task before the
     shuffle and cannot skew it.
     """
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col))
+    return df.groupBy(*keys).agg(row_total(weight).alias(count_col))
 
 
 def scaled_counts(
-    sample_rows: DataFrame, keys: Sequence[str], factor: float, count_col: str
+    sample_rows: DataFrame,
+    keys: Sequence[str],
+    factor: float,
+    count_col: str,
+    weight: str | None = None,
 ) -> DataFrame:
     """``round(count(*) * factor)`` per group of a sample (a double, half up)."""
     return sample_rows.groupBy(*keys).agg(
-        F.round(F.count(F.lit(1)) * F.lit(float(factor))).alias(count_col)
+        F.round(row_total(weight) * F.lit(float(factor))).alias(count_col)
     )
 
 

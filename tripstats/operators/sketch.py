@@ -64,6 +64,7 @@ def cms_cells(
     params: SketchParams = SketchParams(),
     pre_group: bool = False,
     group_cols: Sequence[str] = (),
+    weight: str | None = None,
 ) -> DataFrame:
     """Build the cell table ``(group_cols..., d, b, c)`` of the keys of ``df``.
 
@@ -73,12 +74,16 @@ def cms_cells(
     but its first aggregate holds the distinct keys.  The cells are the same.
 
     ``group_cols`` builds one sketch per group (e.g. per month) in one pass.
+    ``weight`` names a column of pre-aggregated rows: a row inserts its key
+    ``weight`` times.
     """
     text = seeded(key_text(key_cols), params.seed).alias("_k")
-    base = df.select(*group_cols, text)
+    weighted = [F.col(weight).cast("bigint").alias("_n")] if weight else []
+    base = df.select(*group_cols, text, *weighted)
     if pre_group:
-        base = base.groupBy(*group_cols, "_k").agg(F.count(F.lit(1)).alias("_n"))
-    carry = ["_n"] if pre_group else []
+        total_n = F.sum("_n") if weight else F.count(F.lit(1))
+        base = base.groupBy(*group_cols, "_k").agg(total_n.alias("_n"))
+    carry = ["_n"] if (pre_group or weight) else []
     bits = base.select(*group_cols, *carry, digest_bits(F.col("_k")).alias("_bits"))
     h1, h2 = split_bits(F.col("_bits"))
     hashed = bits.select(*group_cols, *carry, h1.alias("_h1"), h2.alias("_h2"))
@@ -88,7 +93,7 @@ def cms_cells(
         F.col("d").cast("int").alias("d"),
         bucket(F.col("_h1"), F.col("_h2"), F.col("d"), params.width).alias("b"),
     ]
-    total = F.sum("_n") if pre_group else F.count(F.lit(1))
+    total = F.sum("_n") if carry else F.count(F.lit(1))
     return exploded.groupBy(*cell).agg(total.cast("bigint").alias("c"))
 
 
