@@ -17,8 +17,14 @@ HALF_OPEN = "half_open"  # ``[lo, hi + 1 day)``: the whole last day
 
 
 def parse_timestamp(text: Column) -> Column:
-    """Text -> timestamp; malformed text gives null (never an error)."""
-    return F.try_to_timestamp(text)
+    """Text -> wall-clock timestamp (``timestamp_ntz``); malformed -> null.
+
+    Trip times are local wall-clock times without a zone, so they are kept
+    zone-free: hour and weekday never shift with the session time zone.
+    ``try_cast`` accepts the same text forms as ``to_timestamp`` without a
+    format, and returns null instead of failing under ANSI mode.
+    """
+    return text.try_cast("timestamp_ntz")
 
 
 def pickup_range(ts: Column, lo: str, hi: str, mode: str = INCLUSIVE_MIDNIGHT) -> Column:

@@ -75,9 +75,10 @@ def fault_rows(spark: SparkSession) -> DataFrame:
     rows = spark.createDataFrame(
         list(FAULT_ROWS), "pickup_text string, passenger_count double, PULocationID string"
     )
+    ts = F.col("pickup_text").try_cast("timestamp_ntz")
     return rows.select(
-        F.to_timestamp("pickup_text").alias("pickup_datetime"),
-        F.to_timestamp("pickup_text").alias("dropoff_datetime"),
+        ts.alias("pickup_datetime"),
+        ts.alias("dropoff_datetime"),
         "passenger_count",
         "PULocationID",
         F.lit("1").alias("DOLocationID"),
@@ -87,8 +88,8 @@ def fault_rows(spark: SparkSession) -> DataFrame:
         F.lit(10.0).alias("total_amount"),
         F.lit("1.0").alias("payment_type"),
         F.lit("Credit card").alias("payment_type_desc"),
-        F.year(F.to_timestamp("pickup_text")).alias("year"),
-        F.month(F.to_timestamp("pickup_text")).alias("month"),
+        F.year(ts).alias("year"),
+        F.month(ts).alias("month"),
     )
 
 

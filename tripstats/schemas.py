@@ -33,8 +33,8 @@ RAW_TRIP_SCHEMA = T.StructType(
 # Columns the cleaning step adds; ``year`` and ``month`` are the partition
 # columns of the silver layer.
 SILVER_EXTRA_FIELDS = [
-    T.StructField("pickup_datetime", T.TimestampType(), True),
-    T.StructField("dropoff_datetime", T.TimestampType(), True),
+    T.StructField("pickup_datetime", T.TimestampNTZType(), True),
+    T.StructField("dropoff_datetime", T.TimestampNTZType(), True),
     T.StructField("payment_type_desc", T.StringType(), True),
     T.StructField("year", T.IntegerType(), True),
     T.StructField("month", T.IntegerType(), True),
