@@ -18,15 +18,15 @@ from .conftest import SF_SMALL
 def test_partitioned_roundtrip_and_pruning(spark, tmp_dir):
     silver = T.carrier_silver(spark, SF_SMALL)
     path = tmp_dir + "/silver"
-    write_partitioned(silver, path, files_per_partition=3)
+    write_partitioned(silver, path)
     back = read_layer(spark, path, SILVER_SCHEMA)
     assert back.count() == silver.count()
     got = read_months(spark, path, "1997-02-01", "1997-04-30", SILVER_SCHEMA)
     want = silver.where((F.col("year") == 1997) & F.col("month").between(2, 4))
     assert got.count() == want.count() > 0
-    # at most files_per_partition files per month
+    # small data: AQE coalesces each month into one file
     per_month = back.select("year", "month", F.col("_metadata.file_path").alias("f")).distinct()
-    assert max(r["n"] for r in per_month.groupBy("year", "month").agg(F.count("f").alias("n")).collect()) <= 3
+    assert max(r["n"] for r in per_month.groupBy("year", "month").agg(F.count("f").alias("n")).collect()) == 1
     vol = {(r["year"], r["month"]): r["row_count"] for r in partition_volume(back).collect()}
     assert sum(vol.values()) == silver.count()
     assert file_count(back).first()["file_count"] >= len(vol)
@@ -42,3 +42,21 @@ def test_dynamic_overwrite_replaces_only_given_months(spark, tmp_dir):
     may = back.where((F.col("year") == 1997) & (F.col("month") == 5)).count()
     assert may == 3
     assert back.count() == silver.count() - silver.where((F.col("year") == 1997) & (F.col("month") == 5)).count() + 3
+
+
+def test_hot_month_is_split_over_tasks(spark, tmp_dir):
+    """With a small advisory size, one month holding most rows gets several files."""
+    silver = T.carrier_silver(spark, "/root/testdata/sf0.01")
+    hot = silver.where((F.col("year") == 1997) & (F.col("month") == 5))
+    copies = hot.select("*", F.explode(F.sequence(F.lit(1), F.lit(20))).alias("_i")).drop("_i")
+    skewed = silver.unionByName(copies)
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        write_partitioned(skewed, tmp_dir + "/skewed")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    back = read_layer(spark, tmp_dir + "/skewed", SILVER_SCHEMA)
+    assert back.count() == skewed.count()
+    files = back.where((F.col("year") == 1997) & (F.col("month") == 5)).select("_metadata.file_path").distinct().count()
+    assert files > 1

@@ -19,21 +19,19 @@ def write_partitioned(
     path: str,
     partition_cols: Sequence[str] = ("year", "month"),
     dynamic: bool = False,
-    files_per_partition: int = 8,
 ) -> None:
     """Hive-style ``year=/month=`` layout.
 
-    Rows are clustered by the partition columns plus a deterministic salt
-    (a hash of the whole row, ``files_per_partition`` values), so each month
-    is written by up to that many tasks: few large files per month instead of
-    one small file per task and month, and a month holding a third of all
-    rows is still split over several tasks.  The salt is a pure function of
-    the row, so a retried task writes the same rows.
+    Rows are clustered by the partition columns with a ``REBALANCE`` hint:
+    at run time AQE cuts the shuffle into partitions of about
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` -- a month holding a
+    third of all rows is split over as many tasks as its size needs, small
+    months are coalesced -- so each month gets a few right-sized files
+    instead of one file per input task, and no task writes a whole month.
     With ``dynamic`` only the months present in ``df`` are replaced
     (re-running a single month leaves the others intact).
     """
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
-    clustered = df.repartition(*[F.col(c) for c in partition_cols], salt)
+    clustered = df.hint("rebalance", *partition_cols)
     writer = clustered.write.mode("overwrite").partitionBy(*partition_cols)
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
