@@ -3,8 +3,6 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tripstats.functions.lookup import lookup_join, map_lookup, mapping_frame
 from tripstats.operators.clean import HALF_OPEN, INCLUSIVE_MIDNIGHT, clean_trips

@@ -3,7 +3,6 @@
 import contextlib
 import io
 
-from pyspark.sql import functions as F
 
 from tripstats.operators.clean import clean_trips
 from tripstats.operators.group_count import exact_counts, top_k
