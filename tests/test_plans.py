@@ -54,3 +54,17 @@ def test_no_python_udf_in_hot_paths(spark):
     li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
     p = plan(cms_cells(li, ["l_suppkey"], SketchParams()))
     assert "PythonUDF" not in p and "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+
+
+def test_gold_top_k_stays_take_ordered_after_aqe(spark):
+    """The cut inside the comparison is a per-task top-k, not a global sort."""
+    from tripstats.plans import registry as R
+
+    df = R.gold("q1", spark, SF_SMALL)
+    df.collect()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    final = buf.getvalue().split("== Initial Plan ==")[0]
+    assert "TakeOrderedAndProject" in final
+    assert "rangepartitioning(exact_trip_count" not in final

@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import bucket, digest_bits, split_bits
+from ..functions.hashing import bucket, digest_pair
 from ..functions.keys import ColumnLike, key_part_text, key_text, seeded
 from ..schemas import DEFAULT_CMS_CONFIDENCE, DEFAULT_CMS_EPS, DEFAULT_CMS_SEED
 
@@ -84,9 +84,8 @@ def cms_cells(
         total_n = F.sum("_n") if weight else F.count(F.lit(1))
         base = base.groupBy(*group_cols, "_k").agg(total_n.alias("_n"))
     carry = ["_n"] if (pre_group or weight) else []
-    bits = base.select(*group_cols, *carry, digest_bits(F.col("_k")).alias("_bits"))
-    h1, h2 = split_bits(F.col("_bits"))
-    hashed = bits.select(*group_cols, *carry, h1.alias("_h1"), h2.alias("_h2"))
+    h1, h2 = digest_pair(F.col("_k"))
+    hashed = base.select(*group_cols, *carry, h1.alias("_h1"), h2.alias("_h2"))
     exploded = hashed.select(*group_cols, *carry, "_h1", "_h2", _rows_index(params.depth).alias("d"))
     cell = [
         *group_cols,
@@ -110,10 +109,8 @@ def cms_cells_from_counts(
     counts of the same domain are computed anyway: Spark then shares the
     group-count exchange between the exact answer and the sketch.
     """
-    text = seeded(key_text(key_cols), params.seed)
-    bits = counts.select(F.col(count_col).alias("_n"), digest_bits(text).alias("_bits"))
-    h1, h2 = split_bits(F.col("_bits"))
-    hashed = bits.select("_n", h1.alias("_h1"), h2.alias("_h2"))
+    h1, h2 = digest_pair(seeded(key_text(key_cols), params.seed))
+    hashed = counts.select(F.col(count_col).alias("_n"), h1.alias("_h1"), h2.alias("_h2"))
     exploded = hashed.select("_n", "_h1", "_h2", _rows_index(params.depth).alias("d"))
     cell = [
         F.col("d").cast("int").alias("d"),
@@ -145,9 +142,11 @@ def cms_estimate(
     columns are kept.  A key that was never inserted estimates to 0.
     """
     carry = list(keys_df.columns)
-    bits = keys_df.select(*carry, digest_bits(seeded(key_text(key_cols), params.seed)).alias("_bits"))
-    h1, h2 = split_bits(F.col("_bits"))
-    probes = bits.select(*carry, h1.alias("_h1"), h2.alias("_h2")).select(
+    # One projection for both halves (the digest is computed once per row by
+    # subexpression elimination).  A single projection over a top-k keeps the
+    # ``Limit(Project(Sort))`` shape that Spark plans as TakeOrderedAndProject.
+    h1, h2 = digest_pair(seeded(key_text(key_cols), params.seed))
+    probes = keys_df.select(*carry, h1.alias("_h1"), h2.alias("_h2")).select(
         *carry, "_h1", "_h2", _rows_index(params.depth).alias("_d")
     )
     probes = probes.withColumn("_b", bucket(F.col("_h1"), F.col("_h2"), F.col("_d"), params.width))
