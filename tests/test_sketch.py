@@ -94,3 +94,13 @@ def test_native_sketch_is_binary(spark):
     row = cms_native(li, ["l_quantity"], P).first()
     assert isinstance(row["sketch"], (bytes, bytearray)) and len(row["sketch"]) > 0
     assert row["total_count"] == li.count()
+
+
+def test_negative_zero_is_one_key(spark):
+    df = spark.createDataFrame([(0.0,), (-0.0,), (-0.0,), (1.5,)], "v double")
+    counts = df.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    wide = SketchParams(eps=0.001)
+    for cells in (cms_cells(df, ["v"], wide), cms_cells(df, ["v"], wide, pre_group=True),
+                  cms_cells_from_counts(counts, ["v"], "n", wide)):
+        est = {r["v"]: r["cms_estimated_count"] for r in cms_estimate(counts, ["v"], cells, wide).collect()}
+        assert est[0.0] >= 3 and est[1.5] >= 1

@@ -11,8 +11,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import KEY_DELIMITER, NULL_KEY_TEXT
 
@@ -36,6 +37,20 @@ def key_text(cols: Sequence[ColumnLike], delimiter: str = KEY_DELIMITER) -> Colu
     return F.concat_ws(delimiter, *parts)
 
 
+def value_columns(df: DataFrame, cols: Sequence[ColumnLike]) -> list[Column]:
+    """Key columns of ``df`` as grouping sees them: a floating-point ``-0.0``
+    becomes ``0.0`` (``groupBy`` treats them as one key, their texts differ).
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    out = []
+    for c in cols:
+        col = as_column(c)
+        if isinstance(c, str) and isinstance(types.get(c), (T.DoubleType, T.FloatType)):
+            col = F.when(col == 0.0, F.lit(0.0).cast(types[c])).otherwise(col)
+        out.append(col)
+    return out
+
+
 def seeded(text: Column, seed: int) -> Column:
     """Prefix a key text with ``<seed>:`` so that each seed gives new hashes."""
     return F.concat(F.lit(f"{seed}:"), text)

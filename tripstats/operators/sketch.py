@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import bucket, digest_pair
-from ..functions.keys import ColumnLike, key_part_text, key_text, seeded
+from ..functions.keys import ColumnLike, as_column, key_part_text, key_text, seeded, value_columns
 from ..schemas import DEFAULT_CMS_CONFIDENCE, DEFAULT_CMS_EPS, DEFAULT_CMS_SEED
 
 # Largest cell table (rows) that is broadcast to the estimate join; 4 M rows
@@ -77,12 +77,19 @@ def cms_cells(
     ``weight`` names a column of pre-aggregated rows: a row inserts its key
     ``weight`` times.
     """
-    text = seeded(key_text(key_cols), params.seed).alias("_k")
     weighted = [F.col(weight).cast("bigint").alias("_n")] if weight else []
-    base = df.select(*group_cols, text, *weighted)
     if pre_group:
-        total_n = F.sum("_n") if weight else F.count(F.lit(1))
-        base = base.groupBy(*group_cols, "_k").agg(total_n.alias("_n"))
+        # Group on the key values themselves (no per-row text), then build
+        # the key text once per distinct key.
+        parts = [as_column(c).alias(f"_g{i}") for i, c in enumerate(key_cols)]
+        total_n = F.sum(F.col(weight)) if weight else F.count(F.lit(1))
+        grouped = df.groupBy(*group_cols, *parts).agg(total_n.cast("bigint").alias("_n"))
+        names = [f"_g{i}" for i in range(len(parts))]
+        text = seeded(key_text(value_columns(grouped, names)), params.seed)
+        base = grouped.select(*group_cols, "_n", text.alias("_k"))
+    else:
+        text = seeded(key_text(value_columns(df, key_cols)), params.seed).alias("_k")
+        base = df.select(*group_cols, text, *weighted)
     carry = ["_n"] if (pre_group or weight) else []
     h1, h2 = digest_pair(F.col("_k"))
     hashed = base.select(*group_cols, *carry, h1.alias("_h1"), h2.alias("_h2"))
@@ -109,7 +116,7 @@ def cms_cells_from_counts(
     counts of the same domain are computed anyway: Spark then shares the
     group-count exchange between the exact answer and the sketch.
     """
-    h1, h2 = digest_pair(seeded(key_text(key_cols), params.seed))
+    h1, h2 = digest_pair(seeded(key_text(value_columns(counts, key_cols)), params.seed))
     hashed = counts.select(F.col(count_col).alias("_n"), h1.alias("_h1"), h2.alias("_h2"))
     exploded = hashed.select("_n", "_h1", "_h2", _rows_index(params.depth).alias("d"))
     cell = [
@@ -145,7 +152,7 @@ def cms_estimate(
     # One projection for both halves (the digest is computed once per row by
     # subexpression elimination).  A single projection over a top-k keeps the
     # ``Limit(Project(Sort))`` shape that Spark plans as TakeOrderedAndProject.
-    h1, h2 = digest_pair(seeded(key_text(key_cols), params.seed))
+    h1, h2 = digest_pair(seeded(key_text(value_columns(keys_df, key_cols)), params.seed))
     probes = keys_df.select(*carry, h1.alias("_h1"), h2.alias("_h2")).select(
         *carry, "_h1", "_h2", _rows_index(params.depth).alias("_d")
     )
