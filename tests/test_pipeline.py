@@ -92,3 +92,29 @@ def test_sample_of_many_copies_is_proportional(spark, tmp_dir):
     share = (n // 2 + 1) / (n + n // 2)
     assert s.size == 600
     assert abs(same / 600 - share) < 0.1
+
+
+def test_cli_stages(spark, tmp_dir):
+    """The four stages as separate jobs, as they would be submitted."""
+    import json
+
+    from tripstats import cli
+
+    raw = _raw_csv(spark, os.path.join(tmp_dir, "raw"))
+    d = {k: os.path.join(tmp_dir, k) for k in ("bronze", "silver", "sample", "report", "gold")}
+    window = ["--date-lo", T.CARRIER_DATE_LO, "--date-hi", T.CARRIER_DATE_HI]
+    assert cli.main(["ingest", "--raw", raw, "--bronze", d["bronze"]], spark=spark) == 0
+    assert cli.main(["clean", "--bronze", d["bronze"], "--silver", d["silver"], "--sample", d["sample"],
+                     "--sample-size", "300", *window], spark=spark) == 0
+    assert cli.main(["validate", "--silver", d["silver"], "--report", d["report"]], spark=spark) == 0
+    assert cli.main(["analytics", "--silver", d["silver"], "--sample", d["sample"], "--gold", d["gold"],
+                     "--eps", "0.05", "--no-times"], spark=spark) == 0
+    metrics = [json.loads(line) for f in os.listdir(d["gold"] + "/metrics") if f.endswith(".json")
+               for line in open(os.path.join(d["gold"], "metrics", f))]
+    assert len(metrics) == 6
+    # a failing gate exits non-zero
+    bad = T.with_faults(read_silver(spark, d["silver"]), T.fault_rows(spark))
+    from tripstats.sources.layers import write_partitioned
+
+    write_partitioned(bad, d["silver"] + "_bad")
+    assert cli.main(["validate", "--silver", d["silver"] + "_bad", "--report", d["report"] + "_bad"], spark=spark) == 2

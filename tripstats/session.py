@@ -37,18 +37,25 @@ def build_session(
 ) -> SparkSession:
     """Get or create a session with :data:`BASE_CONF` applied.
 
-    ``master`` and ``shuffle_partitions`` default to ``local[N]`` / ``N`` where
-    ``N`` is ``$BENCH_CPUS`` or the machine's core count; on a cluster pass
-    ``master=None`` through spark-submit and size ``shuffle_partitions`` to the
-    data (about 128-256 MB of shuffle data per partition).
+    Under ``spark-submit`` the submitted master and shuffle-partition count
+    are kept (size ``spark.sql.shuffle.partitions`` to the data, about
+    128-256 MB of shuffle data per partition; AQE coalesces from there).
+    In a plain Python process the session is local: ``master`` defaults to
+    ``local[N]`` and the shuffle partitions to ``N``, where ``N`` is
+    ``$BENCH_CPUS`` or the machine's core count.
     """
     cpus = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 4))
+    submitted = "PYSPARK_GATEWAY_PORT" in os.environ  # launched by spark-submit
     builder = SparkSession.builder.appName(app_name)
-    if master is not None or not os.environ.get("SPARK_MASTER"):
-        builder = builder.master(master or f"local[{cpus}]")
+    if master is None and not submitted:
+        master = f"local[{cpus}]"
+    if master is not None:
+        builder = builder.master(master)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cpus)
-    conf.setdefault("spark.driver.memory", "8g")
+    if shuffle_partitions is not None or not submitted:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cpus)
+    if not submitted:
+        conf.setdefault("spark.driver.memory", "8g")
     if extra_conf:
         conf.update(extra_conf)
     for key, value in conf.items():
