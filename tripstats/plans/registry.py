@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.lookup import lookup_join, map_lookup, mapping_frame
 from ..operators import compare as cmp
-from ..operators.clean import HALF_OPEN, INCLUSIVE_MIDNIGHT, pickup_range
+from ..operators.clean import HALF_OPEN, INCLUSIVE_MIDNIGHT, clean_trips, pickup_range
 from ..operators.errors import error_metrics, per_key_error_metrics
 from ..operators.quality import gate_report, quarantine
 from ..operators.sample import sample_bernoulli_hash, sample_bernoulli_native, with_sample_sizes
@@ -124,8 +124,6 @@ def clean_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = T.lineitem_raw_trips(spark, sf_dir)
-    from ..operators.clean import clean_trips
-
     return clean_trips(
         raw.unionByName(raw), date_lo=T.CARRIER_DATE_LO, date_hi=T.CARRIER_DATE_HI, dedup=True
     )
