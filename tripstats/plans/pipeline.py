@@ -111,8 +111,10 @@ def read_silver(spark: SparkSession, silver_path: str) -> DataFrame:
 
 
 def run_gate(spark: SparkSession, silver_path: str, report_path: str) -> int:
-    """One-pass gate over silver; the report is written, then enforced."""
-    write_flat(gate_report(read_silver(spark, silver_path)).coalesce(1), report_path)
+    """One-pass gate over silver; the report (with the check time and the row
+    count, like a success marker) is written, then enforced."""
+    report = gate_report(read_silver(spark, silver_path)).withColumn("checked_at", F.current_timestamp())
+    write_flat(report.coalesce(1), report_path)
     return enforce_gate(spark.read.parquet(report_path))
 
 
