@@ -114,3 +114,21 @@ def test_csv_swapped_header_fails(spark, tmp_dir):
 def test_empty_location_text_is_null(spark, tmp_dir):
     path = write_csv(tmp_dir, "c.csv", [trip_line(pu="")])
     assert read_raw_csv(spark, path).first()["PULocationID"] is None
+
+
+def test_ingest_counts_malformed_rows(spark, tmp_dir):
+    from tripstats.plans.pipeline import build_silver, ingest, read_silver
+
+    raw = write_csv(tmp_dir + "/raw", "a.csv", [trip_line(), trip_line(passengers="abc"), trip_line(tip="x1"),
+                                                "2,2021-03-04 10:00:00"])
+    rows, bad = ingest(spark, raw, tmp_dir + "/bronze")
+    # unparseable values and the short line are malformed (all columns are parsed)
+    assert (rows, bad) == (4, 3)
+    corrupt = spark.read.parquet(tmp_dir + "/bronze").where("_corrupt_record IS NOT NULL").collect()
+    assert sorted(r["_corrupt_record"] for r in corrupt) == sorted(
+        [trip_line(passengers="abc"), trip_line(tip="x1"), "2,2021-03-04 10:00:00"]
+    )
+    # silver keeps its 24 columns; the malformed tip row has a null tip but valid keys
+    build_silver(spark, tmp_dir + "/bronze", tmp_dir + "/silver")
+    silver = read_silver(spark, tmp_dir + "/silver")
+    assert "_corrupt_record" not in silver.columns and silver.count() == 2

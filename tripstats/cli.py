@@ -97,7 +97,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     out: dict = {"stage": args.stage}
     try:
         if args.stage == "ingest":
-            out["bronze_rows"] = P.ingest(spark, args.raw, args.bronze)
+            out["bronze_rows"], out["malformed_rows"] = P.ingest(spark, args.raw, args.bronze)
         elif args.stage == "clean":
             out["silver_rows"] = P.build_silver(
                 spark, args.bronze, args.silver, args.date_lo, args.date_hi, args.range_mode, args.dedup

@@ -29,6 +29,7 @@ from ..operators.quality import enforce_gate, gate_report, quarantine
 from ..operators.sample import Sample, sample_bottom_k, with_sample_sizes
 from ..operators.sketch import SketchParams
 from ..schemas import (
+    CORRUPT_RECORD_COL,
     DEFAULT_DATE_HI,
     DEFAULT_DATE_LO,
     DEFAULT_SAMPLE_SEED,
@@ -84,10 +85,18 @@ class PipelineResult:
     metrics: list[dict] = field(default_factory=list)
 
 
-def ingest(spark: SparkSession, raw_path: str, bronze_path: str) -> int:
-    """Raw CSV -> bronze Parquet (typed, unchanged rows)."""
-    write_flat(read_raw_csv(spark, raw_path), bronze_path)
-    return spark.read.parquet(bronze_path).count()
+def ingest(spark: SparkSession, raw_path: str, bronze_path: str) -> tuple[int, int]:
+    """Raw CSV -> bronze Parquet (typed, unchanged rows).
+
+    Returns ``(rows, malformed_rows)``: rows whose values did not parse keep
+    their original line in ``_corrupt_record`` and are counted in the same
+    aggregate as the row count (over the written bronze, one pass).
+    """
+    write_flat(read_raw_csv(spark, raw_path, keep_corrupt=True), bronze_path)
+    stats = spark.read.parquet(bronze_path).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col(CORRUPT_RECORD_COL).isNotNull()).alias("bad")
+    ).first()
+    return int(stats["n"]), int(stats["bad"])
 
 
 def build_silver(
@@ -229,7 +238,7 @@ def run_pipeline(
     """
     layout = Layout(out_root.rstrip("/"))
     result = PipelineResult(status="running", layout=layout)
-    result.counts["bronze_rows"] = ingest(spark, raw_path, layout.bronze)
+    result.counts["bronze_rows"], result.counts["malformed_rows"] = ingest(spark, raw_path, layout.bronze)
     result.counts["silver_rows"] = build_silver(
         spark, layout.bronze, layout.silver, date_lo, date_hi, range_mode, dedup
     )

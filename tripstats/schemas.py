@@ -30,6 +30,13 @@ RAW_TRIP_SCHEMA = T.StructType(
     ]
 )
 
+# Bronze keeps, beside the raw columns, the original text of any CSV line
+# whose values did not parse (null for good lines), for audit and counting.
+CORRUPT_RECORD_COL = "_corrupt_record"
+BRONZE_SCHEMA = T.StructType(
+    list(RAW_TRIP_SCHEMA.fields) + [T.StructField(CORRUPT_RECORD_COL, T.StringType(), True)]
+)
+
 # Columns the cleaning step adds; ``year`` and ``month`` are the partition
 # columns of the silver layer.
 SILVER_EXTRA_FIELDS = [

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..schemas import RAW_TRIP_SCHEMA
+from ..schemas import CORRUPT_RECORD_COL, RAW_TRIP_SCHEMA
 
 
 def read_raw_csv(
@@ -13,6 +13,7 @@ def read_raw_csv(
     path: str,
     schema: T.StructType = RAW_TRIP_SCHEMA,
     verify_header: bool = True,
+    keep_corrupt: bool = False,
 ) -> DataFrame:
     """Header CSV (a file or a directory) with an explicit schema.
 
@@ -23,8 +24,16 @@ def read_raw_csv(
     columns in another order would be read into the wrong columns without
     error.  With ``verify_header`` (``enforceSchema=false``) Spark checks each
     file's header against the schema names and fails instead.
+
+    With ``keep_corrupt`` a string column ``_corrupt_record`` holds the
+    original line of every row whose values did not parse (null otherwise),
+    so malformed input can be counted and audited instead of vanishing.
     """
+    if keep_corrupt:
+        schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_RECORD_COL, T.StringType(), True)])
     reader = spark.read.option("header", "true").option("mode", "PERMISSIVE").schema(schema)
+    if keep_corrupt:
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_RECORD_COL)
     if verify_header:
         reader = reader.option("enforceSchema", "false")
     return reader.csv(path)
