@@ -55,19 +55,25 @@ def test_pipeline_stops_on_too_few_files(spark, tmp_dir):
 
 
 def test_stream_ingest_is_incremental(spark, tmp_dir):
+    from tripstats.operators.clean import clean_trips
+
     raw_all = T.lineitem_raw_trips(spark, SF_SMALL)
-    parts = raw_all.randomSplit([0.5, 0.5], seed=7)
+    first_half = raw_all.where(F.col("VendorID") == "A")
+    second_half = raw_all.where(F.col("VendorID") != "A")
     raw_dir, silver_dir, ckpt = (os.path.join(tmp_dir, d) for d in ("raw", "silver", "ckpt"))
     kw = dict(date_lo=T.CARRIER_DATE_LO, date_hi=T.CARRIER_DATE_HI)
-    parts[0].coalesce(1).write.option("header", "true").csv(os.path.join(raw_dir, "batch=0"))
-    start_silver_stream(spark, raw_dir + "/batch=0", silver_dir, ckpt, **kw).awaitTermination()
+    first_half.coalesce(1).write.option("header", "true").csv(os.path.join(raw_dir, "part1"))
+    src = raw_dir + "/*"
+    start_silver_stream(spark, src, silver_dir, ckpt, **kw).awaitTermination()
     first = read_silver(spark, silver_dir).count()
-    # the same source directory again: nothing new is processed
-    start_silver_stream(spark, raw_dir + "/batch=0", silver_dir, ckpt, **kw).awaitTermination()
+    assert first == clean_trips(first_half, **kw).count()
+    # nothing new: a second run processes nothing
+    start_silver_stream(spark, src, silver_dir, ckpt, **kw).awaitTermination()
     assert read_silver(spark, silver_dir).count() == first
-    from tripstats.operators.clean import clean_trips
-    expected = clean_trips(spark.read.schema(raw_all.schema).option("header", "true").csv(raw_dir + "/batch=0"), **kw)
-    assert first == expected.count()
+    # a new file arrives: only it is appended, exactly once
+    second_half.coalesce(1).write.option("header", "true").csv(os.path.join(raw_dir, "part2"))
+    start_silver_stream(spark, src, silver_dir, ckpt, **kw).awaitTermination()
+    assert read_silver(spark, silver_dir).count() == clean_trips(raw_all, **kw).count()
 
 
 def test_sample_of_many_copies_is_proportional(spark, tmp_dir):
