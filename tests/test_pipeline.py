@@ -44,6 +44,16 @@ def test_run_pipeline(spark, tmp_dir):
     assert all(1 <= r["passenger_count"] <= 8 for r in q4.collect())
     metrics = spark.read.json(f"{res.layout.gold}/metrics")
     assert metrics.count() == 6
+    # the comparison built from the timed parts equals the one-plan comparison
+    from tripstats.plans.pipeline import read_sample
+    from tripstats.operators.compare import comparison
+    from tripstats.plans.taxi import TAXI_QUERIES
+
+    sample = read_sample(spark, res.layout.sample)
+    for i, q in enumerate(TAXI_QUERIES, start=1):
+        stored = sorted(tuple(r) for r in spark.read.parquet(f"{res.layout.gold}/query{i}").collect())
+        direct = sorted(tuple(r) for r in comparison(q, silver, sample, SketchParams(eps=0.05)).collect())
+        assert stored == direct, q.name
 
 
 def test_pipeline_stops_on_too_few_files(spark, tmp_dir):

@@ -127,6 +127,20 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def combine(q: GroupCountQuery, with_cms: DataFrame, sampled: DataFrame, sample_size: int) -> DataFrame:
+    """Join the exact+sketch side to the sample side and order the result.
+
+    ``with_cms`` has ``keys, exact, cms_estimated_count`` (one row per kept
+    group), ``sampled`` has ``keys, sampled``.  The sample side has at most
+    ``sample_size`` groups and is broadcast under that bound.
+    """
+    if sample_size <= MAX_BROADCAST_SAMPLE_GROUPS:
+        sampled = F.broadcast(sampled)
+    joined = _join_null_safe(with_cms, sampled, q.keys, "left")
+    cols = [*q.keys, q.exact_col, q.sampled_col, CMS_COL]
+    return order_result(joined.select(*cols), q.order, q.exact_col, q.keys)
+
+
 def comparison(
     q: GroupCountQuery,
     table: DataFrame,
@@ -142,9 +156,4 @@ def comparison(
     """
     exact = exact_side(q, table)
     with_cms = cms_side(q, table, params, mode, exact=exact)
-    sampled = sample_side(q, sample)
-    if sample.size <= MAX_BROADCAST_SAMPLE_GROUPS:
-        sampled = F.broadcast(sampled)
-    joined = _join_null_safe(with_cms, sampled, q.keys, "left")
-    cols = [*q.keys, q.exact_col, q.sampled_col, CMS_COL]
-    return order_result(joined.select(*cols), q.order, q.exact_col, q.keys)
+    return combine(q, with_cms, sample_side(q, sample), sample.size)
