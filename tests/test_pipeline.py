@@ -125,6 +125,12 @@ def test_cli_stages(spark, tmp_dir):
     assert cli.main(["validate", "--silver", d["silver"], "--report", d["report"]], spark=spark) == 0
     assert cli.main(["analytics", "--silver", d["silver"], "--sample", d["sample"], "--gold", d["gold"],
                      "--eps", "0.05", "--no-times"], spark=spark) == 0
+    # a month range: exact counts of the pruned silver only
+    assert cli.main(["analytics", "--silver", d["silver"], "--sample", d["sample"], "--gold", d["gold"] + "_m",
+                     "--eps", "0.05", "--no-times", "--months", "1997-01-01", "1997-03-31"], spark=spark) == 0
+    q5 = spark.read.parquet(d["gold"] + "_m/query5")
+    in_range = read_silver(spark, d["silver"]).where("year = 1997 AND month BETWEEN 1 AND 3").count()
+    assert sum(r["exact_trip_count"] for r in q5.collect()) == in_range
     metrics = [json.loads(line) for f in os.listdir(d["gold"] + "/metrics") if f.endswith(".json")
                for line in open(os.path.join(d["gold"], "metrics", f))]
     assert len(metrics) == 6

@@ -60,6 +60,8 @@ def _parser() -> argparse.ArgumentParser:
         p.add_argument("--confidence", type=float, default=_env("CMS_CONFIDENCE", DEFAULT_CMS_CONFIDENCE, float))
         p.add_argument("--cms-seed", type=int, default=_env("CMS_SEED", DEFAULT_CMS_SEED, int))
         p.add_argument("--no-times", action="store_true", help="skip the per-method timing runs")
+        p.add_argument("--months", nargs=2, metavar=("FIRST", "LAST"),
+                       help="restrict gold to pickup months FIRST..LAST (dates); prunes partitions")
 
     p = sub.add_parser("ingest", help="raw CSV -> bronze Parquet")
     p.add_argument("--raw", required=True)
@@ -108,7 +110,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         elif args.stage == "analytics":
             params = SketchParams(args.eps, args.confidence, args.cms_seed)
             out["metrics"] = P.build_gold(
-                spark, args.silver, args.sample, args.gold, params, measure_times=not args.no_times
+                spark, args.silver, args.sample, args.gold, params, measure_times=not args.no_times,
+                months=tuple(args.months) if args.months else None,
             )
         else:
             res = P.run_pipeline(
@@ -125,6 +128,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
                 min_files=args.min_files,
                 gate_before_gold=not args.gate_last,
                 measure_times=not args.no_times,
+                months=tuple(args.months) if args.months else None,
             )
             out.update(status=res.status, counts=res.counts, metrics=res.metrics)
     except QualityGateError as exc:

@@ -40,7 +40,14 @@ from ..schemas import (
     SILVER_SCHEMA,
 )
 from ..sources.csv_source import read_raw_csv
-from ..sources.layers import file_count, read_layer, write_flat, write_partitioned
+from ..sources.layers import (
+    file_count,
+    month_range_predicate,
+    read_layer,
+    read_months,
+    write_flat,
+    write_partitioned,
+)
 from .taxi import TAXI_QUERIES
 
 # Row identity used to rank silver rows for the sample: the row's place in
@@ -178,9 +185,14 @@ def build_gold(
     params: SketchParams = SketchParams(),
     queries: Sequence[GroupCountQuery] = TAXI_QUERIES,
     measure_times: bool = True,
+    months: tuple[str, str] | None = None,
 ) -> list[dict]:
     """Write one comparison table per query and the metrics JSON.
 
+    ``months=(first, last)`` (dates, e.g. ``("2023-01-01", "2023-06-30")``)
+    restricts the exact and sketch answers to those pickup months; the
+    predicate is on the partition columns, so only those directories are read.
+
     With ``measure_times`` each method is run and written on its own (under
     ``gold/_parts``) and timed: exact top groups; scaled sample counts; the
     sketch (built over silver) with estimates for the stored exact keys.  The
@@ -190,6 +202,9 @@ def build_gold(
     """
     silver = read_silver(spark, silver_path)
     sample = read_sample(spark, sample_path)
+    if months is not None:
+        silver = read_months(spark, silver_path, months[0], months[1], SILVER_SCHEMA)
+        sample = Sample(sample.rows.where(month_range_predicate(*months)), sample.population, sample.size)
     metric_frames = []
     for i, q in enumerate(queries, start=1):
         out = f"{gold_path}/query{i}"
@@ -239,6 +254,7 @@ def run_pipeline(
     min_files: int = 1,
     gate_before_gold: bool = True,
     measure_times: bool = True,
+    months: tuple[str, str] | None = None,
 ) -> PipelineResult:
     """ingest -> clean -> gate -> volume check -> sample -> gold.
 
@@ -263,7 +279,7 @@ def run_pipeline(
     sample = build_sample(spark, layout.silver, layout.sample, sample_size, sample_seed)
     result.counts["sample_rows"] = sample.size
     result.metrics = build_gold(
-        spark, layout.silver, layout.sample, layout.gold, params, measure_times=measure_times
+        spark, layout.silver, layout.sample, layout.gold, params, measure_times=measure_times, months=months
     )
     if not gate_before_gold:
         run_gate(spark, layout.silver, f"{layout.quality}/gate")
