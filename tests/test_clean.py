@@ -36,6 +36,7 @@ def test_lookup_join_same_as_map(spark):
     df = spark.createDataFrame([("1.0",), (" 2.0 ",), ("9",), (None,)], "c string")
     dim = mapping_frame(spark, PAYMENT_TYPE_MAP, "code", "desc")
     a = sorted(lookup_join(df, "c", dim, "code", "desc", "d").collect(), key=str)
+    assert a == sorted(lookup_join(df, "c", dim, "code", "desc", "d", broadcast_dim=False).collect(), key=str)
     b = sorted(df.withColumn("d", map_lookup("c")).collect(), key=str)
     assert a == b
 

@@ -14,6 +14,8 @@ from .keys import ColumnLike, as_column
 # A literal map is compiled into the plan; above this many entries a
 # dimension table joined with a broadcast hint is the better form.
 MAX_LITERAL_MAP_ENTRIES = 10_000
+# A dimension is broadcast only when it has at most this many rows.
+MAX_BROADCAST_DIM_ROWS = 1_000_000
 
 
 def map_lookup(
@@ -52,14 +54,19 @@ def lookup_join(
     dim_desc: str,
     out_col: str,
     default: str = OTHER_PAYMENT,
-    broadcast_dim: bool = True,
+    broadcast_dim: bool | None = None,
 ) -> DataFrame:
     """Left join ``df`` to a dimension on ``trim(code)``; unmatched -> ``default``.
 
-    ``broadcast_dim`` must only be set for a dimension whose size is known to
-    be small (a code list); otherwise Spark decides from its size estimate.
+    ``broadcast_dim=True`` is for a dimension whose size is known to be small
+    (a fixed code list).  ``None`` (default) checks: the dimension's rows are
+    counted and it is broadcast only under ``MAX_BROADCAST_DIM_ROWS``;
+    beyond that Spark picks the join from its size estimates (sort-merge at
+    scale).  ``False`` never hints.
     """
     d = dim.select(F.col(dim_code).alias("_lk_code"), F.col(dim_desc).alias("_lk_desc"))
+    if broadcast_dim is None:
+        broadcast_dim = d.count() <= MAX_BROADCAST_DIM_ROWS
     if broadcast_dim:
         d = F.broadcast(d)
     joined = df.join(d, F.trim(F.col(code)) == F.col("_lk_code"), "left")
