@@ -133,3 +133,29 @@ def test_ingest_counts_malformed_rows(spark, tmp_dir):
     build_silver(spark, tmp_dir + "/bronze", tmp_dir + "/silver")
     silver = read_silver(spark, tmp_dir + "/silver")
     assert "_corrupt_record" not in silver.columns and silver.count() == 2
+
+
+def test_wall_clock_times_do_not_depend_on_session_zone(spark):
+    """2021-03-14 02:30 does not exist in New York (DST gap); trip times keep it."""
+    from pyspark.sql import functions as F
+
+    from tripstats.plans.taxi import Q2
+
+    rows = [_row(tpep_pickup_datetime="2021-03-14 02:30:00", tpep_dropoff_datetime="2021-03-15 07:30:00")]
+
+    def observe():
+        silver = clean_trips(_raw(spark, rows))
+        out = Q2.prepared(silver).select(
+            F.col("pickup_datetime").cast("string").alias("p"), F.hour("pickup_datetime").alias("ph"), "hour",
+            "day_of_week", "year", "month",
+        )
+        return [tuple(r) for r in out.collect()]
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    utc = observe()
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        ny = observe()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert utc == ny == [("2021-03-14 02:30:00", 2, 7, 2, 2021, 3)]

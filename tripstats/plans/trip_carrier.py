@@ -25,15 +25,15 @@ CARRIER_DATE_HI = "1999-12-31"
 SCAN_MONTH_LO = "1997-01-01"
 SCAN_MONTH_HI = "1998-06-30"
 
-_TEXT_TS = "yyyy-MM-dd HH:mm:ss"
-
 
 def lineitem_raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     return li.select(
         F.col("l_returnflag").alias("VendorID"),
-        F.date_format("l_shipdate", _TEXT_TS).alias("tpep_pickup_datetime"),
-        F.date_format(F.timestamp_add("HOUR", F.col("l_linenumber"), F.col("l_shipdate")), _TEXT_TS).alias(
+        # Text of wall-clock times: a cast of timestamp_ntz is zone-free
+        # (date_format would apply the session zone's DST gaps).
+        F.col("l_shipdate").cast("string").alias("tpep_pickup_datetime"),
+        (F.col("l_shipdate") + F.make_dt_interval(hours=F.col("l_linenumber"))).cast("string").alias(
             "tpep_dropoff_datetime"
         ),
         (F.col("l_linenumber") - 1).cast("double").alias("passenger_count"),
