@@ -1,4 +1,4 @@
-"""The thin registered queries of the ten operators and the pipeline, and their SQL."""
+"""The thin registered queries of the ten operators, and their SQL."""
 
 from __future__ import annotations
 
@@ -6,22 +6,51 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .fingerprint import edit_fingerprints
+from . import fingerprint, quality, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_records(_table(spark, sf_dir, "pages"))
+
+
 def op2_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edit_fingerprints(_table(spark, sf_dir, "documents"))
+    return fingerprint.edit_fingerprints(_table(spark, sf_dir, "documents"))
+
+
+def op4_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(_table(spark, sf_dir, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good"
+    )
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_warc": op1_warc,
         "op2_multiset_fingerprint": op2_multiset_fingerprint,
+        "op4_weak_supervision": op4_weak_supervision,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_warc": OP1_SQL}
+
+
+OP1_SQL = """
+WITH p AS (
+  SELECT page_id, url, encode(coalesce(html, '')) AS payload FROM pages
+), d AS (
+  SELECT page_id, url, octet_length(payload)::BIGINT AS payload_bytes, sha256(payload) AS payload_digest FROM p
+), f AS (
+  SELECT payload_digest, min(page_id) AS first_id FROM d WHERE payload_bytes >= 100 GROUP BY payload_digest HAVING count(*) > 1
+)
+SELECT d.page_id, d.payload_bytes, d.payload_digest,
+       CASE WHEN f.first_id <> d.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.first_id <> d.page_id THEN f.first_id END AS refers_to,
+       d.url AS target_uri
+FROM d LEFT JOIN f USING (payload_digest)
+"""
