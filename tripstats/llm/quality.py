@@ -30,12 +30,13 @@ from .shared import stored
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 KEEP_AT = 0.5
+RULE_ERROR = 0.01  # no rule is taken to be surer than this, so one rule alone seldom rejects a document
 
 BAD, GOOD, ABSTAIN = 0, 1, 2
 
 COUNTS = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-    "n_lines", "n_upper", "n_letters", "n_marks", "n_ends", "n_runs", "n_distinct",
+    "n_lines", "n_upper", "n_letters", "n_marks", "n_ends", "n_runs", "n_distinct", "n_bare",
 )
 
 _SYMBOL = np.zeros(256, dtype=bool)
@@ -44,6 +45,9 @@ _UPPER = np.zeros(256, dtype=bool)
 _UPPER[ord("A") : ord("Z") + 1] = True
 _LETTER = _UPPER.copy()
 _LETTER[ord("a") : ord("z") + 1] = True
+_TEXTUAL = _LETTER.copy()  # letters, digits, and whatever is not ASCII
+_TEXTUAL[ord("0") : ord("9") + 1] = True
+_TEXTUAL[128:] = True
 _PUNCT = np.zeros(256, dtype=bool)
 _PUNCT[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
 
@@ -74,6 +78,7 @@ def features(raw: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     def per_byte(mask: np.ndarray) -> np.ndarray:
         return T.segment_sums(mask.astype(np.int64), offsets)
 
+    textual = np.concatenate([[0], np.cumsum(_TEXTUAL[raw])])
     ends_of_points = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
     line_start, line_end, line_first = T.line_spans(raw, offsets)
     line_doc = T.doc_of(line_first)
@@ -103,6 +108,7 @@ def features(raw: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
         "n_marks": per_byte(raw == ord("!")),
         "n_ends": T.segment_sums(punct[end - 1].astype(np.int64), first) if len(end) else np.zeros(n, np.int64),
         "n_runs": per_byte(run),
+        "n_bare": T.segment_sums((textual[end] == textual[start]).astype(np.int64), first),
         "n_distinct": T.segment_sums(word_is_first.astype(np.int64), first),
     }
 
@@ -115,6 +121,7 @@ SHARE_RULES = (
     ("repeated_words", "n_repeat_words", "n_words", 10, 0.15, 0.4),
     ("repeated_lines", "n_dup_lines", "n_lines", 3, 0.1, 0.4),
     ("punctuated_words", "n_ends", "n_words", 10, 0.35, 0.7),
+    ("bare_punctuation", "n_bare", "n_words", 10, 0.05, 0.2),
     ("punctuation_runs", "n_runs", "n_words", 10, 0.1, 0.3),
 )
 RULES = tuple(r[0] for r in SHARE_RULES) + ("word_length", "word_variety")
@@ -182,6 +189,8 @@ def fit(codes: np.ndarray, counts: np.ndarray, steps: int = 200, prior_bad: floa
         new_prior = (w_bad.sum() + 2 * prior_bad) / (weight.sum() + 2)
         bad_if_bad = (w_bad @ said_bad + 0.68) / (w_bad @ said + 2)
         bad_if_good = (w_good @ said_bad + 0.04) / (w_good @ said + 2)
+        bad_if_bad = np.clip(bad_if_bad, RULE_ERROR, 1 - RULE_ERROR)
+        bad_if_good = np.clip(bad_if_good, RULE_ERROR, 1 - RULE_ERROR)
         if abs(new_prior - prior) < 1e-10:
             break
         prior = new_prior
