@@ -6,13 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprint, quality, warc
+from . import fingerprint, packing, quality, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer's file (the operators take the path as a parameter)."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_records(_table(spark, sf_dir, "pages"))
 
@@ -21,6 +28,10 @@ def op2_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edit_fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op3_pack_by_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 def op4_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(_table(spark, sf_dir, "documents"))
     return judged.select(
@@ -32,6 +43,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
         "op2_multiset_fingerprint": op2_multiset_fingerprint,
+        "op3_pack_by_histogram": op3_pack_by_histogram,
         "op4_weak_supervision": op4_weak_supervision,
     }
 
