@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprint, packing, quality, warc
+from . import fingerprint, linededup, packing, quality, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,17 +39,22 @@ def op4_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.line_digests(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
         "op2_multiset_fingerprint": op2_multiset_fingerprint,
         "op3_pack_by_histogram": op3_pack_by_histogram,
         "op4_weak_supervision": op4_weak_supervision,
+        "op7_line_dedup": op7_line_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": OP1_SQL}
+    return {"op1_warc": OP1_SQL, "op7_line_dedup": OP7_SQL}
 
 
 OP1_SQL = """
@@ -66,3 +71,23 @@ SELECT d.page_id, d.payload_bytes, d.payload_digest,
        d.url AS target_uri
 FROM d LEFT JOIN f USING (payload_digest)
 """
+
+OP7_SQL = """
+WITH lines AS (
+  SELECT doc_id, unnest(list) AS line, generate_subscripts(list, 1) AS pos
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS list FROM documents)
+), keyed AS (
+  SELECT doc_id, line, pos,
+         translate(regexp_replace(line, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g'),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines
+), common AS (
+  SELECT key, max(doc_id) AS top FROM keyed WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), judged AS (
+  SELECT k.doc_id, k.line, k.pos, c.top IS NOT NULL AND k.doc_id <> c.top AS dropped
+  FROM keyed k LEFT JOIN common c ON k.key = c.key AND length(k.key) >= 20
+)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (dropped)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""

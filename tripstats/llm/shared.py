@@ -31,3 +31,11 @@ def file_system(uri: str):
     if "://" in uri or uri.startswith("file:"):
         return fs.FileSystem.from_uri(uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri)
     return fs.LocalFileSystem(), uri
+
+
+def free_name(columns: list[str], name: str) -> str:
+    """``name`` with as many underscores before it as make it differ from all of ``columns``."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
