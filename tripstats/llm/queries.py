@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprint, linededup, packing, quality, warc
+from . import fingerprint, linededup, packing, quality, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,10 @@ def op4_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_digests(_table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_multiset_fingerprint": op2_multiset_fingerprint,
         "op3_pack_by_histogram": op3_pack_by_histogram,
         "op4_weak_supervision": op4_weak_supervision,
+        "op5_toxicity_cnn": op5_toxicity_cnn,
         "op7_line_dedup": op7_line_dedup,
     }
 
