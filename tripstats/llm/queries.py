@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprint, linededup, packing, quality, toxicity, warc
+from . import dartminhash, fingerprint, linededup, packing, quality, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,10 @@ def op5_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op6_dartminhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dartminhash.classes(_table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_digests(_table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_pack_by_histogram": op3_pack_by_histogram,
         "op4_weak_supervision": op4_weak_supervision,
         "op5_toxicity_cnn": op5_toxicity_cnn,
+        "op6_dartminhash_classes": op6_dartminhash_classes,
         "op7_line_dedup": op7_line_dedup,
     }
 
