@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import dartminhash, fingerprint, linededup, packing, quality, toxicity, warc
+from . import dartminhash, fingerprint, linededup, mixing, packing, quality, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +51,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_digests(_table(spark, sf_dir, "documents"))
 
 
+def op8_mixing_budgets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
@@ -60,11 +64,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_toxicity_cnn": op5_toxicity_cnn,
         "op6_dartminhash_classes": op6_dartminhash_classes,
         "op7_line_dedup": op7_line_dedup,
+        "op8_mixing_budgets": op8_mixing_budgets,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": OP1_SQL, "op7_line_dedup": OP7_SQL}
+    return {"op1_warc": OP1_SQL, "op7_line_dedup": OP7_SQL, "op8_mixing_budgets": mixing.mixture_sql()}
 
 
 OP1_SQL = """
