@@ -36,8 +36,9 @@ from .shared import stored
 MAX_TOKENS = 4096
 MAX_GAP = 20  # at most 0.5 % padding in a pack that is kept as it is
 END_ID = 2
-CACHE_WORDS = 2_000_000  # words whose ids a Python worker remembers
-SLICE = 8 << 20
+CACHE_WORDS = 1_000_000  # words whose ids a Python worker remembers
+ENCODE_WORDS = 10_000
+SLICE = 4 << 20
 
 
 class WordTokenizer:
@@ -69,7 +70,10 @@ class WordTokenizer:
         self.ids = np.zeros(0, np.uint32)
 
     def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        found: list[list[int]] = []
+        for at in range(0, len(words), ENCODE_WORDS):  # an encoding is much larger than its ids
+            batch = self.tokenizer.encode_batch_fast(words[at : at + ENCODE_WORDS], add_special_tokens=False)
+            found.extend(e.ids for e in batch)
         counts = np.array([len(x) for x in found], np.int64)
         starts = len(self.ids) + np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64)
         self.ids = np.concatenate([self.ids, np.fromiter((i for x in found for i in x), np.uint32, int(counts.sum()))])
