@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import dartminhash, fingerprint, linededup, mixing, packing, quality, toxicity, warc
+from . import dartminhash, fingerprint, lattice, linededup, mixing, packing, quality, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +56,11 @@ def op8_mixing_budgets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(_table(spark, sf_dir, "documents"))
 
 
+def op9_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = toxicity.held_out_fold(F.col("doc_id"), 7, 2)
+    return lattice.score_texts(_table(spark, sf_dir, "documents"), held_out, vocabulary("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
@@ -65,6 +71,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_dartminhash_classes": op6_dartminhash_classes,
         "op7_line_dedup": op7_line_dedup,
         "op8_mixing_budgets": op8_mixing_budgets,
+        "op9_lattice_likelihood": op9_lattice_likelihood,
     }
 
 
