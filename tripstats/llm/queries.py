@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dartminhash, fingerprint, lattice, linededup, mixing, packing, quality, toxicity, warc
+from . import dartminhash, debruijn, fingerprint, lattice, linededup, mixing, packing, quality, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,10 @@ def op9_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.score_texts(_table(spark, sf_dir, "documents"), held_out, vocabulary("piece_bpe_32k.model"))
 
 
+def op10_debruijn_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return debruijn.removal_digests(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
@@ -72,6 +76,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_line_dedup": op7_line_dedup,
         "op8_mixing_budgets": op8_mixing_budgets,
         "op9_lattice_likelihood": op9_lattice_likelihood,
+        "op10_debruijn_dedup": op10_debruijn_dedup,
     }
 
 
