@@ -85,6 +85,24 @@ def test_edges(edge_docs, edge_rows, empty_docs):
     assert nothing.count() == 0
 
 
+def test_language_is_no_input_of_a_score(small_docs):
+    rows = small_docs.limit(20).collect()
+    twice = [(r.doc_id * 7, r.text, r.lang) for r in rows] + [(r.doc_id * 7 + 1, r.text, "zz") for r in rows]
+    docs = small_docs.sparkSession.createDataFrame(twice, "doc_id long, text string, lang string")
+    found = {r.doc_id: r.score for r in L.score_texts(docs, F.lit(False), vocabulary("piece_bpe_32k.model")).collect()}
+    assert all(found[r.doc_id * 7] == pytest.approx(found[r.doc_id * 7 + 1], rel=1e-9) for r in rows)
+
+
+def test_training_helps_on_held_out_texts(spark):
+    """More EM steps, and languages of their own, give held-out texts a higher probability."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = held_out_fold(F.col("doc_id"), 7, 2)
+    total = {}
+    for name, frame, steps in (("start", docs, 0), ("one", docs.withColumn("lang", F.lit("x")), 2), ("all", docs, 2)):
+        total[name] = L.score_texts(frame, held, vocabulary("piece_bpe_32k.model"), steps).where("held_out").agg(F.sum("score")).first()[0]
+    assert total["start"] < total["one"] < total["all"] < 0
+
+
 def test_small_documents(small_docs, monkeypatch):
     monkeypatch.setattr(L, "BLOCK_BYTES", 50_000)
     check(small_docs, [(r.doc_id, r.text) for r in small_docs.collect()])

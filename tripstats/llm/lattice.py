@@ -8,6 +8,12 @@ space, a text's marginal probability is the product over its words and its
 end.  Words are lower-cased (A-Z) and begin with the vocabulary's word mark;
 single-byte pieces give every word at least one segmentation.
 
+The corpus holds several languages, so the model is a mixture: one unigram
+distribution for each of the ``GROUPS`` most frequent values of ``lang`` among
+the training rows and one for the rest, weighted by their shares of rows.  A
+text is scored by the mixture, summed over all its components; its own
+``lang`` is no input of its score.
+
 The vocabulary file at hand is a BPE one, whose scores are merge ranks and no
 log probabilities.  They start the estimate (a piece's share falls with its
 rank), and expectation-maximisation over the counted words of all training
@@ -36,6 +42,7 @@ from .shared import shuffle_partitions, stored
 
 BLOCK_BYTES = 16 << 20  # text in a block, on average
 EM_STEPS = 2
+GROUPS = 6
 CHUNK_WORDS = 20_000
 _MARK = 0x20  # stands for the vocabulary's word mark; no word holds a space
 _TABLE_BITS = 20
@@ -198,71 +205,112 @@ def words_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return lower, start, end, T.span_hashes(lower, start, end, seed=9), first
 
 
-def count_words(docs: DataFrame) -> DataFrame:
-    """(h, word, c): every distinct word and how often the rows to learn from (``learn``) hold it, maybe 0."""
+def count_words(docs: DataFrame, groups: int) -> DataFrame:
+    """(h, word, c): every distinct word and how often the rows to learn from hold it, an array by group (maybe all 0).
+
+    ``docs`` has ``text``, ``learn`` and ``group`` (0 to groups - 1).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offsets = T.string_buffer(batch.column(0))
             learn = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            group = batch.column(2).to_numpy(zero_copy_only=False)
             for a, b in T.slices(offsets, BLOCK_BYTES // 2):
                 lower, start, end, hashes, first = words_of(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 kinds, at, which = np.unique(hashes, return_index=True, return_inverse=True)
-                counts = np.bincount(which, np.repeat(learn[a:b], np.diff(first)), len(kinds)).astype(np.int64)
+                each = np.repeat(learn[a:b], np.diff(first))
+                cell = which * groups + np.repeat(group[a:b], np.diff(first))
+                counts = np.bincount(cell[each], minlength=len(kinds) * groups).astype(np.int64).reshape(-1, groups)
+                counts[counts.sum(axis=1) == 0, 0] = -1  # not learnt from, but there
+                row, col = np.nonzero(counts)
                 data = lower.tobytes()
-                spelled = [data[s:e] for s, e in zip(start[at].tolist(), end[at].tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), pa.array(spelled, pa.binary()), pa.array(counts)], names=["h", "word", "n"])
+                spelled = pa.array([data[s:e] for s, e in zip(start[at].tolist(), end[at].tolist())], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(kinds.view(np.int64)[row]), spelled.take(pa.array(row)), pa.array(col, pa.int32()), pa.array(np.maximum(counts[row, col], 0))],
+                    names=["h", "word", "group", "n"],
+                )
+
+    rows = docs.select("text", "learn", "group").mapInArrow(run, "h long, word binary, group int, n long")
+    sums = [F.sum(F.when(F.col("group") == k, F.col("n")).otherwise(0)).alias(f"c{k}") for k in range(groups)]
+    counted = rows.groupBy("h", "word").agg(*sums)
+    return counted.select("h", "word", F.array(*[F.col(f"c{k}") for k in range(groups)]).alias("c"))
 
-    rows = docs.select("text", "learn").mapInArrow(run, "h long, word binary, n long")
-    return rows.groupBy("h", "word").agg(F.sum("n").alias("c"))
 
+def _counts_of(column: pa.Array, groups: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, groups).astype(np.float64)
 
-def fit(words: DataFrame, n_ends: int, vocabulary: str, steps: int = EM_STEPS) -> np.ndarray:
-    """Log probabilities of the vocabulary's pieces, the end piece last.
 
-    Each step is one pass over the word table; a number for each piece (the
-    vocabulary's size, whatever the corpus) comes to the driver.
+def fit(words: DataFrame, n_ends: np.ndarray, vocabulary: str, steps: int = EM_STEPS) -> np.ndarray:
+    """(groups, pieces + 1) log probabilities of the vocabulary's pieces, the end piece last.
+
+    Each step is one pass over the word table; a number for each piece and
+    group (their number does not depend on the corpus) comes to the driver.
     """
     pieces = Pieces.of(vocabulary)
-    log_p = pieces.start
-    used = words.where("c > 0")
-    total = 0.0
+    groups = len(n_ends)
+    log_p = np.tile(pieces.start, (groups, 1))
+    total = np.zeros(groups)
     for _ in range(steps):
 
         def run(batches: Iterator[pa.RecordBatch], log_p=log_p) -> Iterator[pa.RecordBatch]:
             own = Pieces.of(vocabulary)
-            counts = np.zeros(len(log_p))
+            counts = np.zeros(log_p.shape)
             for batch in batches:
-                times = batch.column(1).to_numpy(zero_copy_only=False).astype(np.float64)
                 for at in range(0, batch.num_rows, CHUNK_WORDS):
-                    chunk, c = batch.column(0).slice(at, CHUNK_WORDS).to_pylist(), times[at : at + CHUNK_WORDS]
-                    for rows, matrix in _matrices(chunk):
-                        counts += expected_counts(own.arcs(matrix), log_p, c[rows])
-            hit = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(counts[hit])], names=["piece", "e"])
-
-        rows = used.select("word", "c").mapInArrow(run, "piece long, e double").groupBy("piece").agg(F.sum("e").alias("e")).collect()
-        counts = np.full(len(log_p), 1e-3)  # a piece that was not seen keeps a little
+                    part = batch.slice(at, CHUNK_WORDS)
+                    c = _counts_of(part.column(1), groups)
+                    learnt = np.flatnonzero(c.sum(axis=1))
+                    spelled = part.column(0).take(pa.array(learnt)).to_pylist()
+                    for rows, matrix in _matrices(spelled):
+                        arcs, times = own.arcs(matrix), c[learnt[rows]]
+                        for k in range(groups):
+                            if (used := times[:, k] > 0).any():
+                                counts[k] += expected_counts(arcs[used], log_p[k], times[used, k])
+            group, piece = np.nonzero(counts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(group, pa.int32()), pa.array(piece, pa.int32()), pa.array(counts[group, piece])], names=["group", "piece", "e"]
+            )
+
+        rows = words.select("word", "c").mapInArrow(run, "group int, piece int, e double").groupBy("group", "piece").agg(F.sum("e").alias("e")).collect()
+        counts = np.full(log_p.shape, 1e-3)  # a piece that was not seen keeps a little
         for r in rows:
-            counts[r["piece"]] += r["e"]
-        total = counts.sum()
-        log_p = np.log(counts / total)
-    p_end = (n_ends + 1e-3) / (total + n_ends + 1e-3) if steps else 1e-3
-    return np.append(log_p + np.log1p(-p_end), np.log(p_end))
+            counts[r["group"], r["piece"]] += r["e"]
+        total = counts.sum(axis=1)
+        log_p = np.log(counts / total[:, None])
+    p_end = (n_ends + 1e-3) / (total + n_ends + 2e-3)
+    return np.concatenate([log_p + np.log1p(-p_end)[:, None], np.log(p_end)[:, None]], axis=1)
 
 
 def word_table(words: DataFrame, log_p: np.ndarray, vocabulary: str) -> DataFrame:
-    """(h, c, lp): counts and log10 probabilities of all words, in training or not."""
+    """(h, c, lp): counts and log10 probabilities of all words, in training or not; ``lp`` holds a float for each group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Pieces.of(vocabulary)
         for batch in batches:
             for at in range(0, batch.num_rows, CHUNK_WORDS):
                 part = batch.slice(at, CHUNK_WORDS)
-                lp = word_log_p(part.column(1).to_pylist(), own, log_p[:-1]) / np.log(10)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(lp)], names=["h", "c", "lp"])
+                lp = np.zeros((part.num_rows, len(log_p)), "<f4")
+                for rows, matrix in _matrices(part.column(1).to_pylist()):
+                    arcs = own.arcs(matrix)
+                    for k in range(len(log_p)):
+                        lp[rows, k] = forward(arcs, log_p[k, :-1])[:, -1] / np.log(10)
+                c = _counts_of(part.column(2), len(log_p)).sum(axis=1).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(c), pa.array([x.tobytes() for x in lp], pa.binary())], names=["h", "c", "lp"])
+
+    return words.select("h", "word", "c").mapInArrow(run, "h long, c long, lp binary")
 
-    return words.select("h", "word", "c").mapInArrow(run, "h long, c long, lp double")
+
+def language_groups(rows: DataFrame, most: int = GROUPS) -> tuple[Column, np.ndarray]:
+    """(column of a row's group, training rows of each group); the last group is that of all other languages."""
+    found = rows.where("learn").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    top = found.where(F.col("lang").isNotNull()).orderBy(F.desc("n"), "lang").limit(most).collect()
+    total = found.agg(F.sum("n").alias("n")).first()["n"] or 0
+    counts = [r["n"] for r in top]
+    group = F.lit(len(top))
+    for i, r in enumerate(top):
+        group = F.when(F.col("lang") == r["lang"], F.lit(i)).otherwise(group)
+    return group, np.array([*counts, total - sum(counts)], dtype=np.float64)
 
 
 SCORE_SCHEMA = "doc_id long, learn boolean, n_tokens long, n_known long, base_score double, score double"
@@ -277,19 +325,22 @@ def score_texts(docs: DataFrame, held_out: Column, vocabulary: str, steps: int =
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), (~held_out).alias("learn"))
-    facts = rows.agg(F.sum(F.col("learn").cast("long")).alias("ends"), F.sum(F.octet_length("text").cast("long")).alias("bytes")).first()
-    n_ends = int(facts["ends"] or 0)
-    blocks = max(shuffle_partitions(spark), int(facts["bytes"] or 0) // BLOCK_BYTES + 1)
-
-    words = stored(count_words(rows), "lattice-words")
-    known = words.where("c > 0").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.col("lang").cast("string").alias("lang"), (~held_out).alias("learn"))
+    size = int(rows.agg(F.sum(F.octet_length("text").cast("long")).alias("bytes")).first()["bytes"] or 0)
+    group, group_ends = language_groups(rows)
+    rows = rows.select("doc_id", "text", "learn", group.alias("group"))
+    n_ends = int(group_ends.sum())
+    blocks = max(shuffle_partitions(spark), size // BLOCK_BYTES + 1)
+
+    words = stored(count_words(rows, len(group_ends)), "lattice-words")
+    count = F.aggregate("c", F.lit(0).cast("long"), lambda acc, x: acc + x)
+    known = words.select(count.alias("c")).where("c > 0").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     train_tokens = int(known["n"] or 0) + n_ends
     kinds = int(known["v"]) + (n_ends > 0)
-    log_p = fit(words, n_ends, vocabulary, steps)
+    log_p = fit(words, group_ends, vocabulary, steps)
     table = word_table(words, log_p, vocabulary)
 
-    blocked = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
+    blocked = rows.select("doc_id", "text", "learn", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block"))
 
     def ask(group: pa.Table) -> pa.Table:
         found = []
@@ -303,14 +354,15 @@ def score_texts(docs: DataFrame, held_out: Column, vocabulary: str, steps: int =
     asked = blocked.groupBy("block").applyInArrow(ask, "block long, h long")
     answers = asked.join(table, "h").select("block", "h", "c", "lp")
     log_total = np.log10(train_tokens + kinds + 1)
-    end_lp = log_p[-1] / np.log(10)
+    prior = (group_ends + 0.5) / (group_ends + 0.5).sum()
+    start_lp = log_p[:, -1] / np.log(10) + np.log10(prior)  # of the component, and of the text's end
 
     def judge(group: pa.Table, told: pa.Table) -> pa.Table:
         keys = told.column("h").to_numpy().view(np.uint64)
         order = np.argsort(keys)
         keys = keys[order]
         c = told.column("c").to_numpy()[order]
-        lp = told.column("lp").to_numpy()[order]
+        lp = np.frombuffer(b"".join(told.column("lp").to_pylist()), "<f4").reshape(-1, len(start_lp))[order].astype(np.float64)
         base = np.log10(c + 1) - log_total
         raw, offsets = T.string_buffer(group.column("text"))
         tokens, knowns, bases, scores = [], [], [], []
@@ -320,7 +372,8 @@ def score_texts(docs: DataFrame, held_out: Column, vocabulary: str, steps: int =
             tokens.append(np.diff(first) + 1)
             knowns.append(np.bincount(doc, c[at] > 0, n).astype(np.int64) + (n_ends > 0))
             bases.append(np.bincount(doc, base[at], n) + np.log10(n_ends + 1) - log_total)
-            scores.append(np.bincount(doc, lp[at], n) + end_lp)
+            parts = np.stack([np.bincount(doc, lp[at, k], n) + start_lp[k] for k in range(len(start_lp))], axis=1)
+            scores.append(_log_sum(parts * np.log(10)) / np.log(10))
         columns = [group.column("doc_id"), group.column("learn"), *(np.concatenate(x) for x in (tokens, knowns, bases, scores))]
         return pa.table(columns, names=[p.split()[0] for p in SCORE_SCHEMA.split(", ")])
 
