@@ -17,29 +17,38 @@ Q6     ``value > 0`` (double key), top 10                      events
 
 from __future__ import annotations
 
+import hashlib
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.lookup import map_lookup
 from ..operators.compare import GroupCountQuery
-from ..operators.sample import Sample, sample_bottom_k
+from ..operators.sample import Sample, sample_bottom_k, sample_content_k
 from ..operators.sketch import SketchParams
+from ..session import broadcast_threshold, checkpoint_root
 from ..sources.tables import read_table
+from .taxi import hour_weekday, positive, small_count, weekday_morning
+from .trip_carrier import carrier_silver
 
 # Fixed values of the carriers.
 # Event type -> description for Q5; "error" and "signup" are left out on
 # purpose so that the default "Other" is exercised.
 EVENT_TYPE_MAP = {"view": "Page view", "click": "Click", "purchase": "Purchase"}
 EVENT_OTHER = "Other"
-# Row identity used to rank rows for sampling.  The four lineitem integers
-# alone are not unique at every scale; the price text makes them unique.
-LINEITEM_SAMPLE_KEY = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice")
+# Row identity used to rank rows for sampling: all columns of lineitem, so
+# that no tie depends on luck at some size.
+LINEITEM_SAMPLE_KEY = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+)
 EVENTS_SAMPLE_KEY = ("event_id",)
 # Sample sizes: below the row count at every scale, so the sample is a
 # real subset (events has 1,000 rows at the smallest scale).
 LINEITEM_SAMPLE_K = 5_000
 EVENTS_SAMPLE_K = 500
+TRIP_SAMPLE_K = 1_000
 SAMPLE_SEED = 1234
 # Sketch parameters: a narrow sketch (width 40) for the per-method queries so
 # that buckets really collide; the default sketch for the gold tables.
@@ -47,10 +56,6 @@ NARROW_CMS = SketchParams(eps=0.05, confidence=0.95, seed=1)
 GOLD_CMS = SketchParams()
 
 
-def _events_hour_weekday(df: DataFrame) -> DataFrame:
-    return df.withColumns({"hour": F.hour("ts"), "day_of_week": F.dayofweek("ts")})
-
-
 def _events_desc(df: DataFrame) -> DataFrame:
     return df.withColumn("event_desc", map_lookup(F.col("event_type"), EVENT_TYPE_MAP, EVENT_OTHER))
 
@@ -61,8 +66,8 @@ C2 = GroupCountQuery(
     keys=("user_id", "hour"),
     exact_col="exact_dropoff_count",
     sampled_col="sampled_dropoff_count",
-    derive=_events_hour_weekday,
-    where=lambda: F.col("hour").between(6, 11) & F.col("day_of_week").between(2, 6),
+    derive=hour_weekday("ts"),
+    where=weekday_morning,
     top=50,
 )
 C3 = GroupCountQuery(
@@ -71,7 +76,7 @@ C3 = GroupCountQuery(
 C4 = GroupCountQuery(
     name="Q4_Quantity_Distribution",
     keys=("l_quantity",),
-    where=lambda: F.col("l_quantity").isNotNull() & F.col("l_quantity").between(1, 8),
+    where=small_count("l_quantity"),
     sketch_filtered=False,
     order="key",
 )
@@ -79,7 +84,7 @@ C5 = GroupCountQuery(name="Q5_Event_Type_Analysis", keys=("event_desc",), derive
 C6 = GroupCountQuery(
     name="Q6_Top10_Frequent_Event_Values",
     keys=("value",),
-    where=lambda: F.col("value") > 0,
+    where=positive("value"),
     top=10,
 )
 CARRIER_QUERIES = {"q1": C1, "q2": C2, "q3": C3, "q4": C4, "q5": C5, "q6": C6}
@@ -95,9 +100,8 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ROUTE_WEIGHT = "route_rows"
-# A lineitem side of at most this many rows (a sample) is broadcast into the
-# dimension joins; the bound is the sample size, known before the job runs.
-MAX_BROADCAST_ITEMS = 2_000_000
+# Bytes of one (order key, supplier key) row of a sample, generously.
+ROUTE_ROW_BYTES = 32
 
 
 def route_weights(
@@ -116,11 +120,11 @@ def route_weights(
        supplier holding a third of all rows becomes a handful of rows;
     3. those rows joined to the supplier's nation.
 
-    For a sample (``items_bound`` = its size, at most that many rows) the
-    order is reversed: the sample side is broadcast into orders, the matched
-    rows (one order each, so still at most ``items_bound``) into customer,
-    and the pre-aggregated rows into supplier -- each big table is scanned
-    once, never shuffled.
+    For a sample (``items_bound`` = its size, at most that many rows) whose
+    rows fit into ``spark.sql.autoBroadcastJoinThreshold`` the order is
+    reversed: the sample side is broadcast into orders, so that big table is
+    scanned once and not shuffled; for the joins after it Spark goes by
+    run-time sizes.
 
     The result has ``c_nationkey, s_nationkey`` and the weight column
     ``route_rows``; group counts over it are sums of the weight.  Joins are
@@ -132,18 +136,16 @@ def route_weights(
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     pairs = items.select("l_orderkey", "l_suppkey")
-    bounded = items_bound is not None and items_bound <= MAX_BROADCAST_ITEMS
-    if bounded:
+    limit = broadcast_threshold(spark)
+    if items_bound is not None and items_bound * ROUTE_ROW_BYTES <= limit:
         with_cust = F.broadcast(pairs).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        with_nation = F.broadcast(with_cust).join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        with_nation = with_cust.join(customer, F.col("o_custkey") == F.col("c_custkey"))
     else:
         order_nation = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
             "o_orderkey", "c_nationkey"
         )
         with_nation = pairs.join(order_nation, F.col("l_orderkey") == F.col("o_orderkey"))
     per_supplier = with_nation.groupBy("l_suppkey", "c_nationkey").agg(F.count(F.lit(1)).alias(ROUTE_WEIGHT))
-    if bounded:
-        per_supplier = F.broadcast(per_supplier)
     return per_supplier.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
         "c_nationkey", "s_nationkey", ROUTE_WEIGHT
     )
@@ -157,19 +159,43 @@ def events_sample(spark: SparkSession, sf_dir: str) -> Sample:
     return sample_bottom_k(events(spark, sf_dir), EVENTS_SAMPLE_K, EVENTS_SAMPLE_KEY, SAMPLE_SEED)
 
 
-# Materialized samples of this application, like the stored sample layer of
-# the pipeline: drawn once per (application, tables, table), then read back
-# by every query.  Assumes the given tables do not change while the
-# application runs (they are read-only inputs).
-_SAMPLE_STORE: dict[tuple[str, str, str], Sample] = {}
+def trip_sample(spark: SparkSession, sf_dir: str) -> Sample:
+    """Sample of the carrier's silver by row content, ranked by md5."""
+    return sample_content_k(carrier_silver(spark, sf_dir), TRIP_SAMPLE_K, SAMPLE_SEED, method="md5")
+
 
+DRAWS = {"lineitem": lineitem_sample, "events": events_sample, "trips": trip_sample}
 
-def stored_sample(spark: SparkSession, sf_dir: str, table: str) -> Sample:
-    key = (spark.conf.get("spark.app.id", ""), sf_dir.rstrip("/"), table)
-    if key not in _SAMPLE_STORE:
-        draw = events_sample if table == "events" else lineitem_sample
-        _SAMPLE_STORE[key] = draw(spark, sf_dir)
-    return _SAMPLE_STORE[key]
+
+def stored_sample(spark: SparkSession, sf_dir: str, name: str) -> Sample:
+    """The sample ``name`` of the tables at ``sf_dir``, drawn once and read back by every query.
+
+    It is kept in the shared folder under a name made of the table's files
+    (path, size, time of change) and the parameters, so a changed table or
+    parameter gets a new sample and a removed folder is drawn again.
+    """
+    table = "events" if name == "events" else "lineitem"
+    files = spark.read.format("binaryFile").load(f"{sf_dir}/{table}.parquet")
+    listed = files.select("path", "length", F.col("modificationTime").cast("string")).collect()
+    text = repr((name, sorted(map(tuple, listed)), LINEITEM_SAMPLE_K, EVENTS_SAMPLE_K, TRIP_SAMPLE_K, SAMPLE_SEED, LINEITEM_SAMPLE_KEY))
+    place = f"{checkpoint_root(spark)}/stored-sample-{hashlib.md5(text.encode()).hexdigest()}"
+    try:
+        return _read_stored(spark, place)
+    except AnalysisException:  # not there yet
+        pass
+    drawn = DRAWS[name](spark, sf_dir)
+    row = (drawn.rows.inputFiles()[0].rsplit("/", 1)[0] if drawn.size else "", drawn.population, drawn.size)
+    # Written last: a sample without this row does not count.
+    spark.createDataFrame([row], STORED_SCHEMA).coalesce(1).write.mode("overwrite").parquet(place)
+    return drawn
+
+
+STORED_SCHEMA = "path string, population long, size long"
+
+
+def _read_stored(spark: SparkSession, place: str) -> Sample:
+    row = spark.read.parquet(place).first()
+    return Sample(spark.read.parquet(row["path"]), row["population"], row["size"])
 
 
 def table_for(spark: SparkSession, sf_dir: str, q: str) -> DataFrame:

@@ -2,17 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.compare import GroupCountQuery
 
 
-def _dropoff_hour_weekday(df: DataFrame) -> DataFrame:
-    # dayofweek: 1 = Sunday ... 7 = Saturday, so 2..6 is Monday..Friday.
-    return df.withColumns(
-        {"hour": F.hour("dropoff_datetime"), "day_of_week": F.dayofweek("dropoff_datetime")}
-    )
+# The questions' domains, shared by the trip layer and the test-table carriers.
+
+
+def hour_weekday(time_col: str) -> Callable[[DataFrame], DataFrame]:
+    """Adds ``hour`` and ``day_of_week`` (1 = Sunday ... 7 = Saturday) of a column."""
+    return lambda df: df.withColumns({"hour": F.hour(time_col), "day_of_week": F.dayofweek(time_col)})
+
+
+def weekday_morning() -> Column:
+    return F.col("hour").between(6, 11) & F.col("day_of_week").between(2, 6)
+
+
+def small_count(col: str) -> Callable[[], Column]:
+    return lambda: F.col(col).isNotNull() & F.col(col).between(1, 8)
+
+
+def positive(col: str) -> Callable[[], Column]:
+    return lambda: F.col(col) > 0
 
 
 Q1 = GroupCountQuery(
@@ -26,8 +41,8 @@ Q2 = GroupCountQuery(
     keys=("DOLocationID", "hour"),
     exact_col="exact_dropoff_count",
     sampled_col="sampled_dropoff_count",
-    derive=_dropoff_hour_weekday,
-    where=lambda: F.col("hour").between(6, 11) & F.col("day_of_week").between(2, 6),
+    derive=hour_weekday("dropoff_datetime"),
+    where=weekday_morning,
     top=50,
     description="Top 50 (dropoff location, hour), weekdays 06-11h by dropoff time",
 )
@@ -40,7 +55,7 @@ Q3 = GroupCountQuery(
 Q4 = GroupCountQuery(
     name="Q4_Passenger_Count_Distribution",
     keys=("passenger_count",),
-    where=lambda: F.col("passenger_count").isNotNull() & F.col("passenger_count").between(1, 8),
+    where=small_count("passenger_count"),
     sketch_filtered=False,
     order="key",
     description="Trips per passenger count 1..8 (sketch over the whole layer)",
@@ -53,7 +68,7 @@ Q5 = GroupCountQuery(
 Q6 = GroupCountQuery(
     name="Q6_Top10_Frequent_Tip_Amounts",
     keys=("tip_amount",),
-    where=lambda: F.col("tip_amount") > 0,
+    where=positive("tip_amount"),
     top=10,
     description="Top 10 tip amounts above zero",
 )

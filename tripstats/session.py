@@ -4,12 +4,14 @@ Everything heavy runs inside Spark; this module only builds a session with the
 settings the library relies on and hands out fresh paths under the shared
 checkpoint folder (``spark.checkpoint.dir``), which on a cluster must be a
 shared file system.  A machine-local temporary folder is only created when the
-session has no checkpoint folder at all (tests, a laptop).
+session has no checkpoint folder and its master is local (tests, a laptop); a
+cluster session without one is refused.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -69,8 +71,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 
     Read from the session first (``spark.checkpoint.dir`` or the context's
-    checkpoint directory).  Only when neither is set -- tests and local runs --
-    a fresh local folder is created and registered as the checkpoint folder.
+    checkpoint directory).  When neither is set, a session with a local master
+    gets a fresh local folder, registered as the checkpoint folder; any other
+    session is refused, since its executors could not see such a folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -79,11 +82,14 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # Spark Connect has no SparkContext
             root = None
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if re.fullmatch(r"local(\[[^\]]*\])?", master) is None:
+            raise RuntimeError(
+                f"spark.checkpoint.dir is not set (master {master!r}); "
+                "name a folder there that the driver and all executors share"
+            )
         root = tempfile.mkdtemp(prefix="tripstats-ckpt-")
-        try:
-            spark.sparkContext.setCheckpointDir(root)
-        except Exception:  # Spark Connect: no SparkContext; the folder is still used
-            pass
+        spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
@@ -94,3 +100,12 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     is still reading from, and a retried job never sees a half-written table.
     """
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def broadcast_threshold(spark: SparkSession) -> int:
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes; below 0 when broadcasts are off."""
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower()
+    m = re.fullmatch(r"(-?\d+)\s*([kmgt]?)b?", text)
+    if m is None:
+        raise ValueError(f"spark.sql.autoBroadcastJoinThreshold: {text!r}")
+    return int(m[1]) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[m[2]]
