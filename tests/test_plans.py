@@ -50,6 +50,27 @@ def test_sketch_lookup_broadcasts_bounded_cells(spark):
     assert "BroadcastHashJoin" in p or "BroadcastExchange" in p
 
 
+def test_joins_go_by_runtime_size(spark):
+    """No fixed row count decides: with broadcasts off the same plan is a sort-merge join, with the same rows."""
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    params = SketchParams(eps=0.05)
+    counts = exact_counts(li, ["l_suppkey"], "n")
+    found = []
+    for limit in ("10m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        df = cms_estimate(counts, ["l_suppkey"], cms_cells(li, ["l_suppkey"], params), params)
+        rows = sorted(map(tuple, df.collect()))
+        found.append((rows, "BroadcastHashJoin" in plan(df)))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found[0][0] == found[1][0] and found[0][1] and not found[1][1]
+
+
+def test_question_four_scans_once_for_its_exact_side(spark):
+    from tripstats.plans import registry as R
+
+    assert plan(R.exact("q4", spark, SF_SMALL)).count("Scan parquet") <= 2  # tree line and detail line
+
+
 def test_no_python_udf_in_hot_paths(spark):
     li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
     p = plan(cms_cells(li, ["l_suppkey"], SketchParams()))

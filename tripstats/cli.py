@@ -59,7 +59,8 @@ def _parser() -> argparse.ArgumentParser:
         p.add_argument("--eps", type=float, default=_env("CMS_EPSILON", DEFAULT_CMS_EPS, float))
         p.add_argument("--confidence", type=float, default=_env("CMS_CONFIDENCE", DEFAULT_CMS_CONFIDENCE, float))
         p.add_argument("--cms-seed", type=int, default=_env("CMS_SEED", DEFAULT_CMS_SEED, int))
-        p.add_argument("--no-times", action="store_true", help="skip the per-method timing runs")
+        p.add_argument("--times", action="store_true", help="run, write and time each method on its own")
+        p.add_argument("--no-times", action="store_true", help="accepted and ignored: times are off by default")
         p.add_argument("--months", nargs=2, metavar=("FIRST", "LAST"),
                        help="restrict gold to pickup months FIRST..LAST (dates); prunes partitions")
 
@@ -81,6 +82,12 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--silver", required=True)
     p.add_argument("--sample", required=True)
     p.add_argument("--gold", required=True)
+    p.add_argument("--sketches", help="use the monthly sketches stored there by the sketches stage")
+    sketch_args(p)
+
+    p = sub.add_parser("sketches", help="silver -> one stored sketch for each question and month")
+    p.add_argument("--silver", required=True)
+    p.add_argument("--sketches", required=True)
     sketch_args(p)
 
     p = sub.add_parser("run", help="all stages under one root")
@@ -93,6 +100,10 @@ def _parser() -> argparse.ArgumentParser:
     return ap
 
 
+def _sketch_params(args) -> SketchParams:
+    return SketchParams(args.eps, args.confidence, args.cms_seed, P.PIPELINE_SKETCH.hash)
+
+
 def main(argv: list[str] | None = None, spark=None) -> int:
     args = _parser().parse_args(argv)
     spark = spark or build_session()
@@ -108,11 +119,13 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         elif args.stage == "validate":
             out["row_count"] = P.run_gate(spark, args.silver, args.report)
         elif args.stage == "analytics":
-            params = SketchParams(args.eps, args.confidence, args.cms_seed)
             out["metrics"] = P.build_gold(
-                spark, args.silver, args.sample, args.gold, params, measure_times=not args.no_times,
-                months=tuple(args.months) if args.months else None,
+                spark, args.silver, args.sample, args.gold, _sketch_params(args), measure_times=args.times,
+                months=tuple(args.months) if args.months else None, sketch_path=args.sketches,
             )
+        elif args.stage == "sketches":
+            P.build_sketches(spark, args.silver, args.sketches, _sketch_params(args),
+                             months=tuple(args.months) if args.months else None)
         else:
             res = P.run_pipeline(
                 spark,
@@ -120,14 +133,14 @@ def main(argv: list[str] | None = None, spark=None) -> int:
                 args.out,
                 sample_size=args.sample_size,
                 sample_seed=args.sample_seed,
-                params=SketchParams(args.eps, args.confidence, args.cms_seed),
+                params=_sketch_params(args),
                 date_lo=args.date_lo,
                 date_hi=args.date_hi,
                 range_mode=args.range_mode,
                 dedup=args.dedup,
                 min_files=args.min_files,
                 gate_before_gold=not args.gate_last,
-                measure_times=not args.no_times,
+                measure_times=args.times,
                 months=tuple(args.months) if args.months else None,
             )
             out.update(status=res.status, counts=res.counts, metrics=res.metrics)

@@ -19,9 +19,6 @@ from .sample import Sample
 from .sketch import SketchParams, cms_cells, cms_cells_from_counts, cms_estimate
 
 CMS_COL = "cms_estimated_count"
-# A sample's group counts have at most ``sample.size`` rows; they are
-# broadcast to the comparison join only under this many rows.
-MAX_BROADCAST_SAMPLE_GROUPS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -86,20 +83,25 @@ def sample_top(q: GroupCountQuery, sample: Sample, k: int | None = None) -> Data
 
 
 def sketch_cells_for(
-    q: GroupCountQuery, table: DataFrame, params: SketchParams, mode: str = "grouped"
+    q: GroupCountQuery,
+    table: DataFrame,
+    params: SketchParams,
+    mode: str = "rows",
+    group_cols: Sequence[str] = (),
 ) -> DataFrame:
     """Cell table of the query's sketch domain.
 
-    ``mode="rows"`` hashes row by row (task state bounded by the sketch
-    size); ``mode="grouped"`` hashes each distinct key once -- from the exact
-    group counts when the sketch domain is the query domain (Spark reuses
-    that aggregate's exchange), else after a pre-aggregation by key.  Both
-    give the same cells.
+    ``mode="rows"`` hashes row by row: one pass, state bounded by the sketch's
+    size, no exact counts.  ``mode="grouped"`` first counts each distinct key
+    exactly (unbounded state, but fewer hashes where keys repeat a lot).  Both
+    give the same cells.  ``group_cols`` builds a sketch for each group.
     """
     if mode == "rows":
-        return cms_cells(q.sketch_domain(table), q.keys, params, weight=q.weight)
+        return cms_cells(q.sketch_domain(table), q.keys, params, group_cols=group_cols, weight=q.weight)
     if mode != "grouped":
         raise ValueError(f"unknown sketch mode {mode!r}")
+    if group_cols:
+        return cms_cells(q.sketch_domain(table), q.keys, params, pre_group=True, group_cols=group_cols, weight=q.weight)
     if q.sketch_filtered:
         return cms_cells_from_counts(exact_all(q, table), q.keys, q.exact_col, params)
     return cms_cells(q.sketch_domain(table), q.keys, params, pre_group=True, weight=q.weight)
@@ -109,12 +111,16 @@ def cms_side(
     q: GroupCountQuery,
     table: DataFrame,
     params: SketchParams,
-    mode: str = "grouped",
+    mode: str = "rows",
     exact: DataFrame | None = None,
+    cells: DataFrame | None = None,
 ) -> DataFrame:
-    """Sketch estimates for the keys of the exact side (its top keys)."""
+    """Sketch estimates for the keys of the exact side (its top keys).
+
+    ``cells`` is a stored (merged) sketch; without it one is built from the table.
+    """
     exact = exact if exact is not None else exact_side(q, table)
-    cells = sketch_cells_for(q, table, params, mode)
+    cells = cells if cells is not None else sketch_cells_for(q, table, params, mode)
     return cms_estimate(exact, q.keys, cells, params, CMS_COL)
 
 
@@ -127,18 +133,16 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def combine(q: GroupCountQuery, with_cms: DataFrame, sampled: DataFrame, sample_size: int) -> DataFrame:
+def combine(q: GroupCountQuery, with_cms: DataFrame, sampled: DataFrame, ordered: bool = True) -> DataFrame:
     """Join the exact+sketch side to the sample side and order the result.
 
     ``with_cms`` has ``keys, exact, cms_estimated_count`` (one row per kept
-    group), ``sampled`` has ``keys, sampled``.  The sample side has at most
-    ``sample_size`` groups and is broadcast under that bound.
+    group), ``sampled`` has ``keys, sampled``.  ``ordered=False`` leaves the
+    presentation order out, for a result that is aggregated further.
     """
-    if sample_size <= MAX_BROADCAST_SAMPLE_GROUPS:
-        sampled = F.broadcast(sampled)
     joined = _join_null_safe(with_cms, sampled, q.keys, "left")
-    cols = [*q.keys, q.exact_col, q.sampled_col, CMS_COL]
-    return order_result(joined.select(*cols), q.order, q.exact_col, q.keys)
+    out = joined.select(*q.keys, q.exact_col, q.sampled_col, CMS_COL)
+    return order_result(out, q.order, q.exact_col, q.keys) if ordered else out
 
 
 def comparison(
@@ -146,7 +150,9 @@ def comparison(
     table: DataFrame,
     sample: Sample,
     params: SketchParams = SketchParams(),
-    mode: str = "grouped",
+    mode: str = "rows",
+    cells: DataFrame | None = None,
+    ordered: bool = True,
 ) -> DataFrame:
     """``keys, exact, sampled, cms_estimated_count`` for the exact top groups.
 
@@ -155,5 +161,5 @@ def comparison(
     keys, so a group missing from the sample has a null sampled count.
     """
     exact = exact_side(q, table)
-    with_cms = cms_side(q, table, params, mode, exact=exact)
-    return combine(q, with_cms, sample_side(q, sample), sample.size)
+    with_cms = cms_side(q, table, params, mode, exact=exact, cells=cells)
+    return combine(q, with_cms, sample_side(q, sample), ordered)

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import RANK_BITS, RANK_SPACE, rank_hash, rank_threshold
-from ..functions.keys import ColumnLike, as_column, key_text, seeded
+from ..functions.keys import ColumnLike, as_column, key_text, seeded, value_columns
 from ..schemas import DEFAULT_SAMPLE_SEED
 from ..session import fresh_path
 
@@ -129,16 +129,83 @@ def sample_bottom_k(
     if path is None:
         path = fresh_path(spark, "sample")
     ranked = _with_rank(df, key_cols, seed, method)
+    rows = _written_bottom(ranked, size, population, method, path)
+    return Sample(rows=rows, population=population, size=size)
+
+
+def _written_bottom(ranked: DataFrame, size: int, population: int, method: str, path: str) -> DataFrame:
+    """The ``size`` rows of smallest rank, written to ``path`` (pre-filtered, checked, redone if need be)."""
+    spark = ranked.sparkSession
     threshold = prefilter_threshold(size, population)
     _bottom(ranked, size, threshold, method).write.mode("overwrite").parquet(path)
     rows = spark.read.parquet(path)
     if threshold < RANK_SPACE and rows.count() < size:
         # Fewer than ``size`` rows under the threshold (p < 1e-15): redo the
-        # pass over all rows into a new folder.
-        path = fresh_path(spark, "sample")
+        # pass over all rows, beside the first try.
+        path = f"{path}-redo"
         _bottom(ranked, size, RANK_SPACE, method).write.mode("overwrite").parquet(path)
         rows = spark.read.parquet(path)
-    return Sample(rows=rows, population=population, size=size)
+    return rows
+
+
+# Copy numbers that one row is spread into at a time; a content with more
+# copies is split over several rows (and tasks) first.
+COPIES_PER_CHUNK = 1 << 16
+
+
+def sample_content_k(
+    df: DataFrame,
+    k: int,
+    seed: int = DEFAULT_SAMPLE_SEED,
+    path: str | None = None,
+    method: str = "xxhash64",
+) -> Sample:
+    """``min(k, N)`` rows of smallest rank, a row's identity being its content.
+
+    A row is ranked by the hash of all its columns and its copy number
+    (0, 1, ... among equal rows), so the sample depends on nothing but the
+    rows and the seed: not on files, their names, or partitions.  Copies get
+    ranks of their own, so a row with many copies enters in proportion.
+
+    1. Equal rows are counted by hash (combined before the shuffle).
+    2. Each content's copies are ranked, in chunks of bounded size, and the
+       ``k`` smallest ranks are chosen: at most ``k`` hashes.
+    3. Those hashes are joined back to the rows; one row of each content is
+       kept and repeated as often as it was chosen.
+    """
+    if k < 0:
+        raise ValueError("k must be >= 0")
+    if method not in RANK_METHODS:
+        raise ValueError(f"unknown rank method {method!r}; use one of {RANK_METHODS}")
+    spark = df.sparkSession
+    path = path or fresh_path(spark, "sample")
+    values = value_columns(df, df.columns)
+    if method == "md5":
+        identity = {"_id": F.md5(key_text(values))}
+    else:
+        flags = [c.isNull() for c in values]
+        identity = {"_id": F.xxhash64(F.lit(1), *values, *flags), "_id2": F.xxhash64(F.lit(2), *values, *flags)}
+    ids = list(identity)
+    counted = df.select(*[c.alias(n) for n, c in identity.items()]).groupBy(*ids).agg(F.count(F.lit(1)).alias("_n"))
+    counted.write.mode("overwrite").parquet(f"{path}-contents")
+    counted = spark.read.parquet(f"{path}-contents")
+    population = int(counted.agg(F.sum("_n")).first()[0] or 0)
+    size = min(k, population)
+    many = F.col("_n") > COPIES_PER_CHUNK
+    chunk = F.lit(COPIES_PER_CHUNK)
+    single = counted.where(~many).select(*ids, "_n", F.lit(0).cast("bigint").alias("_from"))
+    split = counted.where(many).select(*ids, "_n", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1, chunk)).alias("_from"))
+    parts = single.unionByName(split.repartition("_id", "_from"))
+    last = F.least(F.col("_from") + chunk, F.col("_n")) - 1
+    copies = parts.select(*ids, F.explode(F.sequence(F.col("_from"), last)).alias("_copy"))
+    ranked = _with_rank(copies, [*ids, "_copy"], seed, method)
+    chosen = _written_bottom(ranked, size, population, method, f"{path}-chosen").groupBy(*ids).agg(F.count(F.lit(1)).alias("_times"))
+    # At most k rows; Spark broadcasts them if they are small enough.
+    rows = df.select(F.struct(*df.columns).alias("_row"), *[c.alias(n) for n, c in identity.items()]).join(chosen, ids)
+    rows = rows.groupBy(*ids).agg(F.min("_row").alias("_row"), F.max("_times").alias("_times"))
+    rows = rows.select("_row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times")))).select("_row.*")
+    rows.write.mode("overwrite").parquet(path)
+    return Sample(rows=spark.read.parquet(path), population=population, size=size)
 
 
 def bernoulli_threshold(k: int, population: int) -> int:
@@ -161,17 +228,22 @@ def sample_bernoulli_hash(
     population = df.count()
     threshold = bernoulli_threshold(k, population)
     rank = sample_rank(key_cols, seed)
-    rows = df.where(rank < F.lit(rank_threshold(threshold)))
-    size = rows.count()
-    return Sample(rows=rows, population=population, size=size)
+    return _stored(df.where(rank < F.lit(rank_threshold(threshold))), population)
+
+
+def _stored(rows: DataFrame, population: int) -> Sample:
+    """Write the rows once; their number is then a matter of file footers."""
+    path = fresh_path(rows.sparkSession, "sample")
+    rows.write.parquet(path)
+    rows = rows.sparkSession.read.parquet(path)
+    return Sample(rows=rows, population=population, size=rows.count())
 
 
 def sample_bernoulli_native(df: DataFrame, k: int, seed: int = DEFAULT_SAMPLE_SEED) -> Sample:
     """Spark's own ``sample(fraction, seed)``; depends on partitioning."""
     population = df.count()
     fraction = min(1.0, k / max(1, population))
-    rows = df.sample(withReplacement=False, fraction=fraction, seed=seed)
-    return Sample(rows=rows, population=population, size=rows.count())
+    return _stored(df.sample(withReplacement=False, fraction=fraction, seed=seed), population)
 
 
 def with_sample_sizes(sample: Sample) -> DataFrame:
@@ -192,6 +264,7 @@ __all__ = [
     "sample_bernoulli_hash",
     "sample_bernoulli_native",
     "sample_bottom_k",
+    "sample_content_k",
     "sample_rank",
     "with_sample_sizes",
 ]

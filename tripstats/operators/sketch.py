@@ -9,8 +9,12 @@ every key inserted, each row ``d`` adds 1 to bucket ``b = (h1 + d*h2) mod w``
 * mergeable by ``union`` + ``sum`` (sketches of months add up to the sketch
   of the year);
 * queried by a join: keys x depth rows against the cells, ``min`` per key.
-  The cell table is at most ``w * d`` rows, a bound known before the job
-  runs, so it is the side that may be broadcast.
+  The cell table is at most ``w * d`` rows, so it is broadcast if that many
+  bytes are under the session's broadcast threshold.
+
+Two hash families place a key: ``md5`` of its text with double hashing (any
+SQL engine can rebuild the cells) and ``xxhash64`` of its values, one
+independent hash for each row, several times cheaper and without any text.
 
 Spark's native ``count_min_sketch`` aggregate is offered as well: a compact
 binary artefact, cheaper to build, but it can only be read back through the
@@ -23,16 +27,16 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import bucket, digest_pair
 from ..functions.keys import ColumnLike, as_column, key_part_text, key_text, seeded, value_columns
 from ..schemas import DEFAULT_CMS_CONFIDENCE, DEFAULT_CMS_EPS, DEFAULT_CMS_SEED
+from ..session import broadcast_threshold
 
-# Largest cell table (rows) that is broadcast to the estimate join; 4 M rows
-# of (int, int, bigint) are ~100 MB.  Larger sketches are joined by shuffle.
-MAX_BROADCAST_CELLS = 4_000_000
+HASHES = ("md5", "xxhash64")
+CELL_BYTES = 32  # of one (int, int, bigint) row, generously
 
 
 @dataclass(frozen=True)
@@ -40,6 +44,16 @@ class SketchParams:
     eps: float = DEFAULT_CMS_EPS
     confidence: float = DEFAULT_CMS_CONFIDENCE
     seed: int = DEFAULT_CMS_SEED
+    hash: str = "md5"
+
+    def __post_init__(self) -> None:
+        if self.hash not in HASHES:
+            raise ValueError(f"unknown hash {self.hash!r}; use one of {HASHES}")
+
+    @property
+    def label(self) -> str:
+        """Name of this parameter set; only sketches of one label can be merged."""
+        return f"{self.width}x{self.depth}-{self.hash}-{self.seed}"
 
     @property
     def width(self) -> int:
@@ -58,6 +72,22 @@ def _rows_index(depth: int):
     return F.explode(F.sequence(F.lit(0), F.lit(depth - 1)))
 
 
+def _hash_columns(keys: Sequence[Column], params: SketchParams) -> dict[str, Column]:
+    """What has to be known of a key to find its cells."""
+    if params.hash == "md5":
+        h1, h2 = digest_pair(seeded(key_text(keys), params.seed))
+        return {"_h1": h1, "_h2": h2}
+    # Null flags keep ('a', null) and (null, 'a') apart: the hash skips nulls.
+    flags = [k.isNull() for k in keys]
+    return {"_h1": F.xxhash64(F.lit(params.seed), *keys, *flags)}
+
+
+def _bucket_of(d: Column, params: SketchParams) -> Column:
+    if params.hash == "md5":
+        return bucket(F.col("_h1"), F.col("_h2"), d, params.width)
+    return F.pmod(F.xxhash64(F.col("_h1"), d), F.lit(params.width)).cast("int")
+
+
 def cms_cells(
     df: DataFrame,
     key_cols: Sequence[ColumnLike],
@@ -85,20 +115,14 @@ def cms_cells(
         total_n = F.sum(F.col(weight)) if weight else F.count(F.lit(1))
         grouped = df.groupBy(*group_cols, *parts).agg(total_n.cast("bigint").alias("_n"))
         names = [f"_g{i}" for i in range(len(parts))]
-        text = seeded(key_text(value_columns(grouped, names)), params.seed)
-        base = grouped.select(*group_cols, "_n", text.alias("_k"))
+        base, keys, weighted = grouped, value_columns(grouped, names), ["_n"]
     else:
-        text = seeded(key_text(value_columns(df, key_cols)), params.seed).alias("_k")
-        base = df.select(*group_cols, text, *weighted)
+        base, keys = df, value_columns(df, key_cols)
     carry = ["_n"] if (pre_group or weight) else []
-    h1, h2 = digest_pair(F.col("_k"))
-    hashed = base.select(*group_cols, *carry, h1.alias("_h1"), h2.alias("_h2"))
-    exploded = hashed.select(*group_cols, *carry, "_h1", "_h2", _rows_index(params.depth).alias("d"))
-    cell = [
-        *group_cols,
-        F.col("d").cast("int").alias("d"),
-        bucket(F.col("_h1"), F.col("_h2"), F.col("d"), params.width).alias("b"),
-    ]
+    hashes = _hash_columns(keys, params)
+    hashed = base.select(*group_cols, *weighted, *[c.alias(n) for n, c in hashes.items()])
+    exploded = hashed.select(*group_cols, *carry, *hashes, _rows_index(params.depth).alias("d"))
+    cell = [*group_cols, F.col("d").cast("int").alias("d"), _bucket_of(F.col("d"), params).alias("b")]
     total = F.sum("_n") if carry else F.count(F.lit(1))
     return exploded.groupBy(*cell).agg(total.cast("bigint").alias("c"))
 
@@ -116,13 +140,10 @@ def cms_cells_from_counts(
     counts of the same domain are computed anyway: Spark then shares the
     group-count exchange between the exact answer and the sketch.
     """
-    h1, h2 = digest_pair(seeded(key_text(value_columns(counts, key_cols)), params.seed))
-    hashed = counts.select(F.col(count_col).alias("_n"), h1.alias("_h1"), h2.alias("_h2"))
-    exploded = hashed.select("_n", "_h1", "_h2", _rows_index(params.depth).alias("d"))
-    cell = [
-        F.col("d").cast("int").alias("d"),
-        bucket(F.col("_h1"), F.col("_h2"), F.col("d"), params.width).alias("b"),
-    ]
+    hashes = _hash_columns(value_columns(counts, key_cols), params)
+    hashed = counts.select(F.col(count_col).alias("_n"), *[c.alias(n) for n, c in hashes.items()])
+    exploded = hashed.select("_n", *hashes, _rows_index(params.depth).alias("d"))
+    cell = [F.col("d").cast("int").alias("d"), _bucket_of(F.col("d"), params).alias("b")]
     return exploded.groupBy(*cell).agg(F.sum("_n").cast("bigint").alias("c"))
 
 
@@ -152,14 +173,13 @@ def cms_estimate(
     # One projection for both halves (the digest is computed once per row by
     # subexpression elimination).  A single projection over a top-k keeps the
     # ``Limit(Project(Sort))`` shape that Spark plans as TakeOrderedAndProject.
-    h1, h2 = digest_pair(seeded(key_text(value_columns(keys_df, key_cols)), params.seed))
-    probes = keys_df.select(*carry, h1.alias("_h1"), h2.alias("_h2")).select(
-        *carry, "_h1", "_h2", _rows_index(params.depth).alias("_d")
-    )
-    probes = probes.withColumn("_b", bucket(F.col("_h1"), F.col("_h2"), F.col("_d"), params.width))
+    hashes = _hash_columns(value_columns(keys_df, key_cols), params)
+    probes = keys_df.select(*carry, *[c.alias(n) for n, c in hashes.items()])
+    probes = probes.select(*carry, *hashes, _rows_index(params.depth).alias("_d"))
+    probes = probes.withColumn("_b", _bucket_of(F.col("_d"), params))
     side = cells.select(F.col("d").alias("_d"), F.col("b").alias("_b"), F.col("c").alias("_c"))
-    if params.cells <= MAX_BROADCAST_CELLS:
-        side = F.broadcast(side)
+    if params.cells * CELL_BYTES <= broadcast_threshold(keys_df.sparkSession):
+        side = F.broadcast(side)  # never more than width * depth rows
     joined = probes.join(side, ["_d", "_b"], "left")
     return joined.groupBy(*carry).agg(
         F.min(F.coalesce(F.col("_c"), F.lit(0))).cast("bigint").alias(out_col)
@@ -175,7 +195,10 @@ def cms_native(
     """Spark's ``count_min_sketch`` aggregate over the key text (binary).
 
     The aggregate refuses double columns, so the key is always given as
-    text; one serialized sketch per group.
+    text; one serialized sketch per group.  Partial sketches of a group meet
+    in one task, each of ``8 * width * depth`` bytes for every task that holds
+    the group, so build it for groups that are spread over few tasks (a
+    month of a partitioned layer); for the whole of a large table use cells.
     """
     text = key_text(key_cols) if len(key_cols) > 1 else key_part_text(key_cols[0])
     return df.groupBy(*group_cols).agg(

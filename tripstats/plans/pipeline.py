@@ -24,11 +24,12 @@ from ..operators.compare import (
     comparison,
     exact_side,
     sample_side,
+    sketch_cells_for,
 )
 from ..operators.errors import error_metrics
-from ..operators.quality import enforce_gate, gate_report, quarantine
-from ..operators.sample import Sample, sample_bottom_k, with_sample_sizes
-from ..operators.sketch import SketchParams
+from ..operators.quality import enforce_gate, gate_report, reject_reason
+from ..operators.sample import Sample, sample_content_k, with_sample_sizes
+from ..operators.sketch import SketchParams, cms_merge
 from ..schemas import (
     CORRUPT_RECORD_COL,
     DEFAULT_DATE_HI,
@@ -37,6 +38,7 @@ from ..schemas import (
     DEFAULT_SAMPLE_SIZE,
     METRICS_SCHEMA,
     RAW_TRIP_SCHEMA,
+    SILVER_PARTITION_COLUMNS,
     SILVER_SCHEMA,
 )
 from ..sources.csv_source import read_raw_csv
@@ -50,13 +52,6 @@ from ..sources.layers import (
 )
 from .taxi import TAXI_QUERIES
 
-# Row identity used to rank silver rows for the sample: the row's place in
-# the layer (file and row index within the file).  It is unique even when a
-# third of all rows are identical copies -- ranking by content would give all
-# copies one rank, so they would enter the sample all together or not at all
-# -- and it does not depend on how Spark splits the files into tasks.
-SAMPLE_IDENTITY = ("_metadata.file_path", "_metadata.row_index")
-
 
 @dataclass
 class Layout:
@@ -135,11 +130,18 @@ def run_gate(spark: SparkSession, silver_path: str, report_path: str) -> int:
     return enforce_gate(spark.read.parquet(report_path))
 
 
-def write_quarantine(df: DataFrame, clean_path: str, rejects_path: str) -> None:
-    """Write rows passing every row rule and rejected rows (with reason)."""
-    clean, rejects = quarantine(df)
-    write_flat(clean, clean_path)
-    write_flat(rejects, rejects_path)
+def write_quarantine(df: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """Write the rows with their ``reject_reason`` once, split by acceptance.
+
+    One scan of ``df``: the folders ``rejected=false`` and ``rejected=true``
+    under ``path`` hold the two sides, which are returned as read back.
+    """
+    reason = reject_reason()
+    marked = df.withColumn("reject_reason", reason).withColumn("rejected", F.col("reject_reason").isNotNull())
+    schema = marked.schema
+    marked.write.mode("overwrite").partitionBy("rejected").parquet(path)
+    stored = df.sparkSession.read.schema(schema).parquet(path)
+    return stored.where(~F.col("rejected")).drop("rejected", "reject_reason"), stored.where("rejected").drop("rejected")
 
 
 def build_sample(
@@ -148,17 +150,16 @@ def build_sample(
     sample_path: str,
     k: int = DEFAULT_SAMPLE_SIZE,
     seed: int = DEFAULT_SAMPLE_SEED,
-    identity: Sequence[str] = SAMPLE_IDENTITY,
     rank_method: str = "xxhash64",
 ) -> Sample:
-    """Bottom-k sample of silver, stored with its population and size.
+    """Sample of silver by row content, stored with its population and size.
 
-    The rank is ``xxhash64`` of the identity columns by default (no text is
-    built per row -- the cheap choice for the largest table); ``md5`` gives a
-    sample that other SQL engines can reproduce row for row.
+    Equal silver rows and seed give an equal sample, wherever the layer lies
+    and however it is split into files.  The rank is ``xxhash64`` by default;
+    ``md5`` gives a sample that other SQL engines can reproduce row for row.
     """
     silver = read_silver(spark, silver_path)
-    drawn = sample_bottom_k(silver, k, identity, seed, path=f"{sample_path}_rows", method=rank_method)
+    drawn = sample_content_k(silver, k, seed, path=f"{sample_path}_rows", method=rank_method)
     write_flat(with_sample_sizes(drawn), sample_path)
     return read_sample(spark, sample_path)
 
@@ -177,28 +178,77 @@ def _timed_write(df: DataFrame, path: str) -> int:
     return int((time.perf_counter() - t0) * 1000)
 
 
+# The pipeline's sketches: cheap hashes, since no other engine rebuilds them.
+PIPELINE_SKETCH = SketchParams(hash="xxhash64")
+
+
+def build_sketches(
+    spark: SparkSession,
+    silver_path: str,
+    sketch_path: str,
+    params: SketchParams = PIPELINE_SKETCH,
+    queries: Sequence[GroupCountQuery] = TAXI_QUERIES,
+    months: tuple[str, str] | None = None,
+) -> None:
+    """Write one sketch for each question and month: cells partitioned by year and month.
+
+    One pass over silver for each question, row by row, with state bounded by
+    the sketch size a month; no exact group counts.
+    """
+    silver = read_silver(spark, silver_path)
+    if months is not None:
+        silver = read_months(spark, silver_path, months[0], months[1], SILVER_SCHEMA)
+    for i, q in enumerate(queries, start=1):
+        _build_sketch(q, silver, _sketch_folder(sketch_path, i, params), params)
+
+
+def _sketch_folder(sketch_path: str, number: int, params: SketchParams) -> str:
+    return f"{sketch_path}/query{number}-{params.label}"
+
+
+def _build_sketch(q: GroupCountQuery, silver: DataFrame, path: str, params: SketchParams) -> None:
+    cells = sketch_cells_for(q, silver, params, group_cols=SILVER_PARTITION_COLUMNS)
+    cells.write.mode("overwrite").partitionBy(*SILVER_PARTITION_COLUMNS).parquet(path)
+
+
+CELL_SCHEMA = "d int, b int, c bigint, year int, month int"
+
+
+def merged_sketch(spark: SparkSession, path: str, months: tuple[str, str] | None = None) -> DataFrame:
+    """The stored monthly sketches of a question, or of a range of months, added up."""
+    cells = spark.read.schema(CELL_SCHEMA).parquet(path)
+    if months is not None:
+        cells = cells.where(month_range_predicate(*months))
+    return cms_merge(cells.select("d", "b", "c"))
+
+
 def build_gold(
     spark: SparkSession,
     silver_path: str,
     sample_path: str,
     gold_path: str,
-    params: SketchParams = SketchParams(),
+    params: SketchParams = PIPELINE_SKETCH,
     queries: Sequence[GroupCountQuery] = TAXI_QUERIES,
-    measure_times: bool = True,
+    measure_times: bool = False,
     months: tuple[str, str] | None = None,
+    sketch_path: str | None = None,
 ) -> list[dict]:
     """Write one comparison table per query and the metrics JSON.
 
     ``months=(first, last)`` (dates, e.g. ``("2023-01-01", "2023-06-30")``)
-    restricts the exact and sketch answers to those pickup months; the
-    predicate is on the partition columns, so only those directories are read.
-
-    With ``measure_times`` each method is run and written on its own (under
-    ``gold/_parts``) and timed: exact top groups; scaled sample counts; the
-    sketch (built over silver) with estimates for the stored exact keys.  The
-    comparison is then a join of the stored parts -- no further pass over
-    silver.  Without it, each comparison is one plan.  Error metrics are
-    computed from the written comparison tables.
+    restricts the answers to those pickup months; the predicate is on the
+    partition columns, so only those directories are read.
+
+    Sketch answers come from monthly sketches: those stored at
+    ``sketch_path`` by :func:`build_sketches` if it is given (no pass over
+    silver), else built first, under ``gold/_sketches``.
+
+    With ``measure_times`` each method is run, written on its own (under
+    ``gold/_parts``) and timed: exact top groups; scaled sample counts;
+    building the sketch, if that is done here, and estimating.  The
+    comparison is then a join of the stored parts.  Without it the exact
+    answer and the comparison are one plan.  Error metrics are computed from
+    the written comparison tables.
     """
     silver = read_silver(spark, silver_path)
     sample = read_sample(spark, sample_path)
@@ -209,17 +259,22 @@ def build_gold(
     for i, q in enumerate(queries, start=1):
         out = f"{gold_path}/query{i}"
         times = {"exact_time_ms": None, "sample_time_ms": None, "cms_time_ms": None}
+        t0 = time.perf_counter()
+        folder = _sketch_folder(sketch_path or f"{gold_path}/_sketches", i, params)
+        if sketch_path is None:
+            _build_sketch(q, silver, folder, params)
+        build_ms = int((time.perf_counter() - t0) * 1000)
+        cells = merged_sketch(spark, folder, months)
         if measure_times:
             parts = f"{gold_path}/_parts/query{i}"
             times["exact_time_ms"] = _timed_write(exact_side(q, silver), f"{parts}/exact")
             times["sample_time_ms"] = _timed_write(sample_side(q, sample), f"{parts}/sample")
             exact = spark.read.parquet(f"{parts}/exact")
-            times["cms_time_ms"] = _timed_write(cms_side(q, silver, params, exact=exact), f"{parts}/cms")
-            table = combine(
-                q, spark.read.parquet(f"{parts}/cms"), spark.read.parquet(f"{parts}/sample"), sample.size
-            )
+            estimates = cms_side(q, silver, params, exact=exact, cells=cells)
+            times["cms_time_ms"] = build_ms + _timed_write(estimates, f"{parts}/cms")
+            table = combine(q, spark.read.parquet(f"{parts}/cms"), spark.read.parquet(f"{parts}/sample"))
         else:
-            table = comparison(q, silver, sample, params)
+            table = comparison(q, silver, sample, params, cells=cells)
         write_flat(table, out)
         errors = error_metrics(spark.read.parquet(out), q.name, q.exact_col, q.sampled_col, CMS_COL)
         metric_frames.append(
@@ -246,22 +301,22 @@ def run_pipeline(
     out_root: str,
     sample_size: int = DEFAULT_SAMPLE_SIZE,
     sample_seed: int = DEFAULT_SAMPLE_SEED,
-    params: SketchParams = SketchParams(),
+    params: SketchParams = PIPELINE_SKETCH,
     date_lo: str = DEFAULT_DATE_LO,
     date_hi: str = DEFAULT_DATE_HI,
     range_mode: str = INCLUSIVE_MIDNIGHT,
     dedup: bool = False,
     min_files: int = 1,
     gate_before_gold: bool = True,
-    measure_times: bool = True,
+    measure_times: bool = False,
     months: tuple[str, str] | None = None,
 ) -> PipelineResult:
-    """ingest -> clean -> gate -> volume check -> sample -> gold.
+    """ingest -> clean -> volume check -> gate -> sample -> gold.
 
-    The gate runs before gold by default, so failed data never reaches the
-    gold layer (``gate_before_gold=False`` runs it last).  If silver has fewer
-    than ``min_files`` data files the run stops with status
-    ``insufficient_data`` instead of computing gold.
+    If silver has fewer than ``min_files`` data files (by default: none at
+    all) the run stops with status ``insufficient_data``.  The gate runs
+    before gold by default, so failed data never reaches the gold layer
+    (``gate_before_gold=False`` runs it last).
     """
     layout = Layout(out_root.rstrip("/"))
     result = PipelineResult(status="running", layout=layout)
@@ -269,13 +324,12 @@ def run_pipeline(
     result.counts["silver_rows"] = build_silver(
         spark, layout.bronze, layout.silver, date_lo, date_hi, range_mode, dedup
     )
-    if gate_before_gold:
-        run_gate(spark, layout.silver, f"{layout.quality}/gate")
-    files = file_count(read_silver(spark, layout.silver)).first()["file_count"]
-    result.counts["silver_files"] = int(files)
-    if files < min_files:
+    result.counts["silver_files"] = file_count(spark, layout.silver)
+    if result.counts["silver_files"] < min_files:
         result.status = "insufficient_data"
         return result
+    if gate_before_gold:
+        run_gate(spark, layout.silver, f"{layout.quality}/gate")
     sample = build_sample(spark, layout.silver, layout.sample, sample_size, sample_seed)
     result.counts["sample_rows"] = sample.size
     result.metrics = build_gold(
