@@ -41,6 +41,39 @@ def test_lookup_join_same_as_map(spark):
     assert a == b
 
 
+def test_lookup_of_a_code_listed_twice_does_not_multiply_rows(spark):
+    df = spark.createDataFrame([("1.0",), ("2.0",)], "c string")
+    dim = spark.createDataFrame([("1.0", "b"), ("1.0", "a"), (None, "x")], "code string, desc string")
+    got = sorted(tuple(r) for r in lookup_join(df, "c", dim, "code", "desc", "d").collect())
+    assert got == [("1.0", "a"), ("2.0", "Other")]
+
+
+def test_large_and_empty_maps(spark):
+    df = spark.createDataFrame([("7",), ("99999",)], "c string")
+    big = {str(i): f"d{i}" for i in range(12_000)}
+    assert [r[0] for r in df.select(map_lookup("c", big)).collect()] == ["d7", "Other"]
+    assert [r[0] for r in df.select(map_lookup("c", {})).collect()] == ["Other", "Other"]
+
+
+def test_timestamp_forms(spark):
+    from tripstats.operators.clean import parse_timestamp
+    from pyspark.sql import functions as F
+
+    forms = ["2021-01-01 10:00:00", "2021-01-01", "12:34:56", "2021-01-01T00:30:00+05:00", "x"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(forms)], "i int, t string")
+    got = [str(r[1]) for r in df.select("i", parse_timestamp(F.col("t"))).orderBy("i").collect()]
+    # A bare time is null; a zone offset is dropped, not applied.
+    assert got == ["2021-01-01 10:00:00", "2021-01-01 00:00:00", "None", "2021-01-01 00:30:00", "None"]
+
+
+def test_dedup_on_columns_has_a_defined_survivor(spark):
+    rows = [_row(fare_amount=f, tip_amount=t) for f, t in ((10.0, 3.0), (10.0, 1.0), (20.0, 2.0), (20.0, 2.0))]
+    raw = _raw(spark, rows)
+    kept = clean_trips(raw.repartition(3), dedup=["fare_amount"], dedup_order=["tip_amount"])
+    assert sorted((r.fare_amount, r.tip_amount) for r in kept.collect()) == [(10.0, 1.0), (20.0, 2.0)]
+    assert kept.columns == clean_trips(raw).columns
+
+
 def _raw(spark, rows):
     return spark.createDataFrame(rows, RAW_TRIP_SCHEMA)
 

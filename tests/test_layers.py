@@ -6,6 +6,7 @@ from tripstats.plans import trip_carrier as T
 from tripstats.schemas import SILVER_SCHEMA
 from tripstats.sources.layers import (
     file_count,
+    partition_files,
     partition_volume,
     read_layer,
     read_months,
@@ -29,7 +30,17 @@ def test_partitioned_roundtrip_and_pruning(spark, tmp_dir):
     assert max(r["n"] for r in per_month.groupBy("year", "month").agg(F.count("f").alias("n")).collect()) == 1
     vol = {(r["year"], r["month"]): r["row_count"] for r in partition_volume(back).collect()}
     assert sum(vol.values()) == silver.count()
-    assert file_count(back).first()["file_count"] >= len(vol)
+    files = {(r["year"], r["month"]): r["files"] for r in partition_files(spark, path).collect()}
+    assert files.keys() == vol.keys() and file_count(spark, path) == sum(files.values()) >= len(vol)
+
+
+def test_file_count_is_a_listing_with_empty_files(spark, tmp_dir):
+    silver = T.carrier_silver(spark, SF_SMALL)
+    silver.limit(10).coalesce(1).write.parquet(tmp_dir + "/one")
+    silver.where("false").coalesce(1).write.mode("append").parquet(tmp_dir + "/one")
+    assert file_count(spark, tmp_dir + "/one") == 2
+    write_partitioned(silver.where("false"), tmp_dir + "/none")
+    assert file_count(spark, tmp_dir + "/none") == 0
 
 
 def test_dynamic_overwrite_replaces_only_given_months(spark, tmp_dir):

@@ -54,6 +54,17 @@ def test_null_passenger_is_not_a_violation(spark, silver):
     assert _report(silver.unionByName(extra))["passenger_count_positive"] == (0, True)
 
 
+def test_write_quarantine_is_one_write(spark, silver, tmp_dir):
+    from tripstats.plans.pipeline import write_quarantine
+
+    bad = T.with_faults(silver, T.fault_rows(spark))
+    clean, rejects = write_quarantine(bad, tmp_dir + "/split")
+    want_clean, want_rejects = quarantine(bad)
+    assert clean.columns == want_clean.columns and rejects.columns == want_rejects.columns
+    assert clean.exceptAll(want_clean).isEmpty() and clean.count() == want_clean.count()
+    assert rejects.exceptAll(want_rejects).isEmpty() and rejects.count() == 3
+
+
 def test_quarantine_split(spark, silver):
     bad = T.with_faults(silver, T.fault_rows(spark))
     clean, rejects = quarantine(bad)

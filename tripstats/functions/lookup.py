@@ -11,12 +11,6 @@ from pyspark.sql import types as T
 from ..schemas import OTHER_PAYMENT, PAYMENT_TYPE_MAP
 from .keys import ColumnLike, as_column
 
-# A literal map is compiled into the plan; above this many entries a
-# dimension table joined with a broadcast hint is the better form.
-MAX_LITERAL_MAP_ENTRIES = 10_000
-# A dimension is broadcast only when it has at most this many rows.
-MAX_BROADCAST_DIM_ROWS = 1_000_000
-
 
 def map_lookup(
     code: ColumnLike,
@@ -26,10 +20,11 @@ def map_lookup(
     """``mapping[trim(code)]``, or ``default`` when unmapped or null.
 
     A native map expression instead of a UDF: it stays in whole-stage codegen
-    and does not block optimisations.
+    and does not block optimisations.  The map is a literal of the plan; give
+    a large mapping to :func:`lookup_join` as a table, with the same result.
     """
-    if len(mapping) > MAX_LITERAL_MAP_ENTRIES:
-        raise ValueError("mapping too large for a literal map; use lookup_join")
+    if not mapping:
+        return F.lit(default)
     literal = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
     return F.coalesce(F.try_element_at(literal, F.trim(as_column(code))), F.lit(default))
 
@@ -54,19 +49,18 @@ def lookup_join(
     dim_desc: str,
     out_col: str,
     default: str = OTHER_PAYMENT,
-    broadcast_dim: bool | None = None,
+    broadcast_dim: bool = False,
 ) -> DataFrame:
     """Left join ``df`` to a dimension on ``trim(code)``; unmatched -> ``default``.
 
-    ``broadcast_dim=True`` is for a dimension whose size is known to be small
-    (a fixed code list).  ``None`` (default) checks: the dimension's rows are
-    counted and it is broadcast only under ``MAX_BROADCAST_DIM_ROWS``;
-    beyond that Spark picks the join from its size estimates (sort-merge at
-    scale).  ``False`` never hints.
+    The dimension is first reduced to one row per code (the smallest
+    description of a code listed twice), so no row of ``df`` is multiplied.
+    Spark picks the join from the dimension's size, by estimate or at run
+    time: broadcast when it is small, sort-merge with skew splitting beyond.
+    ``broadcast_dim`` hints a broadcast, for a list of a size fixed in code.
     """
-    d = dim.select(F.col(dim_code).alias("_lk_code"), F.col(dim_desc).alias("_lk_desc"))
-    if broadcast_dim is None:
-        broadcast_dim = d.count() <= MAX_BROADCAST_DIM_ROWS
+    d = dim.where(F.col(dim_code).isNotNull()).groupBy(F.col(dim_code).alias("_lk_code"))
+    d = d.agg(F.min(dim_desc).alias("_lk_desc"))
     if broadcast_dim:
         d = F.broadcast(d)
     joined = df.join(d, F.trim(F.col(code)) == F.col("_lk_code"), "left")

@@ -21,8 +21,9 @@ def parse_timestamp(text: Column) -> Column:
 
     Trip times are local wall-clock times without a zone, so they are kept
     zone-free: hour and weekday never shift with the session time zone.
-    ``try_cast`` accepts the same text forms as ``to_timestamp`` without a
-    format, and returns null instead of failing under ANSI mode.
+    ``try_cast`` returns null instead of failing under ANSI mode.  Unlike
+    ``to_timestamp`` without a format it needs a date (a bare ``12:34:56`` is
+    null), and a zone offset in the text is dropped, not applied.
     """
     return text.try_cast("timestamp_ntz")
 
@@ -51,6 +52,7 @@ def clean_trips(
     default_payment: str = OTHER_PAYMENT,
     dedup: bool | Sequence[str] = False,
     add_partitions: bool = True,
+    dedup_order: Sequence[str] = (),
 ) -> DataFrame:
     """Bronze trips -> silver trips.
 
@@ -61,8 +63,13 @@ def clean_trips(
     4. pickup within ``[date_lo, date_hi]`` per ``range_mode``;
     5. ``payment_type_desc`` from the code map, ``default_payment`` otherwise;
     6. ``year`` / ``month`` of the pickup for the partitioned layout;
-    7. optionally drop duplicate rows (all columns, or the given ones).
+    7. optionally drop duplicate rows.  ``dedup=True`` compares the raw columns
+       (derived ones follow from them), before anything is derived.  A list
+       of columns keeps one row for each of their values: the one that is
+       smallest by ``dedup_order``, then by all other columns in order.
     """
+    if dedup is True:
+        bronze = bronze.dropDuplicates()
     df = bronze.withColumns(
         {
             "pickup_datetime": parse_timestamp(F.col("tpep_pickup_datetime")),
@@ -79,6 +86,9 @@ def clean_trips(
         df = df.withColumns(
             {"year": F.year("pickup_datetime"), "month": F.month("pickup_datetime")}
         )
-    if dedup:
-        df = df.dropDuplicates() if dedup is True else df.dropDuplicates(list(dedup))
+    if dedup and dedup is not True:
+        keys, columns = list(dedup), df.columns
+        rest = [*dedup_order, *[c for c in columns if c not in keys and c not in dedup_order]]
+        best = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_best"))  # combined before the shuffle
+        df = best.select(*keys, *[F.col("_best").getField(c).alias(c) for c in rest if c not in keys]).select(*columns)
     return df

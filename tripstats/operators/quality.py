@@ -86,8 +86,8 @@ def quarantine(df: DataFrame, cols: GateColumns = GateColumns()) -> tuple[DataFr
     """Split a layer into rows that pass every row rule and rejected rows.
 
     Rejected rows carry ``reject_reason`` (the first rule they break).  Both
-    sides are filters over the same input; write them in one job with
-    :func:`tripstats.plans.pipeline.write_quarantine` to scan it once.
+    sides are filters over the same input; to write both in one scan use
+    :func:`tripstats.plans.pipeline.write_quarantine`.
     """
     reason = reject_reason(cols)
     clean = df.where(reason.isNull())

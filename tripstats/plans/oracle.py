@@ -9,7 +9,7 @@ BIGINT is HUGEINT, decimal literals are DECIMAL -- hence the casts.
 
 from __future__ import annotations
 
-from ..schemas import PAYMENT_TYPE_MAP
+from ..schemas import PAYMENT_TYPE_MAP, SILVER_SCHEMA
 from . import carriers as C
 from . import registry as R
 from . import trip_carrier as T
@@ -100,6 +100,26 @@ def _order(keys: list[str], count_col: str) -> str:
     return ", ".join([f"{count_col} DESC"] + [f"{k} ASC NULLS LAST" for k in keys])
 
 
+def _trip_dom(q: str, src: str, for_sketch: bool = False) -> str:
+    if q == "q1":
+        return f"SELECT PULocationID FROM {src}"
+    if q == "q2":
+        return (
+            f"SELECT DOLocationID, CAST(hour(dropoff_datetime) AS INTEGER) AS hour FROM {src} "
+            "WHERE hour(dropoff_datetime) >= 6 AND hour(dropoff_datetime) <= 11 "
+            "AND dayofweek(dropoff_datetime) NOT IN (0, 6)"
+        )
+    if q == "q3":
+        return f"SELECT PULocationID, DOLocationID FROM {src}"
+    if q == "q4":
+        return f"SELECT passenger_count FROM {src}" + ("" if for_sketch else " WHERE passenger_count BETWEEN 1 AND 8")
+    if q == "q5":
+        return f"SELECT payment_type_desc FROM {src}"
+    if q == "q6":
+        return f"SELECT tip_amount FROM {src} WHERE tip_amount > 0"
+    raise KeyError(q)
+
+
 def exact_sql(q: str) -> str:
     spec = C.CARRIER_QUERIES[q]
     keys = list(spec.keys)
@@ -160,11 +180,35 @@ def cms_sql(q: str, params=C.NARROW_CMS) -> str:
     return _estimate_sql(exact_sql(q), keys, spec.exact_col, cells, params.width, params.depth, params.seed)
 
 
-def gold_sql(q: str) -> str:
-    spec = C.CARRIER_QUERIES[q]
+def trip_sample_sql() -> str:
+    """Rows of silver by md5 of (seed, md5 of all columns, copy number)."""
+    digest = f"md5({_ktext(list(SILVER_NAMES))})"
+    rank = f"'{S}:' || digest || '|' || CAST(copy AS VARCHAR)"
+    return (
+        f"SELECT {', '.join(SILVER_NAMES)} FROM (SELECT *, row_number() OVER (PARTITION BY digest) - 1 AS copy "
+        f"FROM (SELECT *, {digest} AS digest FROM ({SILVER}))) ORDER BY md5({rank}), {rank} LIMIT {C.TRIP_SAMPLE_K}"
+    )
+
+
+def trip_gold_sql(q: str) -> str:
+    spec = R.TRIP_QUERIES[q]
+    keys, p = list(spec.keys), C.GOLD_CMS
+    ks = ", ".join(keys)
+    exact = f"SELECT {ks}, count(*) AS {spec.exact_col} FROM ({_trip_dom(q, 'silver')}) GROUP BY {ks}"
+    if spec.top is not None:
+        exact += f" ORDER BY {_order(keys, spec.exact_col)} LIMIT {spec.top}"
+    cells = _cells_sql(_trip_dom(q, "silver", for_sketch=True), keys, p.width, p.depth, p.seed)
+    est = _estimate_sql(exact, keys, spec.exact_col, cells, p.width, p.depth, p.seed)
+    factor = "((SELECT count(*) FROM silver)::DOUBLE / (SELECT count(*) FROM smp)::DOUBLE)"
+    sampled = f"SELECT {ks}, round(count(*) * {factor}) AS {spec.sampled_col} FROM ({_trip_dom(q, 'smp')}) GROUP BY {ks}"
+    return (
+        f"WITH silver AS MATERIALIZED ({SILVER}), smp AS ({trip_sample_sql()}) "
+        + _gold_join(spec, f"SELECT * FROM ({est})", sampled)
+    )
+
+
+def _gold_join(spec, est: str, smp: str) -> str:
     keys = list(spec.keys)
-    est = cms_sql(q, C.GOLD_CMS)
-    smp = sample_sql(q)
     on = " AND ".join(f"est.{k} IS NOT DISTINCT FROM sm.{k}" for k in keys)
     ks = ", ".join(f"est.{k}" for k in keys)
     return (
@@ -173,6 +217,10 @@ def gold_sql(q: str) -> str:
     )
 
 
+def gold_sql(q: str) -> str:
+    return _gold_join(C.CARRIER_QUERIES[q], cms_sql(q, C.GOLD_CMS), sample_sql(q))
+
+
 def _metric_sql(q: str) -> str:
     spec = C.CARRIER_QUERIES[q]
     e, s = spec.exact_col, spec.sampled_col
@@ -237,6 +285,7 @@ def _clean(raw: str, upper: str = "between") -> str:
 
 
 SILVER = _clean(RAW)
+SILVER_NAMES = SILVER_SCHEMA.fieldNames()
 FAULTS = (
     "SELECT TIMESTAMP '{0}' AS pickup_datetime, TIMESTAMP '{0}' AS dropoff_datetime, "
     "CAST({1} AS DOUBLE) AS passenger_count, {2} AS PULocationID"
@@ -299,6 +348,9 @@ def oracle_sql() -> dict[str, str]:
         out[f"{q}_sample"] = sample_sql(q)
         out[f"{q}_cms"] = cms_sql(q)
         out[f"gold_{q}"] = gold_sql(q)
+    for q in R.TRIP_QUERIES:
+        out[f"trip_gold_{q}"] = trip_gold_sql(q)
+    out["trip_sample"] = trip_sample_sql()
     out["q1_sample_topk"] = sample_topk_sql()
     out["gold_metrics"] = " UNION ALL ".join(_metric_sql(q) for q in C.CARRIER_QUERIES)
     out["gold_metrics_per_key"] = " UNION ALL ".join(_per_key_sql(q) for q in C.CARRIER_QUERIES)
@@ -312,6 +364,17 @@ def oracle_sql() -> dict[str, str]:
     narrow = C.NARROW_CMS
     out["cms_build_cells"] = _cells_sql("SELECT l_suppkey FROM lineitem", ["l_suppkey"], narrow.width, narrow.depth, narrow.seed)
     out["cms_merge"] = out["cms_build_cells"]
+    # Layout of Spark's binary sketch: version, total, depth, width, a long of hash data a row, a long a cell.
+    out["cms_build_native"] = (
+        "SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(month(l_shipdate) AS INTEGER) AS month, "
+        f"CAST({20 + 8 * narrow.depth + 8 * narrow.depth * narrow.width} AS INTEGER) AS sketch_bytes, count(*) AS total_count "
+        "FROM lineitem GROUP BY ALL"
+    )
+    out["layer_file_count"] = f"SELECT count(*) AS partitions, TRUE AS files_in_each FROM (SELECT DISTINCT year, month FROM ({SILVER}))"
+    out["sample_bernoulli_native"] = (
+        f"SELECT count(*) AS population, CAST({C.EVENTS_SAMPLE_K} AS BIGINT) AS expected_size, "
+        "TRUE AS distinct_rows_of_table, TRUE AS size_within_6_sigma FROM events"
+    )
     out["clean_silver"] = SILVER
     out["clean_dedup"] = f"SELECT DISTINCT * FROM ({_clean(RAW + ' UNION ALL ' + RAW)})"
     out["filter_between_midnight"] = _events_range(False)

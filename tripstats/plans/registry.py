@@ -21,15 +21,17 @@ from ..operators.sketch import cms_cells, cms_merge, cms_native
 from ..schemas import PAYMENT_TYPE_MAP, SILVER_SCHEMA
 from ..session import fresh_path
 from ..sources.csv_source import read_raw_csv, write_csv
-from ..sources.layers import file_count, partition_volume, read_months, write_flat, write_partitioned
+from ..sources.layers import partition_files, partition_volume, read_months, write_flat, write_partitioned
 from . import carriers as C
 from . import trip_carrier as T
+from .taxi import TAXI_QUERIES
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 # Events window of the two range modes (text bounds, SURVEY P5).
 EVENTS_LO = "2024-01-01"
 EVENTS_HI = "2024-01-15"
+TRIP_QUERIES = {f"q{i}": q for i, q in enumerate(TAXI_QUERIES, start=1)}
 
 
 # --- the six questions, per method ------------------------------------------------
@@ -54,13 +56,31 @@ def gold(q: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return cmp.comparison(spec, C.table_for(spark, sf_dir, q), sample, C.GOLD_CMS)
 
 
+def trip_gold(q: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pipeline's own question on the carrier's silver: the definitions that users run."""
+    return cmp.comparison(TRIP_QUERIES[q], T.carrier_silver(spark, sf_dir), C.stored_sample(spark, sf_dir, "trips"), C.GOLD_CMS)
+
+
+def trip_sample_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.stored_sample(spark, sf_dir, "trips").rows
+
+
 def sample_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cmp.sample_top(C.C1, C.sample_for(spark, sf_dir, "q1"), 20)
 
 
+def _stored_gold(q: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The comparison without presentation order, written once and read back."""
+    spec = C.CARRIER_QUERIES[q]
+    sample = C.sample_for(spark, sf_dir, q)
+    path = fresh_path(spark, f"gold-{q}")
+    write_flat(cmp.comparison(spec, C.table_for(spark, sf_dir, q), sample, C.GOLD_CMS, ordered=False), path)
+    return spark.read.parquet(path)
+
+
 def gold_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = [
-        error_metrics(gold(q, spark, sf_dir), spec.name, spec.exact_col, spec.sampled_col)
+        error_metrics(_stored_gold(q, spark, sf_dir), spec.name, spec.exact_col, spec.sampled_col)
         for q, spec in C.CARRIER_QUERIES.items()
     ]
     return reduce(DataFrame.unionByName, parts)
@@ -68,7 +88,7 @@ def gold_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gold_metrics_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = [
-        per_key_error_metrics(gold(q, spark, sf_dir), spec.name, spec.exact_col, spec.sampled_col)
+        per_key_error_metrics(_stored_gold(q, spark, sf_dir), spec.name, spec.exact_col, spec.sampled_col)
         for q, spec in C.CARRIER_QUERIES.items()
     ]
     return reduce(DataFrame.unionByName, parts)
@@ -87,8 +107,19 @@ def sample_bernoulli_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample_bernoulli_native_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spark's own ``sample(fraction, seed)``: size varies, depends on partitioning."""
-    return sample_bernoulli_native(C.events(spark, sf_dir), C.EVENTS_SAMPLE_K, C.SAMPLE_SEED).rows
+    """Spark's own ``sample(fraction, seed)``: its rows depend on partitioning, so what can be told of any
+    draw is returned: the population, the size aimed at, whether the rows are distinct rows of the table and
+    whether their number is within six standard deviations."""
+    s = sample_bernoulli_native(C.events(spark, sf_dir), C.EVENTS_SAMPLE_K, C.SAMPLE_SEED)
+    p = min(1.0, C.EVENTS_SAMPLE_K / max(1, s.population))
+    near = abs(s.size - p * s.population) <= 6 * (s.population * p * (1 - p)) ** 0.5
+    ids = s.rows.select("event_id").join(C.events(spark, sf_dir).select("event_id"), "event_id", "left_semi")
+    return ids.agg(
+        F.lit(s.population).cast("long").alias("population"),
+        F.lit(C.EVENTS_SAMPLE_K).cast("long").alias("expected_size"),
+        (F.count_distinct("event_id") == s.size).alias("distinct_rows_of_table"),
+        F.lit(near).alias("size_within_6_sigma"),
+    )
 
 
 def sample_materialized(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,17 +133,25 @@ def cms_build_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cms_cells(C.lineitem(spark, sf_dir), ["l_suppkey"], C.NARROW_CMS)
 
 
+def _lineitem_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.lineitem(spark, sf_dir).withColumns({"year": F.year("l_shipdate"), "month": F.month("l_shipdate")})
+
+
 def cms_build_native(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cms_native(C.lineitem(spark, sf_dir), ["l_suppkey"], C.NARROW_CMS)
+    """Spark's binary sketch for each ship month: its size in bytes and the rows in it."""
+    native = cms_native(_lineitem_months(spark, sf_dir), ["l_suppkey"], C.NARROW_CMS, group_cols=("year", "month"))
+    return native.select("year", "month", F.octet_length("sketch").alias("sketch_bytes"), "total_count")
 
 
 def cms_merge_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One sketch per ship month (one pass), merged into the whole sketch."""
-    li = C.lineitem(spark, sf_dir).withColumns(
-        {"year": F.year("l_shipdate"), "month": F.month("l_shipdate")}
-    )
-    monthly = cms_cells(li, ["l_suppkey"], C.NARROW_CMS, group_cols=("year", "month"))
-    return cms_merge(monthly.drop("year", "month"))
+    """One sketch for each ship month, written as cells by month, read back and merged year by year."""
+    path = fresh_path(spark, "cells")
+    monthly = cms_cells(_lineitem_months(spark, sf_dir), ["l_suppkey"], C.NARROW_CMS, group_cols=("year", "month"))
+    monthly.write.partitionBy("year", "month").parquet(path)
+    cells = spark.read.schema("d int, b int, c long, year int, month int").parquet(path)
+    years = [r["year"] for r in cells.select("year").distinct().orderBy("year").collect()]  # a few numbers
+    yearly = [cms_merge(cells.where(F.col("year") == y).select("d", "b", "c")) for y in years]
+    return cms_merge(*yearly) if yearly else cms_merge(cells.select("d", "b", "c"))
 
 
 # --- layer steps on the lineitem trip carrier ----------------------------------------
@@ -145,8 +184,7 @@ def enrich_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def enrich_broadcast_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = T.lineitem_raw_trips(spark, sf_dir).select("PULocationID", "DOLocationID", "payment_type")
     dim = mapping_frame(spark, PAYMENT_TYPE_MAP, "code", "description")
-    # The dimension is the fixed code list (7 rows): a proven size bound.
-    return lookup_join(raw, "payment_type", dim, "code", "description", "payment_type_desc", broadcast_dim=True)
+    return lookup_join(raw, "payment_type", dim, "code", "description", "payment_type_desc")
 
 
 def ingest_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,8 +212,10 @@ def layer_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def layer_file_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _written_silver(spark, sf_dir)
-    return file_count(spark.read.schema(SILVER_SCHEMA).parquet(path))
+    """Partitions of the written layer, and whether each has a data file (how many is Spark's choice)."""
+    return partition_files(spark, _written_silver(spark, sf_dir)).agg(
+        F.count(F.lit(1)).alias("partitions"), F.coalesce(F.min("files") >= 1, F.lit(True)).alias("files_in_each")
+    )
 
 
 def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,6 +249,9 @@ def queries() -> dict[str, QueryFn]:
         reg[f"{q}_cms"] = partial(sketched, q)
     for q in C.CARRIER_QUERIES:
         reg[f"gold_{q}"] = partial(gold, q)
+    for q in TRIP_QUERIES:
+        reg[f"trip_gold_{q}"] = partial(trip_gold, q)
+    reg["trip_sample"] = trip_sample_q
     reg.update(
         {
             "gold_metrics": gold_metrics,

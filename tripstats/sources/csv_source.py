@@ -8,6 +8,23 @@ from pyspark.sql import types as T
 from ..schemas import CORRUPT_RECORD_COL, RAW_TRIP_SCHEMA
 
 
+def csv_schema(schema: T.StructType, keep_corrupt: bool) -> T.StructType:
+    """``schema``, with a last column for the original line of malformed rows if they are kept."""
+    if not keep_corrupt:
+        return schema
+    return T.StructType([*schema.fields, T.StructField(CORRUPT_RECORD_COL, T.StringType(), True)])
+
+
+def csv_options(verify_header: bool = True, keep_corrupt: bool = False) -> dict[str, str]:
+    """Reader options of raw trip files, the same for batch and stream."""
+    options = {"header": "true", "mode": "PERMISSIVE"}
+    if keep_corrupt:
+        options["columnNameOfCorruptRecord"] = CORRUPT_RECORD_COL
+    if verify_header:
+        options["enforceSchema"] = "false"
+    return options
+
+
 def read_raw_csv(
     spark: SparkSession,
     path: str,
@@ -29,14 +46,8 @@ def read_raw_csv(
     original line of every row whose values did not parse (null otherwise),
     so malformed input can be counted and audited instead of vanishing.
     """
-    if keep_corrupt:
-        schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_RECORD_COL, T.StringType(), True)])
-    reader = spark.read.option("header", "true").option("mode", "PERMISSIVE").schema(schema)
-    if keep_corrupt:
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_RECORD_COL)
-    if verify_header:
-        reader = reader.option("enforceSchema", "false")
-    return reader.csv(path)
+    reader = spark.read.schema(csv_schema(schema, keep_corrupt))
+    return reader.options(**csv_options(verify_header, keep_corrupt)).csv(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -76,8 +76,22 @@ def partition_volume(df: DataFrame, partition_cols: Sequence[str] = ("year", "mo
     return df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def file_count(df: DataFrame) -> DataFrame:
-    """Number of data files behind a file-based DataFrame (one row)."""
-    return df.select(F.col("_metadata.file_path").alias("f")).agg(
-        F.count_distinct("f").alias("file_count")
-    )
+def data_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path) of a layer's Parquet files, from the file listing; no file is opened.
+
+    Files without rows are listed too.
+    """
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+    return listing.option("recursiveFileLookup", "true").load(path).select("path")
+
+
+def file_count(spark: SparkSession, path: str) -> int:
+    """Number of Parquet files of a layer; 0 for a layer without any."""
+    return data_files(spark, path).count()
+
+
+def partition_files(spark: SparkSession, path: str) -> DataFrame:
+    """(year, month, files) of a partitioned layer, from its file listing."""
+    year = F.regexp_extract("path", r"/year=(\d+)/", 1).cast("int").alias("year")
+    month = F.regexp_extract("path", r"/month=(\d+)/", 1).cast("int").alias("month")
+    return data_files(spark, path).groupBy(year, month).agg(F.count(F.lit(1)).alias("files"))

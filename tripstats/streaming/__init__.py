@@ -1,5 +1,5 @@
 """Structured Streaming form of the ingest + clean steps."""
 
-from .ingest import start_silver_stream
+from .ingest import malformed_rows, start_silver_stream
 
-__all__ = ["start_silver_stream"]
+__all__ = ["malformed_rows", "start_silver_stream"]

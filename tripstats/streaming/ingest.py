@@ -6,17 +6,29 @@ transformation (stateless, so it runs unchanged on a stream) cleans it, and
 the file sink appends it to the partitioned silver layer.  The checkpoint
 location records which files were processed, so a restarted or failed query
 neither skips nor duplicates a file (exactly-once file sink).  With
-``available_now`` the query processes everything present and stops, which
+its default trigger the query processes everything present and stops, which
 suits a scheduled batch run.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.clean import INCLUSIVE_MIDNIGHT, clean_trips
-from ..schemas import DEFAULT_DATE_HI, DEFAULT_DATE_LO, RAW_TRIP_SCHEMA, SILVER_PARTITION_COLUMNS
+from ..schemas import (
+    CORRUPT_RECORD_COL,
+    DEFAULT_DATE_HI,
+    DEFAULT_DATE_LO,
+    RAW_TRIP_SCHEMA,
+    SILVER_PARTITION_COLUMNS,
+)
+from ..sources.csv_source import csv_options, csv_schema
+
+OBSERVATION = "ingest"
 
 
 def start_silver_stream(
@@ -27,14 +39,26 @@ def start_silver_stream(
     date_lo: str = DEFAULT_DATE_LO,
     date_hi: str = DEFAULT_DATE_HI,
     range_mode: str = INCLUSIVE_MIDNIGHT,
-    available_now: bool = True,
+    trigger: Mapping[str, object] | None = None,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Start the raw -> silver stream; returns the running query."""
-    reader = spark.readStream.schema(RAW_TRIP_SCHEMA).option("header", "true").option("mode", "PERMISSIVE")
+    """Start the raw -> silver stream; returns the running query.
+
+    The reader is the batch one's: a file whose header is not in the schema's
+    order fails the query, and lines that do not parse are counted, batch by
+    batch, as ``malformed_rows`` among ``raw_rows`` in the observation
+    ``ingest`` of the query's progress.  ``trigger`` is given to
+    ``DataStreamWriter.trigger`` (default: all files present, then stop).
+    """
+    reader = spark.readStream.schema(csv_schema(RAW_TRIP_SCHEMA, True)).options(**csv_options(keep_corrupt=True))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    raw = reader.csv(raw_dir)
+    raw = reader.csv(raw_dir).observe(
+        OBSERVATION,
+        F.count(F.lit(1)).alias("raw_rows"),
+        F.count_if(F.col(CORRUPT_RECORD_COL).isNotNull()).alias("malformed_rows"),
+    )
+    raw = raw.drop(CORRUPT_RECORD_COL)
     silver = clean_trips(raw, date_lo=date_lo, date_hi=date_hi, range_mode=range_mode)
     writer = (
         silver.writeStream.format("parquet")
@@ -42,5 +66,10 @@ def start_silver_stream(
         .option("checkpointLocation", checkpoint_dir)
         .outputMode("append")
     )
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start(silver_dir)
+    return writer.trigger(**(trigger or {"availableNow": True})).start(silver_dir)
+
+
+def malformed_rows(query: StreamingQuery) -> int:
+    """Malformed lines in the batches that the query still reports."""
+    found = [(p["observedMetrics"] or {}).get(OBSERVATION) for p in query.recentProgress]
+    return sum(int(m["malformed_rows"]) for m in found if m is not None)
