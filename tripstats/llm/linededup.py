@@ -174,7 +174,9 @@ def marked_lines(docs: DataFrame) -> DataFrame:
     )
     total = F.aggregate("parts", F.lit(0).cast("long"), lambda acc, p: acc + p["n_docs"]) - overlaps
     judged = runs.where(total >= MIN_DOCS).select(F.col("h1").alias("r1"), F.col("h2").alias("r2"), "top")
-    late = marks.where("kind = 1").join(judged, (F.col("h1") == F.col("r1")) & (F.col("h2") == F.col("r2")))
+    # Judged runs are those at a partition's edges, two for each, and those longer than HOLD rows: a size that
+    # follows the number of partitions, not of rows.
+    late = marks.where("kind = 1").join(F.broadcast(judged), (F.col("h1") == F.col("r1")) & (F.col("h2") == F.col("r2")))
     late = late.where(F.coalesce(F.col("doc_id"), F.lit(int(_NULL_ID))) != F.col("top"))
     return marks.where("kind = 0").select(*names).unionByName(late.select(*names))
 
