@@ -118,3 +118,19 @@ def test_urls_cannot_add_header_lines(spark):
 def test_roles_use_a_grouped_count(spark):
     plan = warc.with_roles(pages_frame(spark, ROWS))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and F is not None
+
+
+def test_file_systems_and_repeated_attempts(spark, tmp_path):
+    from tripstats.llm.shared import file_system
+
+    for uri in ("/a/b", "file:/a/b", "file:///a/b"):
+        assert file_system(uri)[1] == "/a/b"
+    source = warc.write_archives(pages_frame(spark, ROWS).coalesce(1), str(tmp_path / "mono"))
+    archive = warc.list_archives(spark, source).first().archive
+    out = tmp_path / "members"
+    out.mkdir()
+    made = []
+    for _ in range(2):  # a task that runs again
+        warc._normalise_one(archive, f"file:{out}")
+        made.append({p.name: p.read_bytes() for p in out.iterdir()})
+    assert made[0] == made[1] and len(made[0]) == 2

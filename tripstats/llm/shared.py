@@ -28,9 +28,13 @@ def file_system(uri: str):
     """(file system, path) of a shared folder, for tasks that write archives byte by byte."""
     from pyarrow import fs
 
-    if "://" in uri or uri.startswith("file:"):
-        return fs.FileSystem.from_uri(uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri)
-    return fs.LocalFileSystem(), uri
+    scheme, colon, rest = uri.partition(":")
+    if not colon or "/" in scheme:
+        return fs.LocalFileSystem(), uri
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    # Hadoop's names of S3 connectors; other schemes are as pyarrow knows them.
+    return fs.FileSystem.from_uri({"s3a": "s3", "s3n": "s3"}.get(scheme, scheme) + ":" + rest)
 
 
 def free_name(columns: list[str], name: str) -> str:

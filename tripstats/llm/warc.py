@@ -206,8 +206,12 @@ def _normalise_one(archive: str, out: str) -> None:
             }
             index.write(json.dumps(entry).encode() + b"\n")
             offset += len(member)
-    target.move(f"{attempt}.gz", base)
-    target.move(f"{attempt}.idx", f"{base}.idx")
+    for suffix, name in ((".gz", base), (".idx", f"{base}.idx")):
+        try:
+            target.move(attempt + suffix, name)
+        except OSError:  # an earlier attempt's file is there, and this file system does not replace it
+            target.delete_file(name)
+            target.move(attempt + suffix, name)
 
 
 def normalise(spark: SparkSession, path: str, out: str | None = None) -> str:
