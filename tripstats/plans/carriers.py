@@ -174,11 +174,7 @@ def stored_sample(spark: SparkSession, sf_dir: str, name: str) -> Sample:
     (path, size, time of change) and the parameters, so a changed table or
     parameter gets a new sample and a removed folder is drawn again.
     """
-    table = "events" if name == "events" else "lineitem"
-    files = spark.read.format("binaryFile").load(f"{sf_dir}/{table}.parquet")
-    listed = files.select("path", "length", F.col("modificationTime").cast("string")).collect()
-    text = repr((name, sorted(map(tuple, listed)), LINEITEM_SAMPLE_K, EVENTS_SAMPLE_K, TRIP_SAMPLE_K, SAMPLE_SEED, LINEITEM_SAMPLE_KEY))
-    place = f"{checkpoint_root(spark)}/stored-sample-{hashlib.md5(text.encode()).hexdigest()}"
+    place = stored_place(spark, sf_dir, f"sample-{name}", ["events" if name == "events" else "lineitem"])
     try:
         return _read_stored(spark, place)
     except AnalysisException:  # not there yet
@@ -190,6 +186,17 @@ def stored_sample(spark: SparkSession, sf_dir: str, name: str) -> Sample:
     return drawn
 
 
+def stored_place(spark: SparkSession, sf_dir: str, name: str, tables: list[str]) -> str:
+    """A folder name made of the tables' files (path, size, time of change) and the parameters of this module."""
+    listed = []
+    for table in tables:
+        files = spark.read.format("binaryFile").load(f"{sf_dir}/{table}.parquet")
+        listed += files.select("path", "length", F.col("modificationTime").cast("string")).collect()  # a row a file
+    parameters = (LINEITEM_SAMPLE_K, EVENTS_SAMPLE_K, TRIP_SAMPLE_K, SAMPLE_SEED, LINEITEM_SAMPLE_KEY, NARROW_CMS, GOLD_CMS)
+    text = repr((name, sorted(map(tuple, listed)), parameters))
+    return f"{checkpoint_root(spark)}/stored-{name}-{hashlib.md5(text.encode()).hexdigest()}"
+
+
 STORED_SCHEMA = "path string, population long, size long"
 
 
