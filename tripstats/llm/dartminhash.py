@@ -14,15 +14,17 @@ classes are the connected components of these links.
    earliest dart of each coordinate is the signature.  A document with an
    empty coordinate looks twice as far.
 3. Bands of ``ROWS`` coordinates are bucket keys.
-4. A bucket is not expanded into pairs.  In each round some of its open
-   members lead, the others are compared with the leaders exactly, and those
-   that are linked are settled.  The number of leaders doubles each round, so
-   that even a bucket of members without links ends after log2(size) rounds.
-5. A settled document and one not linked to its leader may still be linked.
-   Jaccard distance is a metric, so this takes a distance of at most
-   2 * (1 - threshold) to the leader.  Such pairs, where the classes so far
-   differ, are compared last, against a growing number of the leader's
-   followers and in the end against all of them: no link in a bucket is lost.
+4. A bucket is not expanded into pairs.  In a round some of its members lead:
+   they are compared exactly with the members that are not yet in their class,
+   and then leave the bucket.  Links merge classes, and a bucket whose members
+   are all in one class is done; this settles small buckets, and large groups
+   whose members are alike.
+5. Buckets that still hold several classes after ``ROUNDS`` rounds (near
+   copies of near copies, about as similar as the threshold) are cut into
+   blocks of bounded size.  A task gets two blocks, counts common items by an
+   inverted index and returns which classes are linked, no pairs.  So two
+   documents of a bucket are in one class or have been compared: no link in a
+   bucket is lost.
 
 Words are maximal runs of other characters than space, \\t, \\n, \\v, \\f, \\r; a document
 of 1 to 4 words has one shingle.  Null and empty texts have no words: they are
@@ -46,6 +48,8 @@ from .shared import stored
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 25, 5  # a pair of similarity 0.8 shares a band with probability 0.99995
+ROUNDS = 2
+BLOCK_DOCS, BLOCK_BYTES = 256, 8 << 20  # of a block, on average
 _UNIT = np.uint64(0x9E3779B97F4A7C15)
 _MASK = (1 << 64) - 1
 
@@ -208,70 +212,101 @@ def similarities(pairs: DataFrame, items: DataFrame) -> DataFrame:
     return joined.select("a", "b", "items_a", "items_b").mapInArrow(run, "a long, b long, s double")
 
 
-def _picks(group: str, member: DataFrame, many: int, seed: int) -> DataFrame:
-    """Up to ``many`` members (column ``pick``) of every group, by hash; pre-aggregated before the shuffle."""
-    slot = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(many)) if many > 1 else F.lit(0)
-    return member.groupBy(group, slot.alias("slot")).agg(F.min("id").alias("pick")).select(group, "pick").distinct()
+def _leaders(members: DataFrame, many: int, round_: int) -> DataFrame:
+    """(bucket, pick, pick_label): up to ``many`` members of every bucket, pre-aggregated before the shuffle.
+
+    One order holds for all buckets of a round (the smallest ids in the first
+    one), so that a pair that shares several buckets is met once.
+    """
+    order = F.col("id") if round_ == 1 else F.xxhash64("id", F.lit(round_))
+    slot = F.pmod(F.xxhash64("id", F.lit(-round_)), F.lit(many)) if many > 1 else F.lit(0)
+    best = members.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct(order.alias("order"), "id", "label")).alias("best"))
+    return best.select("bucket", F.col("best.id").alias("pick"), F.col("best.label").alias("pick_label"))
+
+
+def _several_classes(members: DataFrame) -> DataFrame:
+    """The members of buckets that hold more than one class."""
+    open_ = members.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi")
+    # Written, so that the join is one of two plain shuffles, which AQE can split at a large bucket.
+    return members.join(stored(open_.select("bucket"), "dart-open"), "bucket")
 
 
-def links(docs: DataFrame, contents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(a, b): linked contents, by the ids of their representatives; enough of them to join up every class."""
-    spark = docs.sparkSession
+def linked_classes(docs: DataFrame, contents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(id, label): class of every content that shares a bucket, by the ids of representatives."""
     rows = contents.select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("id"))
-    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    members = stored(rows.join(shared, "bucket"), "dart-buckets")
+    members = stored(_several_classes(rows.withColumn("label", F.col("id"))), "dart-buckets")
     wanted = contents.join(members.select(F.col("id").alias("doc_id")).distinct(), "doc_id").select(F.col("doc_id").alias("id"), "k1", "k2")
     items = stored(_item_sets(docs, wanted), "dart-items")
-    edges = spark.createDataFrame([], "a long, b long, s double")
-    near = edges  # pairs below the threshold that may still have linked neighbours
-    least = 1 - 2 * (1 - threshold)
-    leaders, rounds = 1, 0
-    while not members.isEmpty():
-        rounds += 1
-        chosen = _picks("bucket", members, leaders, rounds)
-        met = members.join(chosen, "bucket").where("id != pick")
-        found = stored(similarities(met.select(F.col("pick").alias("a"), F.col("id").alias("b")).distinct(), items), "dart-pairs")
-        edges = edges.unionByName(found.where(F.col("s") >= threshold))
-        near = near.unionByName(found.where((F.col("s") >= least) & (F.col("s") < threshold)))
-        linked = met.join(
-            found.where(F.col("s") >= threshold).select(F.col("a").alias("pick"), F.col("b").alias("id")), ["pick", "id"], "left_semi"
-        )
-        settled = linked.select("bucket", "id").unionByName(chosen.select("bucket", F.col("pick").alias("id"))).distinct()
-        left = members.join(settled, ["bucket", "id"], "left_anti")
-        alone = left.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-        members = stored(left.join(alone, "bucket"), "dart-buckets")
-        leaders *= 2
-    edges = stored(edges, "dart-links")
-    near = stored(near.distinct(), "dart-near")
-    return _late_links(edges, near, items, threshold)
-
-
-def _late_links(edges: DataFrame, near: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
-    """``edges`` and the links between a leader's followers and documents near the leader."""
-    many, seed = 1, 0
-    followers = edges.groupBy("a", F.col("b").alias("id")).agg(F.max("s").alias("s"))
-    while not near.isEmpty():
-        seed += 1
-        label = components(edges, "dart-classes")
-        la, lb = (label.select(F.col("id").alias(c), F.col("label").alias(f"l{c}")) for c in ("a", "b"))
-        open_ = near.join(la, "a", "left").join(lb, "b", "left")
-        open_ = open_.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b", "s")
-        # Only a leader that has followers can still give a link, and only followers at fitting distance.
-        sizes = followers.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
-        near = stored(open_.join(sizes, "a"), "dart-near")
-        if near.isEmpty():
-            break
-        many *= 8
-        few, rest = followers.join(sizes, "a"), followers.join(sizes.where(F.col("n") > many), "a")
-        picked = _picks("a", rest, many, seed).withColumnRenamed("pick", "id").join(followers, ["a", "id"])
-        picked = picked.select("a", "id", "s").unionByName(few.where(F.col("n") <= many).select("a", "id", "s"))
-        fit = (1 - F.col("f.s")) >= (1 - F.col("n.s")) - (1 - threshold) - 1e-9
-        pairs = near.alias("n").join(picked.alias("f"), F.col("n.a") == F.col("f.a")).where(fit & (F.col("f.id") != F.col("n.b")))
-        pairs = pairs.select(F.col("f.id").alias("a"), F.col("n.b").alias("b")).distinct()
-        found = stored(similarities(pairs, items).where(F.col("s") >= threshold), "dart-late")
-        edges = edges.unionByName(found)
-        near = near.where(F.col("n") > many).select("a", "b", "s")  # the others have met all followers
-    return edges.select("a", "b")
+    labels = items.select("id", F.col("id").alias("label"))
+    for round_ in range(1, ROUNDS + 1):
+        if members.isEmpty():
+            return labels
+        chosen = stored(_leaders(members, round_, round_), "dart-leaders")
+        met = members.join(chosen, "bucket").where("label != pick_label")
+        pairs = met.select(F.least("pick", "id").alias("a"), F.greatest("pick", "id").alias("b")).distinct()
+        found = stored(similarities(pairs, items).where(F.col("s") >= threshold), "dart-links")
+        la, lb = (labels.select(F.col("id").alias(c), F.col("label").alias(f"l{c}")) for c in ("a", "b"))
+        merged = _merged_labels(found.join(la, "a").join(lb, "b").select(F.col("la").alias("a"), F.col("lb").alias("b")))
+        labels = stored(_relabelled(labels, merged), "dart-labels")
+        left = members.join(chosen.select("bucket", F.col("pick").alias("id")), ["bucket", "id"], "left_anti")
+        members = stored(_several_classes(_relabelled(left, merged)), "dart-buckets")
+    if members.isEmpty():
+        return labels
+    return stored(_relabelled(labels, _merged_labels(_block_links(members, items, threshold))), "dart-labels")
+
+
+def _merged_labels(links: DataFrame) -> DataFrame:
+    """(label, new): labels of linked classes (a, b) that are replaced."""
+    merged = components(links, "dart-classes").where("id != label")
+    return merged.select(F.col("id").alias("label"), F.col("label").alias("new"))
+
+
+def _relabelled(rows: DataFrame, merged: DataFrame) -> DataFrame:
+    return rows.join(merged, "label", "left").select(*[F.coalesce("new", "label").alias(c) if c == "label" else c for c in rows.columns])
+
+
+def _block_links(members: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): labels of classes of one bucket that a pair of their members links."""
+    sized = members.join(items.select("id", F.octet_length("items").cast("long").alias("bytes")), "id")
+    whole = sized.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK_DOCS), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("long")
+    placed = members.join(whole.select("bucket", blocks.alias("blocks")), "bucket")
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("id", F.lit(5)), F.col("blocks")))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    placed = placed.select("id", "label", "block", "bucket", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+
+    def link(group: pa.Table) -> pa.Table:
+        label = group.column("label").to_numpy()
+        block = group.column("block").to_numpy()
+        lo, hi = group.column("lo")[0].as_py(), group.column("hi")[0].as_py()
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("items")]
+        size = np.array([len(x) for x in sets], np.int64)
+        owner = np.repeat(np.arange(len(sets)), size)
+        flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], owner[order]
+        root = {x: x for x in label.tolist()}
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        out = []
+        for i in np.flatnonzero(block == lo).tolist():
+            begin = np.searchsorted(flat, sets[i], side="left")
+            end = np.searchsorted(flat, sets[i], side="right")
+            common = np.bincount(owner[T.ragged(begin, end - begin)], minlength=len(sets))
+            near = common / np.maximum(size + size[i] - common, 1) >= threshold
+            for j in np.flatnonzero(near & (block == hi) & (label != label[i])).tolist():
+                x, y = find(int(label[i])), find(int(label[j]))
+                if x != y:
+                    root[max(x, y)] = min(x, y)
+                    out.append((x, y))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+    return placed.join(items, "id").groupBy("bucket", "lo", "hi").applyInArrow(link, "a long, b long")
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -286,11 +321,12 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     unique = contents.groupBy("doc_id").agg(F.min(F.struct("k1", "k2")).alias("k")).select("doc_id", "k.k1", "k.k2")
     bands = known.join(unique, ["doc_id", "k1", "k2"]).dropDuplicates(["doc_id", "k1", "k2"])
     representatives = stored(bands.select("doc_id", "k1", "k2", "bands"), "dart-contents")
-    label = components(links(docs, representatives, threshold), "dart-classes")
+    label = linked_classes(docs, representatives, threshold)
     named = contents.join(label.select(F.col("id").alias("doc_id"), "label"), "doc_id", "left").select(
         "k1", "k2", F.coalesce("label", "doc_id").alias("class_id")
     )
-    found = rows.select("doc_id", "k1", "k2").join(named, ["k1", "k2"], "left")
+    # Written for the same reason as above: a content that a third of the rows have must not be one task's join.
+    found = rows.select("doc_id", "k1", "k2").join(stored(named, "dart-named"), ["k1", "k2"], "left")
     return found.select("doc_id", _known(F.col("class_id")).alias("class_id"), "k1", "k2")
 
 
