@@ -162,7 +162,9 @@ def repeated_parts(rows: DataFrame) -> DataFrame:
     """(doc, copy, start, end): word ranges under repeated windows; they may overlap."""
     found = paths_frame(rows)
     counted = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("path").alias("lo"), F.max("path").alias("hi"))
-    repeated = counted.where("n > 1").select("anchor", (F.col("lo") != F.col("hi")).alias("branches"))
+    # Written, so that both sides of the join are plain shuffles by anchor: AQE can then split an anchor that a
+    # large share of the paths have (a run of one word), or broadcast a small table.
+    repeated = stored(counted.where("n > 1").select("anchor", (F.col("lo") != F.col("hi")).alias("branches")), "graph-anchors")
     shared = stored(found.join(repeated, "anchor"), "graph-paths")
     compact = stored(
         shared.groupBy("anchor", "path").agg(
@@ -179,6 +181,7 @@ def repeated_parts(rows: DataFrame) -> DataFrame:
     chosen = compact.where("branches").select("anchor", F.col("first.doc").alias("doc"), F.col("first.copy").alias("copy"), F.col("first.start").alias("start"), "edges")
     windows = stored(_window_frame(rows, chosen), "graph-windows")
     heads = windows.groupBy("anchor", "window").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    heads = stored(heads, "graph-heads")
     single = windows.join(heads.select("anchor", "window", "first"), ["anchor", "window"]).where(~same)
     return whole.unionByName(single.select("doc", "copy", "start", (F.col("start") + WINDOW).alias("end")))
 
