@@ -156,6 +156,12 @@ def leaf_cutoffs(rows: DataFrame, mix: Mix) -> DataFrame:
     return budgets.select(*LEVELS, "epochs").join(cutoffs, list(LEVELS), "left")
 
 
+def _stored_cutoffs(rows: DataFrame, mix: Mix) -> DataFrame:
+    """The cut-offs as a table of their own: joined to it, a leaf with a third of all rows can be split (or the
+    table broadcast), which AQE cannot do to a join that shares a shuffle with an aggregate."""
+    return stored(leaf_cutoffs(rows, mix), "mix-cutoffs")
+
+
 def _taken(rows: DataFrame, cutoffs: DataFrame, mix: Mix) -> DataFrame:
     """A row for each epoch in which a row of ``rows`` is taken; leaf columns stand in ``LEVELS``."""
     last = F.coalesce(order_key(mix, F.col("epochs")) <= F.col("cutoff"), F.lit(False))
@@ -173,7 +179,7 @@ def mixture(docs: DataFrame, mix: Mix | None = None) -> DataFrame:
     """(doc_id, domain, lang, source, n_tokens, epoch): a row for each time a document is taken."""
     mix = mix or Mix()
     rows = stored(_narrow(docs, mix), "mix-rows")
-    return _taken(rows, leaf_cutoffs(rows, mix), mix).select("doc_id", *LEVELS, "n_tokens", "epoch")
+    return _taken(rows, _stored_cutoffs(rows, mix), mix).select("doc_id", *LEVELS, "n_tokens", "epoch")
 
 
 def take_mixture(docs: DataFrame, mix: Mix | None = None) -> DataFrame:
@@ -183,7 +189,7 @@ def take_mixture(docs: DataFrame, mix: Mix | None = None) -> DataFrame:
     rows = stored(_narrow(docs, mix), "mix-rows")
     leaf = leaf_columns(mix)
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    taken = _taken(docs.select("doc_id", *[leaf[c].alias(c) for c in LEVELS], whole), leaf_cutoffs(rows, mix), mix)
+    taken = _taken(docs.select("doc_id", *[leaf[c].alias(c) for c in LEVELS], whole), _stored_cutoffs(rows, mix), mix)
     return taken.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
