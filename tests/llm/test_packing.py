@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 
 from tripstats.llm import packing as K
 from tripstats.llm.queries import vocabulary
+from tripstats.llm.shared import stored
 
 
 @pytest.fixture(scope="module")
@@ -115,3 +116,16 @@ def test_words_give_the_ids_of_whole_texts(tokenizer):
     ids, first = encoder.encode(*T.string_buffer(pa.array(texts)), 2)
     for i, t in enumerate(texts):
         assert ids[first[i] : first[i + 1]].tolist() == [*tokenizer.encode(t, add_special_tokens=False).ids, 2], repr(t)
+
+
+def test_sequences_hold_the_ids_of_their_pieces(edge_docs, small_docs, tokenizer):
+    path = vocabulary("word_bpe_49k.json")
+    for docs in (edge_docs, small_docs):
+        pieces = stored(K.pack(docs, path, max_tokens=512), "test-pieces")
+        found = {r.sequence_id: r.ids for r in K.sequences(docs, pieces, path).collect()}
+        texts = {(r.doc_id, r.text_key): r.text for r in K._keyed(docs).collect()}
+        want = {}
+        for r in pieces.orderBy("sequence_id", "offset").collect():
+            ids = [*tokenizer.encode(texts[r.doc_id, r.text_key], add_special_tokens=False).ids, 2]
+            want.setdefault(r.sequence_id, []).extend(ids[r.start : r.start + r.length])
+        assert found == want

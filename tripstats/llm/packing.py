@@ -344,15 +344,47 @@ def _place(ranked: DataFrame, plan: Layout, max_tokens: int, most_chunks: int) -
     return ranked.mapInArrow(run, PIECE_SCHEMA)
 
 
+def _with_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(doc_id, text_key, text, cuts) of the documents of ``wanted`` (doc_id, text_key, cuts)."""
+    return _keyed(docs).join(
+        wanted.withColumnRenamed("doc_id", "cut_id").withColumnRenamed("text_key", "cut_key"),
+        F.col("doc_id").eqNullSafe(F.col("cut_id")) & (F.col("text_key") == F.col("cut_key")),
+    ).select("doc_id", "text_key", "text", "cuts")
+
+
+def sequences(docs: DataFrame, pieces: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFrame:
+    """(sequence_id, ids): the packed sequences themselves, from the texts and the pieces of :func:`pack`.
+
+    A sequence gathers at most ``max_tokens`` ids.  Rows that are equal in
+    doc_id and text are packed once each and read once.
+    """
+    wanted = pieces.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "length", "sequence_id", "offset")).alias("cuts"))
+    texts = _with_texts(docs, wanted).dropDuplicates(["doc_id", "text_key"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = WordTokenizer.of(vocabulary)
+        for batch in batches:
+            raw, offsets = T.string_buffer(batch.column(2))
+            for a, b in T.slices(offsets, SLICE):
+                ids, first = encoder.encode(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], end_id)
+                cuts = batch.column(3).slice(a, b - a)
+                flat = cuts.flatten()
+                start, length, sequence, offset = (flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(4))
+                begin = np.repeat(first[:-1], cuts.value_lengths().to_numpy(zero_copy_only=False)) + start
+                values = pa.array(ids[T.ragged(begin, length)].astype(np.int32))
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32()), values)
+                yield pa.RecordBatch.from_arrays([pa.array(sequence), pa.array(offset), lists], names=["sequence_id", "offset", "ids"])
+
+    found = texts.mapInArrow(run, "sequence_id long, offset long, ids array<int>")
+    parts = found.groupBy("sequence_id").agg(F.array_sort(F.collect_list(F.struct("offset", "ids"))).alias("parts"))
+    return parts.select("sequence_id", F.flatten(F.transform("parts", lambda p: p["ids"])).alias("ids"))
+
+
 def _cut_crcs(cut: DataFrame, docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
     """Checksums of the pieces of cut tails, from the texts of those documents alone."""
     wanted = cut.select("doc_id", "text_key", "start", "length").distinct()
     wanted = wanted.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "length")).alias("cuts"))
-    texts = _keyed(docs)
-    joined = texts.join(
-        wanted.withColumnRenamed("doc_id", "cut_id").withColumnRenamed("text_key", "cut_key"),
-        F.col("doc_id").eqNullSafe(F.col("cut_id")) & (F.col("text_key") == F.col("cut_key")),
-    ).select("doc_id", "text_key", "text", "cuts")
+    joined = _with_texts(docs, wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordTokenizer.of(vocabulary)
@@ -380,7 +412,10 @@ def pack(
     max_gap: int = MAX_GAP,
     end_id: int = END_ID,
 ) -> DataFrame:
-    """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset): every piece of every row."""
+    """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, text_key): every piece of every row.
+
+    ``text_key`` is the hash of the row's text; :func:`sequences` makes the sequences of ids from the pieces.
+    """
     lengths = stored(token_lengths(docs, vocabulary, max_tokens, end_id), "packing-lengths")
     facts = lengths.groupBy("tail").agg(F.count(F.lit(1)).alias("n"), F.max("doc_tokens").alias("most")).collect()
     histogram = {r["tail"]: r["n"] for r in facts}
@@ -388,7 +423,7 @@ def pack(
     plan = layout(histogram, max_tokens, max_gap)
     salts = max(1024, sum(histogram.values()) // 250_000)
     pieces = stored(_place(_ranked(lengths, salts), plan, max_tokens, most_chunks), "packing-pieces")
-    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "text_key"]
     cut = pieces.where(F.col("ids_crc32").isNull())
     crcs = _cut_crcs(cut, docs, vocabulary, end_id).select(*[F.col(c).alias(f"c_{c}") for c in ("doc_id", "text_key", "start", "length", "crc")])
     matched = cut.join(
