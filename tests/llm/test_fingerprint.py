@@ -87,3 +87,13 @@ def test_likeness_follows_shared_paragraphs():
     assert abs(G.likeness(pick(0), pick(1))[0] - 0.5) < 0.12
     assert G.likeness(pick(0), pick(2))[0] < 0.12
     assert G.likeness(pick(0), pick(0))[0] == 1.0
+
+
+def test_buckets(spark):
+    from pyspark.sql import functions as F
+
+    for cuts in ([], [5], [2, 3, 7, 8, 9, 20, 21, 50, 51, 52, 60]):
+        bucket, begins = G._bucket_of(F.col("k"), cuts)
+        rows = spark.createDataFrame([(k,) for k in [None, *range(-2, 65)]], "k long").select("k", bucket.alias("b"), begins.alias("s")).collect()
+        for r in rows:
+            assert r.b == (0 if r.k is None else sum(c <= r.k for c in cuts)) and r.s == (r.k in cuts)
