@@ -270,7 +270,7 @@ def _block_links(members: DataFrame, items: DataFrame, threshold: float) -> Data
     sized = members.join(items.select("id", F.octet_length("items").cast("long").alias("bytes")), "id")
     whole = sized.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK_DOCS), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("long")
-    placed = members.join(whole.select("bucket", blocks.alias("blocks")), "bucket")
+    placed = members.join(stored(whole.select("bucket", blocks.alias("blocks")), "dart-blocks"), "bucket")
     placed = placed.withColumn("block", F.pmod(F.xxhash64("id", F.lit(5)), F.col("blocks")))
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     placed = placed.select("id", "label", "block", "bucket", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
