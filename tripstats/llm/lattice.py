@@ -45,7 +45,7 @@ EM_STEPS = 2
 GROUPS = 6
 CHUNK_WORDS = 20_000
 _MARK = 0x20  # stands for the vocabulary's word mark; no word holds a space
-_TABLE_BITS = 20
+_TABLE_BITS = 18
 
 
 class Pieces:
@@ -84,20 +84,18 @@ class Pieces:
             for b in piece:
                 h = h * self.base + self.symbols[b]
             keys[i] = h[0]
-        self.keys = T.mix64(keys)
+        self.keys = keys
         if len(np.unique(self.keys)) != len(self.keys):
             raise ValueError("two pieces share a hash")
-        # Two small tables by different bits of the hash; what is in neither is searched for.
+        # A table by some bits of the hash, and further ones for the pieces whose slot another piece took.
         self.tables = []
         rest = np.arange(len(self.keys), dtype=np.int32)
-        for shift in (0, _TABLE_BITS, 2 * _TABLE_BITS):
+        while len(rest):
             table = np.full(1 << _TABLE_BITS, -1, np.int32)
-            slot = self._slot(self.keys[rest], shift)
+            slot = self._slot(self.keys[rest], len(self.tables))
             table[slot] = rest
-            self.tables.append((shift, table))
+            self.tables.append(table)
             rest = rest[table[slot] != rest]
-        if len(rest):
-            raise ValueError("the piece tables are too small")
 
     @classmethod
     def of(cls, path: str) -> Pieces:
@@ -106,75 +104,80 @@ class Pieces:
         return cls._by_path[path]
 
     @staticmethod
-    def _slot(keys: np.ndarray, shift: int) -> np.ndarray:
-        return ((keys >> np.uint64(shift)) & np.uint64((1 << _TABLE_BITS) - 1)).astype(np.int64)
+    def _slot(keys: np.ndarray, level: int) -> np.ndarray:
+        odd = np.uint64(0xD6E8FEB86659FD93 + 2 * level)
+        return (keys * odd >> np.uint64(64 - _TABLE_BITS)).view(np.int64)
 
-    def find(self, hashes: np.ndarray) -> np.ndarray:
+    def find(self, keys: np.ndarray, level: int = 0) -> np.ndarray:
         """Piece numbers of substring hashes, -1 for none."""
-        keys = T.mix64(hashes)
-        out = np.full(len(keys), -1, np.int32)
-        for shift, table in self.tables:
-            at = table[self._slot(keys, shift)]
-            hit = at >= 0
-            hit[hit] = self.keys[at[hit]] == keys[hit]
-            out[hit] = at[hit]
+        out = self.tables[level][self._slot(keys, level)]
+        taken = np.flatnonzero(out >= 0)
+        other = taken[self.keys[out[taken]] != keys[taken]]  # the slot is another piece's
+        if len(other):
+            out[other] = self.find(keys[other], level + 1) if level + 1 < len(self.tables) else -1
         return out
 
     def arcs(self, words: np.ndarray) -> np.ndarray:
-        """(words, length, longest): the piece that ends at a position and has a length, or -1.
+        """(length, longest, words): the piece that ends at a position and has a length, or -1.
 
-        ``words`` is a matrix of bytes, all words of one length.
+        ``words`` is a matrix of bytes, a row a word, all of one length.
         """
         n, length = words.shape
         most = min(length, self.longest)
-        prefix = np.zeros((n, length + 1), np.uint64)
+        symbols = self.symbols[words.T]
+        prefix = np.zeros((length + 1, n), np.uint64)
         for j in range(length):
-            prefix[:, j + 1] = prefix[:, j] * self.base + self.symbols[words[:, j]]
-        out = np.full((n, length, most), -1, np.int32)
+            prefix[j + 1] = prefix[j] * self.base + symbols[j]
+        out = np.full((length, most, n), -1, np.int32)
         for size in range(1, most + 1):
-            h = prefix[:, size:] - prefix[:, : length + 1 - size] * self.powers[size]
-            out[:, size - 1 :, size - 1] = self.find(h.ravel()).reshape(h.shape)
+            h = prefix[size:] - prefix[: length + 1 - size] * self.powers[size]
+            out[size - 1 :, size - 1] = self.find(h.ravel()).reshape(h.shape)
         return out
 
 
 def _log_sum(terms: np.ndarray) -> np.ndarray:
-    """log of the sum of exp over the last axis; -inf for none."""
-    top = terms.max(axis=-1)
-    safe = np.where(np.isfinite(top), top, 0.0)
-    with np.errstate(divide="ignore"):
-        return safe + np.log(np.exp(terms - safe[..., None]).sum(axis=-1))
-
-
-def forward(arcs: np.ndarray, log_p: np.ndarray) -> np.ndarray:
-    """(words, length + 1): log probability of all segmentations of every prefix."""
-    n, length, most = arcs.shape
-    weights = np.append(log_p, -np.inf)[arcs]
-    alpha = np.full((n, length + 1), -np.inf)
-    alpha[:, 0] = 0.0
+    """log of the sum of exp over the first axis; one term at least is finite (any byte is a piece)."""
+    top = terms.max(axis=0)
+    return top + np.log(np.exp(terms - top).sum(axis=0))
+
+
+def _weights(arcs: np.ndarray, log_p: np.ndarray) -> np.ndarray:
+    return np.append(log_p, -np.inf)[arcs]
+
+
+def forward(weights: np.ndarray) -> np.ndarray:
+    """(length + 1, words): log probability of all segmentations of every prefix."""
+    length, most, n = weights.shape
+    alpha = np.zeros((length + 1, n))
     for j in range(1, length + 1):
         k = min(j, most)
-        alpha[:, j] = _log_sum(alpha[:, j - k : j][:, ::-1] + weights[:, j - 1, :k])
+        alpha[j] = _log_sum(alpha[j - k : j][::-1] + weights[j - 1, :k])
     return alpha
 
 
+def backward(weights: np.ndarray) -> np.ndarray:
+    """(length + 1, words): log probability of all segmentations of every suffix."""
+    length, most, n = weights.shape
+    beta = np.zeros((length + 1, n))
+    for i in range(length - 1, -1, -1):
+        sizes = np.arange(min(length - i, most))
+        beta[i] = _log_sum(beta[i + 1 : i + 1 + len(sizes)] + weights[i + sizes, sizes])
+    return beta
+
+
 def expected_counts(arcs: np.ndarray, log_p: np.ndarray, times: np.ndarray) -> np.ndarray:
     """Expected number of every piece in the words, each counted ``times``."""
-    n, length, most = arcs.shape
-    weights = np.append(log_p, -np.inf)[arcs]
-    alpha = forward(arcs, log_p)
-    beta = np.full((n, length + 1), -np.inf)
-    beta[:, length] = 0.0
-    for i in range(length - 1, -1, -1):
-        k = min(length - i, most)
-        sizes = np.arange(k)
-        beta[:, i] = _log_sum(beta[:, i + 1 : i + 1 + k] + weights[:, i + sizes, sizes])
+    length, most, n = arcs.shape
+    weights = _weights(arcs, log_p)
+    alpha, beta = forward(weights), backward(weights)
     out = np.zeros(len(log_p))
     for size in range(1, most + 1):
-        piece = arcs[:, size - 1 :, size - 1]
-        share = alpha[:, : length + 1 - size] + weights[:, size - 1 :, size - 1] + beta[:, size:] - alpha[:, length, None]
-        used = piece >= 0
-        gain = np.exp(share) * times[:, None]
-        out += np.bincount(piece[used], gain[used], len(log_p))
+        piece = arcs[size - 1 :, size - 1]
+        begin, word = np.nonzero(piece >= 0)
+        if len(word):
+            found = piece[begin, word]
+            share = alpha[begin, word] + log_p[found] + beta[begin + size, word] - alpha[length, word]
+            out += np.bincount(found, np.exp(share) * times[word], len(log_p))
     return out
 
 
@@ -194,7 +197,7 @@ def word_log_p(words: list[bytes], pieces: Pieces, log_p: np.ndarray) -> np.ndar
     """Natural-log probability of every word, over all its segmentations."""
     out = np.zeros(len(words))
     for rows, matrix in _matrices(words):
-        out[rows] = forward(pieces.arcs(matrix), log_p)[:, -1]
+        out[rows] = forward(_weights(pieces.arcs(matrix), log_p))[-1]
     return out
 
 
@@ -266,7 +269,7 @@ def fit(words: DataFrame, n_ends: np.ndarray, vocabulary: str, steps: int = EM_S
                         arcs, times = own.arcs(matrix), c[learnt[rows]]
                         for k in range(groups):
                             if (used := times[:, k] > 0).any():
-                                counts[k] += expected_counts(arcs[used], log_p[k], times[used, k])
+                                counts[k] += expected_counts(arcs[:, :, used], log_p[k], times[used, k])
             group, piece = np.nonzero(counts)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(group, pa.int32()), pa.array(piece, pa.int32()), pa.array(counts[group, piece])], names=["group", "piece", "e"]
@@ -294,7 +297,7 @@ def word_table(words: DataFrame, log_p: np.ndarray, vocabulary: str) -> DataFram
                 for rows, matrix in _matrices(part.column(1).to_pylist()):
                     arcs = own.arcs(matrix)
                     for k in range(len(log_p)):
-                        lp[rows, k] = forward(arcs, log_p[k, :-1])[:, -1] / np.log(10)
+                        lp[rows, k] = forward(_weights(arcs, log_p[k, :-1]))[-1] / np.log(10)
                 c = _counts_of(part.column(2), len(log_p)).sum(axis=1).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(c), pa.array([x.tobytes() for x in lp], pa.binary())], names=["h", "c", "lp"])
 
@@ -302,15 +305,32 @@ def word_table(words: DataFrame, log_p: np.ndarray, vocabulary: str) -> DataFram
 
 
 def language_groups(rows: DataFrame, most: int = GROUPS) -> tuple[Column, np.ndarray]:
-    """(column of a row's group, training rows of each group); the last group is that of all other languages."""
+    """(column of a row's group, training rows of each group).
+
+    The last group is that of all other languages, if any training row has one.
+    """
     found = rows.where("learn").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     top = found.where(F.col("lang").isNotNull()).orderBy(F.desc("n"), "lang").limit(most).collect()
     total = found.agg(F.sum("n").alias("n")).first()["n"] or 0
     counts = [r["n"] for r in top]
-    group = F.lit(len(top))
+    rest = total - sum(counts)
+    if rest or not counts:
+        counts.append(rest)
+    group = F.lit(len(counts) - 1)
     for i, r in enumerate(top):
         group = F.when(F.col("lang") == r["lang"], F.lit(i)).otherwise(group)
-    return group, np.array([*counts, total - sum(counts)], dtype=np.float64)
+    return group, np.array(counts, dtype=np.float64)
+
+
+def _floats(column: pa.ChunkedArray, width: int) -> np.ndarray:
+    """Rows of ``width`` floats from a column of their bytes, without a Python object a row."""
+    parts = [np.zeros((0, width), "<f4")]
+    for chunk in column.chunks:
+        if len(chunk):
+            begin = np.frombuffer(chunk.buffers()[1], np.int32)[chunk.offset]
+            data = np.frombuffer(chunk.buffers()[2], np.uint8)[begin : begin + len(chunk) * width * 4]
+            parts.append(data.view("<f4").reshape(-1, width))
+    return np.concatenate(parts)
 
 
 SCORE_SCHEMA = "doc_id long, learn boolean, n_tokens long, n_known long, base_score double, score double"
@@ -362,7 +382,7 @@ def score_texts(docs: DataFrame, held_out: Column, vocabulary: str, steps: int =
         order = np.argsort(keys)
         keys = keys[order]
         c = told.column("c").to_numpy()[order]
-        lp = np.frombuffer(b"".join(told.column("lp").to_pylist()), "<f4").reshape(-1, len(start_lp))[order].astype(np.float64)
+        by_group = np.ascontiguousarray(_floats(told.column("lp"), len(start_lp))[order].T.astype(np.float64))
         base = np.log10(c + 1) - log_total
         raw, offsets = T.string_buffer(group.column("text"))
         tokens, knowns, bases, scores = [], [], [], []
@@ -372,7 +392,7 @@ def score_texts(docs: DataFrame, held_out: Column, vocabulary: str, steps: int =
             tokens.append(np.diff(first) + 1)
             knowns.append(np.bincount(doc, c[at] > 0, n).astype(np.int64) + (n_ends > 0))
             bases.append(np.bincount(doc, base[at], n) + np.log10(n_ends + 1) - log_total)
-            parts = np.stack([np.bincount(doc, lp[at, k], n) + start_lp[k] for k in range(len(start_lp))], axis=1)
+            parts = np.stack([np.bincount(doc, lp[at], n) + start for lp, start in zip(by_group, start_lp)])
             scores.append(_log_sum(parts * np.log(10)) / np.log(10))
         columns = [group.column("doc_id"), group.column("learn"), *(np.concatenate(x) for x in (tokens, knowns, bases, scores))]
         return pa.table(columns, names=[p.split()[0] for p in SCORE_SCHEMA.split(", ")])
