@@ -23,9 +23,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from . import text as T
-from .shared import stored
+from .shared import free_name, stored
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -246,19 +247,26 @@ def judge(docs: DataFrame, keep_at: float = KEEP_AT) -> DataFrame:
 def keep_good(docs: DataFrame, keep_at: float = KEEP_AT) -> DataFrame:
     """The rows of ``docs`` that :func:`judge` keeps, all columns as they are.
 
-    Two narrow passes over the texts (fit, then decide) and no shuffle of them.
+    One narrow pass over the texts, which are written with their vote patterns
+    (reading them again costs less than counting again), and no shuffle of them.
     """
-    codes, good, _ = fit_frame(features_frame(docs))
-    kept_codes = codes[good >= keep_at]
-    at = docs.columns.index("text")
+    columns = docs.columns
+    at = columns.index("text")
+    pattern, words, failed = (free_name(columns, n) for n in ("pattern", "n_words", "base_failed"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offsets = T.string_buffer(batch.column(at))
             for a, b in T.slices(offsets):
                 f = features(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                failed = (f["n_words"] < MIN_WORDS) | (100 * f["n_repeat_words"] > MAX_REPEAT_PERCENT * f["n_words"])
-                kept = ~failed & np.isin(patterns(votes(f)), kept_codes)
-                yield batch.slice(a, b - a).filter(pa.array(kept))
-
-    return docs.mapInArrow(run, docs.schema)
+                fails = (f["n_words"] < MIN_WORDS) | (100 * f["n_repeat_words"] > MAX_REPEAT_PERCENT * f["n_words"])
+                added = [pa.array(patterns(votes(f)), pa.int64()), pa.array(f["n_words"], pa.int64()), pa.array(fails)]
+                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, *added], names=[*columns, pattern, words, failed])
+
+    schema = StructType([*docs.schema.fields, StructField(pattern, LongType()), StructField(words, LongType()), StructField(failed, BooleanType())])
+    marked = stored(docs.mapInArrow(run, schema), "quality-marked")
+    codes, good, _ = fit_frame(marked.select(F.col(f"`{pattern}`").alias("pattern"), F.col(f"`{words}`").alias("n_words")))
+    kept = docs.sparkSession.createDataFrame([(int(c),) for c in codes[good >= keep_at]], "code long")
+    # At most 3 ** rules rows are broadcast.
+    passed = marked.where(~F.col(f"`{failed}`")).join(F.broadcast(kept), F.col(f"`{pattern}`") == F.col("code"), "left_semi")
+    return passed.select(*[F.col(f"`{c}`") for c in columns])
