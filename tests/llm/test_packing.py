@@ -124,8 +124,8 @@ def test_sequences_hold_the_ids_of_their_pieces(edge_docs, small_docs, tokenizer
         pieces = stored(K.pack(docs, path, max_tokens=512), "test-pieces")
         found = {r.sequence_id: r.ids for r in K.sequences(docs, pieces, path).collect()}
         texts = {(r.doc_id, r.text_key): r.text for r in K._keyed(docs).collect()}
+        ids = {k: [*tokenizer.encode(t, add_special_tokens=False).ids, 2] for k, t in texts.items()}
         want = {}
         for r in pieces.orderBy("sequence_id", "offset").collect():
-            ids = [*tokenizer.encode(texts[r.doc_id, r.text_key], add_special_tokens=False).ids, 2]
-            want.setdefault(r.sequence_id, []).extend(ids[r.start : r.start + r.length])
+            want.setdefault(r.sequence_id, []).extend(ids[r.doc_id, r.text_key][r.start : r.start + r.length])
         assert found == want
