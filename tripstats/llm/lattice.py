@@ -219,7 +219,7 @@ def count_words(docs: DataFrame, groups: int) -> DataFrame:
             raw, offsets = T.string_buffer(batch.column(0))
             learn = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
             group = batch.column(2).to_numpy(zero_copy_only=False)
-            for a, b in T.slices(offsets, BLOCK_BYTES // 2):
+            for a, b in T.slices(offsets, BLOCK_BYTES // 4):
                 lower, start, end, hashes, first = words_of(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 kinds, at, which = np.unique(hashes, return_index=True, return_inverse=True)
                 each = np.repeat(learn[a:b], np.diff(first))
