@@ -18,10 +18,12 @@ Q6     ``value > 0`` (double key), top 10                      events
 from __future__ import annotations
 
 import hashlib
+import json
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.lookup import map_lookup
 from ..operators.compare import GroupCountQuery
@@ -180,7 +182,8 @@ def stored_sample(spark: SparkSession, sf_dir: str, name: str) -> Sample:
     except AnalysisException:  # not there yet
         pass
     drawn = DRAWS[name](spark, sf_dir)
-    row = (drawn.rows.inputFiles()[0].rsplit("/", 1)[0] if drawn.size else "", drawn.population, drawn.size)
+    folder = drawn.rows.inputFiles()[0].rsplit("/", 1)[0] if drawn.size else ""
+    row = (folder, drawn.population, drawn.size, drawn.rows.schema.json())
     # Written last: a sample without this row does not count.
     spark.createDataFrame([row], STORED_SCHEMA).coalesce(1).write.mode("overwrite").parquet(place)
     return drawn
@@ -192,17 +195,20 @@ def stored_place(spark: SparkSession, sf_dir: str, name: str, tables: list[str])
     for table in tables:
         files = spark.read.format("binaryFile").load(f"{sf_dir}/{table}.parquet")
         listed += files.select("path", "length", F.col("modificationTime").cast("string")).collect()  # a row a file
-    parameters = (LINEITEM_SAMPLE_K, EVENTS_SAMPLE_K, TRIP_SAMPLE_K, SAMPLE_SEED, LINEITEM_SAMPLE_KEY, NARROW_CMS, GOLD_CMS)
+    parameters = (STORE_VERSION, LINEITEM_SAMPLE_K, EVENTS_SAMPLE_K, TRIP_SAMPLE_K, SAMPLE_SEED, LINEITEM_SAMPLE_KEY, NARROW_CMS, GOLD_CMS)
     text = repr((name, sorted(map(tuple, listed)), parameters))
     return f"{checkpoint_root(spark)}/stored-{name}-{hashlib.md5(text.encode()).hexdigest()}"
 
 
-STORED_SCHEMA = "path string, population long, size long"
+# Part of every stored name: raise it when what is stored, or how it is drawn, changes.
+STORE_VERSION = 2
+STORED_SCHEMA = "path string, population long, size long, row_schema string"
 
 
 def _read_stored(spark: SparkSession, place: str) -> Sample:
-    row = spark.read.parquet(place).first()
-    return Sample(spark.read.parquet(row["path"]), row["population"], row["size"])
+    row = spark.read.schema(STORED_SCHEMA).parquet(place).first()
+    schema = StructType.fromJson(json.loads(row["row_schema"]))  # spares reading file footers for it
+    return Sample(spark.read.schema(schema).parquet(row["path"]), row["population"], row["size"])
 
 
 def table_for(spark: SparkSession, sf_dir: str, q: str) -> DataFrame:
