@@ -1,4 +1,7 @@
-"""Repeated long passages by a compacted De Bruijn graph of word windows.
+"""Repeated long passages by word windows, the edges of a De Bruijn graph, in minimizer runs.
+
+Runs of windows with one anchor stand in for the graph's compaction: there are
+no nodes, no degrees, and runs of different anchors are not joined.
 
 An edge of the graph is a window of ``WINDOW`` consecutive words.  A window is
 repeated when an equal one starts earlier (smaller doc_id, or same document
