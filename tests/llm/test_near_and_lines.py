@@ -60,6 +60,20 @@ def test_keep_one_keeps_the_smallest_id_and_all_columns(edge_docs, edge_rows):
     assert ids.count(None) == 2
 
 
+def test_rows_of_one_id_are_judged_by_their_own_texts(spark):
+    a, b, c = (" ".join(make_words(200, 900 + i)) for i in range(3))
+    near = lambda text, word: " ".join([*text.split()[:-1], word])
+    rows = [(5, a), (5, b), (5, c), (5, c), (7, near(a, "x")), (8, near(b, "y")), (9, near(c, "z")), (10, b), (3, near(a, "w")), (3, near(b, "v"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = D.classes(docs).collect()
+    assert len(found) == len(rows)
+    assert {r.doc_id: r.class_id for r in found if r.doc_id > 5} == {7: 7, 8: 8, 9: 9, 10: 8}
+    assert sorted(r.class_id for r in found if r.doc_id == 5) == [7, 8, 9, 9]
+    assert len({(r.class_id, r["class"]) for r in found}) == 3
+    kept = [tuple(r) for r in D.keep_one(docs).collect()]
+    assert sorted(kept) == sorted([(3, near(a, "w")), (3, near(b, "v")), (5, c)])
+
+
 def test_signature_agreement_estimates_weighted_jaccard():
     rng = np.random.default_rng(1)
     items = rng.integers(0, 2**63, 1000, dtype=np.int64).view(np.uint64)

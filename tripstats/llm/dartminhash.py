@@ -5,8 +5,10 @@ is how often it occurs.  Similarity is weighted Jaccard (sum of minima over
 sum of maxima), and documents of similarity ``threshold`` or more are linked;
 classes are the connected components of these links.
 
-1. Documents with equal word sequences are one content, represented by the
-   smallest doc_id (grouped with map-side combining).
+1. Rows with equal word sequences are one content (grouped with map-side
+   combining).  Each content gets a number, and contents, not doc_ids, are
+   banded, compared and linked: rows that share a doc_id, but not their text,
+   are judged each by its own text.  doc_ids come back at the end.
 2. Darts: each unit of a shingle's weight owns a strip of the rank axis, on
    which a hashed Poisson process throws darts of its own, the same ones in
    every document.  A document of total weight W sees the darts of rank below
@@ -143,11 +145,16 @@ def content_keys(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.n
     return out[0], out[1]
 
 
-SIGNED_SCHEMA = "doc_id long, k1 long, k2 long, bands array<long>"
+SIGNED_SCHEMA = "doc_id long, t long, k1 long, k2 long, bands array<long>"
+
+
+def _text_key(text: str = "text") -> Column:
+    """Tells rows of one doc_id apart."""
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """(doc_id, content keys, band keys) of every row; a narrow map."""
+    """(doc_id, text key, content keys, band keys) of every row; a narrow map."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,15 +168,16 @@ def signed(docs: DataFrame) -> DataFrame:
                 ends = np.concatenate([[0], np.cumsum(np.where(np.diff(first) > 0, BANDS, 0))])
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(bands[np.diff(first) > 0].ravel()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(k1), pa.array(k2), lists], names=["doc_id", "k1", "k2", "bands"]
+                    [batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(k1), pa.array(k2), lists],
+                    names=["doc_id", "t", "k1", "k2", "bands"],
                 )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), _text_key().alias("t"))
     return rows.mapInArrow(run, SIGNED_SCHEMA)
 
 
 def _item_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, items) of the wanted documents: their items, sorted, as bytes."""
+    """(id, items) of the wanted contents: their items, sorted, as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,12 +190,12 @@ def _item_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 items, first = unit_items(words, first)
                 packed = [np.sort(items[x:y]).tobytes() for x, y in zip(first[:-1].tolist(), first[1:].tolist())]
                 want1, want2 = (batch.column(i).slice(a, b - a).to_numpy(zero_copy_only=False) for i in (2, 3))
-                same = pa.array((k1 == want1) & (k2 == want2))  # of rows that share an id, those of the wanted content
+                same = pa.array((k1 == want1) & (k2 == want2))
                 out = pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(packed, pa.binary())], names=["id", "items"])
                 yield out.filter(same)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    return rows.join(wanted, "id").select("id", "text", "k1", "k2").mapInArrow(run, "id long, items binary").dropDuplicates(["id"])
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), _text_key().alias("t"))
+    return rows.join(wanted, ["doc_id", "t"]).select("id", "text", "k1", "k2").mapInArrow(run, "id long, items binary").dropDuplicates(["id"])
 
 
 def similarities(pairs: DataFrame, items: DataFrame) -> DataFrame:
@@ -232,10 +240,14 @@ def _several_classes(members: DataFrame) -> DataFrame:
 
 
 def linked_classes(docs: DataFrame, contents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(id, label): class of every content that shares a bucket, by the ids of representatives."""
-    rows = contents.select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("id"))
+    """(id, label): class of every content that shares a bucket, by content numbers.
+
+    ``contents`` has a row of each content: its number ``id``, and the doc_id,
+    text key ``t``, content keys and bands of a row that holds it.
+    """
+    rows = contents.select(F.explode("bands").alias("bucket"), "id")
     members = stored(_several_classes(rows.withColumn("label", F.col("id"))), "dart-buckets")
-    wanted = contents.join(members.select(F.col("id").alias("doc_id")).distinct(), "doc_id").select(F.col("doc_id").alias("id"), "k1", "k2")
+    wanted = contents.join(members.select("id").distinct(), "id").select("id", "doc_id", "t", "k1", "k2")
     items = stored(_item_sets(docs, wanted), "dart-items")
     labels = items.select("id", F.col("id").alias("label"))
     for round_ in range(1, ROUNDS + 1):
@@ -310,24 +322,42 @@ def _block_links(members: DataFrame, items: DataFrame, threshold: float) -> Data
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, class_id, k1, k2): a row for each row of ``docs``; class_id is the class's smallest doc_id.
+    """(doc_id, class_id, k1, k2, t, class): a row for each row of ``docs``; class_id is the class's smallest doc_id.
 
-    ``k1`` and ``k2`` are the hashes of the row's word sequence.
+    ``k1`` and ``k2`` are the hashes of the row's word sequence, ``t`` its text
+    key.  Where rows of one doc_id are in several classes, that id names none
+    of them as long as the class has another one.  ``class`` is a number that
+    tells classes apart in any case; it may differ from run to run.
     """
     rows = stored(signed(docs), "dart-signed")
     known = rows.where(F.col("doc_id").isNotNull())
-    contents = known.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"))
-    # One id may have rows of several contents; the smaller keys stand for it.
-    unique = contents.groupBy("doc_id").agg(F.min(F.struct("k1", "k2")).alias("k")).select("doc_id", "k.k1", "k.k2")
-    bands = known.join(unique, ["doc_id", "k1", "k2"]).dropDuplicates(["doc_id", "k1", "k2"])
-    representatives = stored(bands.select("doc_id", "k1", "k2", "bands"), "dart-contents")
+    # Numbered and written at once, so that a number stays the same content's whatever is computed again.
+    contents = known.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id")).withColumn("id", F.monotonically_increasing_id())
+    contents = stored(contents, "dart-numbered")
+    bands = known.join(contents, ["doc_id", "k1", "k2"]).dropDuplicates(["doc_id", "k1", "k2"])
+    representatives = stored(bands.select("id", "doc_id", "t", "k1", "k2", "bands"), "dart-contents")
     label = linked_classes(docs, representatives, threshold)
-    named = contents.join(label.select(F.col("id").alias("doc_id"), "label"), "doc_id", "left").select(
-        "k1", "k2", F.coalesce("label", "doc_id").alias("class_id")
-    )
-    # Written for the same reason as above: a content that a third of the rows have must not be one task's join.
-    found = rows.select("doc_id", "k1", "k2").join(stored(named, "dart-named"), ["k1", "k2"], "left")
-    return found.select("doc_id", _known(F.col("class_id")).alias("class_id"), "k1", "k2")
+    named = stored(contents.join(label, "id", "left").select("k1", "k2", "doc_id", F.coalesce("label", "id").alias("class")), "dart-classed")
+    # Tables are written before joins for the same reason as above: a content or class that a third of the rows have
+    # must not be one task's join.
+    tops = stored(_class_ids(known, named), "dart-tops")
+    named = stored(named.join(tops, "class").select("k1", "k2", "class", "class_id"), "dart-named")
+    found = rows.select("doc_id", "t", "k1", "k2").join(named, ["k1", "k2"], "left")
+    return found.select("doc_id", _known(F.col("class_id")).alias("class_id"), "k1", "k2", "t", _known(F.col("class")).alias("class"))
+
+
+def _class_ids(known: DataFrame, named: DataFrame) -> DataFrame:
+    """(class, class_id) of all classes."""
+    keys = [f(k).alias(f.__name__ + k) for k in ("k1", "k2") for f in (F.min, F.max)]
+    shared = known.groupBy("doc_id").agg(*keys).where("mink1 != maxk1 or mink2 != maxk2").select("doc_id")
+    shared = stored(shared, "dart-shared")
+    if shared.isEmpty():
+        return named.groupBy("class").agg(F.min("doc_id").alias("class_id"))
+    placed = stored(known.select("doc_id", "k1", "k2").join(named.select("k1", "k2", "class"), ["k1", "k2"]).select("doc_id", "class"), "dart-placed")
+    several = placed.join(shared, "doc_id").groupBy("doc_id").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo != hi")
+    several = stored(several.select("doc_id", F.lit(True).alias("several")), "dart-several")
+    own = F.min(F.when(F.col("several").isNull(), F.col("doc_id")))
+    return placed.join(several, "doc_id", "left").groupBy("class").agg(F.coalesce(own, F.min("doc_id")).alias("class_id"))
 
 
 def _known(class_id: Column) -> Column:
@@ -335,14 +365,18 @@ def _known(class_id: Column) -> Column:
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` of which one document of each class is left: the one with the smallest doc_id.
+    """The rows of ``docs`` of which one row of each class is left: the one with the smallest doc_id.
 
-    Of rows that repeat that doc_id one stays; rows without doc_id stay.
+    Different texts under one doc_id are in classes of their own, unless they
+    are near.  Of rows that repeat a doc_id and its text one stays; rows
+    without doc_id stay.
     """
-    keep = classes(docs, threshold).where(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias("keep_id")).distinct()
+    found = classes(docs, threshold).where(F.col("doc_id").isNotNull())
+    keep = found.groupBy("class").agg(F.min(F.struct("doc_id", "t")).alias("keep"))
+    keep = keep.select(F.col("keep.doc_id").alias("keep_id"), F.col("keep.t").alias("keep_t")).distinct()
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    left = docs.select(F.col("doc_id").cast("long").alias("id"), row)
-    known = left.where(F.col("id").isNotNull()).join(keep, F.col("id") == F.col("keep_id"), "left_semi")
-    first = Window.partitionBy("id").orderBy(F.xxhash64("row.text"))
+    left = docs.select(F.col("doc_id").cast("long").alias("id"), _text_key().alias("t"), row)
+    known = left.where(F.col("id").isNotNull()).join(keep, (F.col("id") == F.col("keep_id")) & (F.col("t") == F.col("keep_t")), "left_semi")
+    first = Window.partitionBy("id", "t").orderBy(F.xxhash64("row.text"))
     known = known.withColumn("copy", F.row_number().over(first)).where("copy = 1").drop("copy")
     return known.unionByName(left.where(F.col("id").isNull())).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
