@@ -23,7 +23,8 @@ classes are the connected components of these links.
    whose members are alike.
 5. Buckets that still hold several classes after ``ROUNDS`` rounds (near
    copies of near copies, about as similar as the threshold) are cut into
-   blocks of bounded size.  A task gets two blocks, counts common items by an
+   blocks of bounded size, and each member's items are sent once to every
+   block of its bucket.  A task gets two blocks, counts common items by an
    inverted index and returns which classes are linked, no pairs.  So two
    documents of a bucket are in one class or have been compared: no link in a
    bucket is lost.
