@@ -1,4 +1,4 @@
-"""The thin registered queries of the ten operators, and their SQL."""
+"""The thin registered queries of the operators, and their SQL."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dartminhash, debruijn, fingerprint, lattice, linededup, mixing, packing, quality, toxicity, warc
+from . import dartminhash, debruijn, fingerprint, infilling, lattice, linededup, mixing, packing, quality, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +65,10 @@ def op10_debruijn_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return debruijn.removal_digests(_table(spark, sf_dir, "documents"))
 
 
+def op11_counted_infilling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infilling.infill_digests(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
@@ -77,11 +81,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing_budgets": op8_mixing_budgets,
         "op9_lattice_likelihood": op9_lattice_likelihood,
         "op10_debruijn_dedup": op10_debruijn_dedup,
+        "op11_counted_infilling": op11_counted_infilling,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": OP1_SQL, "op7_line_dedup": OP7_SQL, "op8_mixing_budgets": mixing.mixture_sql()}
+    return {
+        "op1_warc": OP1_SQL,
+        "op7_line_dedup": OP7_SQL,
+        "op8_mixing_budgets": mixing.mixture_sql(),
+        "op11_counted_infilling": infilling.INFILL_SQL,
+    }
 
 
 OP1_SQL = """
