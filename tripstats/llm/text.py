@@ -64,15 +64,16 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         at = min(end, n)
 
 
-def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(raw: np.ndarray, offsets: np.ndarray, apart: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte start and end of every word, and the number of words before each document.
 
-    The third array has one entry more than there are documents.
+    The third array has one entry more than there are documents.  ``apart``
+    marks the bytes that separate words.
     """
     if len(raw) == 0:
         empty = np.zeros(0, np.int64)
         return empty, empty, np.zeros(len(offsets), np.int64)
-    word = ~SPACE[raw]
+    word = ~apart[raw]
     cut = np.zeros(len(raw) + 1, dtype=bool)  # True where a document begins
     cut[offsets] = True
     before = np.empty(len(raw), dtype=bool)
