@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dartminhash, debruijn, fingerprint, infilling, lattice, linededup, mixing, packing, quality, resampling, toxicity, warc
+from . import dartminhash, debruijn, fingerprint, infilling, kdtree, lattice, linededup, mixing, packing, quality, resampling, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +69,10 @@ def op11_counted_infilling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infilling.infill_digests(_table(spark, sf_dir, "documents"))
 
 
+def op12_kd_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kdtree.kd_shards(_table(spark, sf_dir, "documents"))
+
+
 def op13_bracketed_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = resampling.draws(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return rows.select("doc_id", "n_features", "weight", "score", "rank")
@@ -87,6 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_lattice_likelihood": op9_lattice_likelihood,
         "op10_debruijn_dedup": op10_debruijn_dedup,
         "op11_counted_infilling": op11_counted_infilling,
+        "op12_kd_tree_shards": op12_kd_tree_shards,
         "op13_bracketed_resampling": op13_bracketed_resampling,
     }
 
@@ -97,6 +102,7 @@ def oracle_sql() -> dict[str, str]:
         "op7_line_dedup": OP7_SQL,
         "op8_mixing_budgets": mixing.mixture_sql(),
         "op11_counted_infilling": infilling.INFILL_SQL,
+        "op12_kd_tree_shards": kdtree.kd_shards_sql(),
         "op13_bracketed_resampling": resampling.DRAW_SQL,
     }
 
