@@ -180,6 +180,14 @@ def test_cli_stages(spark, tmp_dir):
     assert cli.main(["analytics", "--silver", d["silver"], "--sample", d["sample"], "--gold", d["gold"],
                      "--eps", "0.05", "--no-times"], spark=spark) == 0
     assert cli.main(["sketches", "--silver", d["silver"], "--sketches", d["sketches"], "--eps", "0.05"], spark=spark) == 0
+    # a second run finds nothing to recompute; silver published again makes the sketches stale, so gold refuses them
+    assert cli.main(["sketches", "--silver", d["silver"], "--sketches", d["sketches"], "--eps", "0.05"], spark=spark) == 0
+    with_sketches = ["analytics", "--silver", d["silver"], "--sample", d["sample"], "--gold", d["gold"] + "_s", "--eps", "0.05", "--sketches", d["sketches"]]
+    assert cli.main(["clean", "--bronze", d["bronze"], "--silver", d["silver"], "--sample", d["sample"], "--sample-size", "300", *window], spark=spark) == 0
+    assert cli.main(with_sketches, spark=spark) == 3
+    assert cli.main(["sketches", "--silver", d["silver"], "--sketches", d["sketches"], "--eps", "0.05",
+                     "--months", "1997-01-01", "1997-03-31"], spark=spark) == 0
+    assert cli.main(with_sketches, spark=spark) == 3  # three months are up to date, the others not
     # a month range: exact counts of the pruned silver only, stored sketches of those months
     assert cli.main(["analytics", "--silver", d["silver"], "--sample", d["sample"], "--gold", d["gold"] + "_m",
                      "--eps", "0.05", "--sketches", d["sketches"], "--months", "1997-01-01", "1997-03-31"], spark=spark) == 0

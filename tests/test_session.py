@@ -45,16 +45,18 @@ def test_broadcast_threshold(spark):
 def test_stored_sample_is_drawn_once_for_a_table(spark, tmp_path):
     import shutil
 
-    shutil.copytree(SF_SMALL, tmp_path / "sf")
+    # Not copytree: it would copy the mode of the read-only data folder.
+    (tmp_path / "sf").mkdir()
+    shutil.copyfile(f"{SF_SMALL}/events.parquet", tmp_path / "sf" / "events.parquet")
     sf = str(tmp_path / "sf")
     first = C.stored_sample(spark, sf, "events")
     again = C.stored_sample(spark, sf, "events")
     assert first.rows.inputFiles() == again.rows.inputFiles() and first.size == again.size
     # a changed table gets a new sample
-    spark.read.parquet(f"{SF_SMALL}/events.parquet").limit(700).coalesce(1).write.parquet(f"{sf}/other")
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").limit(700).coalesce(1).write.parquet(str(tmp_path / "other"))
     (tmp_path / "sf" / "events.parquet").unlink()
-    part = next(p for p in (tmp_path / "sf" / "other").iterdir() if p.suffix == ".parquet")
-    shutil.copy(part, tmp_path / "sf" / "events.parquet")
+    part = next(p for p in (tmp_path / "other").iterdir() if p.suffix == ".parquet")
+    shutil.copyfile(part, tmp_path / "sf" / "events.parquet")
     spark.catalog.clearCache()
     changed = C.stored_sample(spark, sf, "events")
     assert changed.population == 700

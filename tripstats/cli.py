@@ -10,7 +10,8 @@ On a cluster: ``spark-submit --py-files tripstats.zip tripstats_job.py <stage> .
 (the submitted master and settings are kept); locally ``python -m tripstats
 <stage> ...`` starts a local session.  Each stage reads its
 input layer from storage and writes its output layer, so stages can run as
-separate jobs.  A failed quality check exits non-zero.  Sample and sketch
+separate jobs.  A failed quality check exits with 2, stored sketches that do
+not match silver with 3.  Sample and sketch
 parameters default to the environment variables ``TARGET_SAMPLE_SIZE``,
 ``CMS_EPSILON``, ``CMS_CONFIDENCE`` and ``CMS_SEED`` when set.
 """
@@ -36,6 +37,7 @@ from .schemas import (
     DEFAULT_SAMPLE_SIZE,
 )
 from .session import build_session
+from .sources.month_store import StaleMonths
 
 
 def _env(name: str, default, cast):
@@ -72,6 +74,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--bronze", required=True)
     p.add_argument("--silver", required=True)
     p.add_argument("--sample", required=True)
+    p.add_argument("--incremental", action="store_true", help="replace only the months of bronze in silver")
     clean_args(p)
 
     p = sub.add_parser("validate", help="quality gate over silver")
@@ -113,7 +116,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             out["bronze_rows"], out["malformed_rows"] = P.ingest(spark, args.raw, args.bronze)
         elif args.stage == "clean":
             out["silver_rows"] = P.build_silver(
-                spark, args.bronze, args.silver, args.date_lo, args.date_hi, args.range_mode, args.dedup
+                spark, args.bronze, args.silver, args.date_lo, args.date_hi, args.range_mode, args.dedup, args.incremental
             )
             out["sample_rows"] = P.build_sample(spark, args.silver, args.sample, args.sample_size, args.sample_seed).size
         elif args.stage == "validate":
@@ -124,8 +127,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
                 months=tuple(args.months) if args.months else None, sketch_path=args.sketches,
             )
         elif args.stage == "sketches":
-            P.build_sketches(spark, args.silver, args.sketches, _sketch_params(args),
-                             months=tuple(args.months) if args.months else None)
+            done = P.build_sketches(spark, args.silver, args.sketches, _sketch_params(args),
+                                    months=tuple(args.months) if args.months else None)
+            out["recomputed_months"] = {name: len(found) for name, found in done.items()}
         else:
             res = P.run_pipeline(
                 spark,
@@ -147,5 +151,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     except QualityGateError as exc:
         print(json.dumps({"stage": args.stage, "error": str(exc)}), file=sys.stderr)
         return 2
+    except StaleMonths as exc:
+        print(json.dumps({"stage": args.stage, "error": str(exc)}), file=sys.stderr)
+        return 3
     print(json.dumps(out, default=str))
     return 0

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from ..schemas import PAYMENT_TYPE_MAP, SILVER_SCHEMA
 from . import carriers as C
+from . import monthly_queries as MQ
 from . import registry as R
 from . import trip_carrier as T
 
@@ -180,16 +181,77 @@ def cms_sql(q: str, params=C.NARROW_CMS) -> str:
     return _estimate_sql(exact_sql(q), keys, spec.exact_col, cells, params.width, params.depth, params.seed)
 
 
-def trip_sample_sql() -> str:
-    """Rows of silver by md5 of (seed, md5 of all columns, copy number)."""
+def _ranked_contents(src: str) -> str:
+    """Rows of ``src`` with ``rank_text``, the text of (seed, md5 of all columns, copy number)."""
     digest = f"md5({_ktext(list(SILVER_NAMES))})"
-    rank = f"'{S}:' || digest || '|' || CAST(copy AS VARCHAR)"
     return (
-        f"SELECT {', '.join(SILVER_NAMES)} FROM (SELECT *, row_number() OVER (PARTITION BY digest) - 1 AS copy "
-        f"FROM (SELECT *, {digest} AS digest FROM ({SILVER}))) ORDER BY md5({rank}), {rank} LIMIT {C.TRIP_SAMPLE_K}"
+        f"SELECT *, '{S}:' || digest || '|' || CAST(copy AS VARCHAR) AS rank_text FROM ("
+        f"SELECT *, row_number() OVER (PARTITION BY digest) - 1 AS copy FROM (SELECT *, {digest} AS digest FROM ({src})))"
     )
 
 
+def trip_sample_sql(src: str | None = None) -> str:
+    """Rows of silver by md5 of (seed, md5 of all columns, copy number)."""
+    return (
+        f"SELECT {', '.join(SILVER_NAMES)} FROM ({_ranked_contents(src or SILVER)}) "
+        f"ORDER BY md5(rank_text), rank_text LIMIT {C.TRIP_SAMPLE_K}"
+    )
+
+
+def _again(src: str) -> str:
+    """``src`` with the month that is published again, each of its rows twice."""
+    year, month = MQ.AGAIN_MONTH
+    return f"SELECT * FROM ({src}) UNION ALL SELECT * FROM ({src}) WHERE year = {year} AND month = {month}"
+
+
+def stratified_sql(q: str) -> str:
+    spec = MQ.STRATIFIED[q]
+    ks = ", ".join(spec.keys)
+    placed = (
+        f"SELECT *, row_number() OVER (PARTITION BY year, month ORDER BY md5(rank_text), rank_text) AS place, "
+        f"count(*) OVER (PARTITION BY year, month) AS big FROM ({_ranked_contents(SILVER)})"
+    )
+    domain = _trip_dom(q, "smp").replace("SELECT ", "SELECT year, month, ", 1)
+    return (
+        f"WITH smp AS (SELECT * FROM ({placed}) WHERE place <= {MQ.STRATUM_K}), "
+        "sizes AS (SELECT year, month, max(big)::DOUBLE AS big, count(*)::DOUBLE AS n FROM smp GROUP BY year, month), "
+        "totals AS (SELECT sum(big) AS all_rows, sum(n) AS all_seen FROM sizes), "
+        f"seen AS (SELECT year, month, {ks}, count(*)::DOUBLE AS x FROM ({domain}) GROUP BY ALL), "
+        f"parts AS (SELECT {ks}, x, big * (x / n) AS est, "
+        "big * big * (1 - n / big) * (x / n) * (1 - x / n) / greatest(n - 1, 1) AS variance FROM seen JOIN sizes USING (year, month)), "
+        f"sums AS (SELECT {ks}, sum(est) AS est, sqrt(sum(variance)) AS err, sum(x) AS seen FROM parts GROUP BY {ks}) "
+        f"SELECT {ks}, round(est, 4) AS estimated_count, round(err, 4) AS std_error, "
+        "round(greatest(est - 1.959964::DOUBLE * err, seen), 4) AS lower_bound, "
+        "round(least(est + 1.959964::DOUBLE * err, all_rows - all_seen + seen), 4) AS upper_bound FROM sums, totals"
+    )
+
+
+def _monthly_sql() -> dict[str, str]:
+    """SQL of the queries over monthly state."""
+    p, k = C.NARROW_CMS, ["PULocationID"]
+    cells = _cells_sql(f"SELECT PULocationID FROM ({_again(SILVER)})", k, p.width, p.depth, p.seed)
+    lo, hi = T.month_bounds()
+    in_range = f"year * 100 + month BETWEEN {lo.year * 100 + lo.month} AND {hi.year * 100 + hi.month}"
+    top = f"SELECT PULocationID, count(*) AS n FROM ({_again(SILVER)}) GROUP BY ALL ORDER BY {_order(k, 'n')} LIMIT 20"
+    out = {
+        "cms_month_refresh": f"SELECT *, 1 AS recomputed_months FROM ({cells})",
+        "sample_merge_months": trip_sample_sql(),
+        "sample_merge_range": trip_sample_sql(f"SELECT * FROM ({_again(SILVER)}) WHERE {in_range}"),
+        "q1_heavy_hitters": f"SELECT *, TRUE AS bounds_hold FROM ({exact_sql('q1')})",
+        # Fewer keys than counters: the bounds meet in the count.
+        "heavy_hitters_by_month": f"SELECT PULocationID, n AS lower_bound, n AS upper_bound, TRUE AS guaranteed FROM ({top})",
+        "volume_gate": " UNION ALL ".join(
+            f"SELECT {n}::BIGINT AS min_files, CASE WHEN count(*) > 0 AND {n} = 1 THEN 'ok' ELSE 'insufficient_data' END AS status FROM ({SILVER})"
+            for n in MQ.MIN_FILES
+        ),
+        "gold_times": " UNION ALL ".join(
+            f"SELECT '{q.name}' AS query_name, TRUE AS exact_timed, TRUE AS sample_timed, TRUE AS cms_timed, TRUE AS cms_error_known"
+            for q in (MQ.Q1, MQ.Q5)
+        ),
+    }
+    return out | {f"stratified_{q}": stratified_sql(q) for q in MQ.STRATIFIED}
+
+
 def trip_gold_sql(q: str) -> str:
     spec = R.TRIP_QUERIES[q]
     keys, p = list(spec.keys), C.GOLD_CMS
@@ -351,6 +413,7 @@ def oracle_sql() -> dict[str, str]:
     for q in R.TRIP_QUERIES:
         out[f"trip_gold_{q}"] = trip_gold_sql(q)
     out["trip_sample"] = trip_sample_sql()
+    out.update(_monthly_sql())
     out["q1_sample_topk"] = sample_topk_sql()
     out["gold_metrics"] = " UNION ALL ".join(_metric_sql(q) for q in C.CARRIER_QUERIES)
     out["gold_metrics_per_key"] = " UNION ALL ".join(_per_key_sql(q) for q in C.CARRIER_QUERIES)

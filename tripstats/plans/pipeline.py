@@ -16,20 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import INCLUSIVE_MIDNIGHT, clean_trips
-from ..operators.compare import (
-    CMS_COL,
-    GroupCountQuery,
-    cms_side,
-    combine,
-    comparison,
-    exact_side,
-    sample_side,
-    sketch_cells_for,
-)
+from ..operators.compare import CMS_COL, GroupCountQuery, cms_side, combine, comparison, exact_side, sample_side
 from ..operators.errors import error_metrics
 from ..operators.quality import enforce_gate, gate_report, reject_reason
-from ..operators.sample import Sample, sample_content_k, with_sample_sizes
-from ..operators.sketch import SketchParams, cms_merge
+from ..operators.sample import Sample, with_sample_sizes
+from ..operators.sketch import SketchParams
 from ..schemas import (
     CORRUPT_RECORD_COL,
     DEFAULT_DATE_HI,
@@ -38,17 +29,19 @@ from ..schemas import (
     DEFAULT_SAMPLE_SIZE,
     METRICS_SCHEMA,
     RAW_TRIP_SCHEMA,
-    SILVER_PARTITION_COLUMNS,
     SILVER_SCHEMA,
 )
 from ..sources.csv_source import read_raw_csv
-from ..sources.layers import (
-    file_count,
-    month_range_predicate,
-    read_layer,
-    read_months,
-    write_flat,
-    write_partitioned,
+from ..sources.layers import file_count, month_range_predicate, read_layer, write_flat
+from ..sources.month_store import Month, MonthStore
+from .monthly import (
+    merged_sample,
+    merged_sketch,
+    read_published,
+    refresh_sample,
+    refresh_sketch,
+    refresh_sketches,
+    sketch_folder,
 )
 from .taxi import TAXI_QUERIES
 
@@ -110,16 +103,28 @@ def build_silver(
     date_hi: str = DEFAULT_DATE_HI,
     range_mode: str = INCLUSIVE_MIDNIGHT,
     dedup: bool | Sequence[str] = False,
+    incremental: bool = False,
 ) -> int:
-    """Bronze -> silver, partitioned by pickup year and month."""
+    """Bronze -> silver, published by pickup year and month; returns the rows written.
+
+    The layer is a :class:`~tripstats.sources.month_store.MonthStore`: a run
+    that fails leaves the old one readable.  With ``incremental`` only the
+    months of ``bronze`` are replaced, else it is the whole new layer.
+    """
     bronze = read_layer(spark, bronze_path, RAW_TRIP_SCHEMA)
     silver = clean_trips(bronze, date_lo=date_lo, date_hi=date_hi, range_mode=range_mode, dedup=dedup)
-    write_partitioned(silver, silver_path)
-    return read_silver(spark, silver_path).count()
+    return MonthStore(spark, silver_path).write(silver, replace=not incremental)
+
 
+def read_silver(spark: SparkSession, silver_path: str, months: tuple[str, str] | None = None) -> DataFrame:
+    """Silver as it is published now, or a plain ``year=/month=`` folder (of the stream, say)."""
+    return read_published(spark, silver_path, SILVER_SCHEMA, months)
 
-def read_silver(spark: SparkSession, silver_path: str) -> DataFrame:
-    return read_layer(spark, silver_path, SILVER_SCHEMA)
+
+def silver_files(spark: SparkSession, silver_path: str) -> int:
+    """Number of silver's current data files."""
+    store = MonthStore(spark, silver_path)
+    return sum(e.files for e in store.entries().values()) if store.exists() else file_count(spark, silver_path)
 
 
 def run_gate(spark: SparkSession, silver_path: str, report_path: str) -> int:
@@ -155,11 +160,17 @@ def build_sample(
     """Sample of silver by row content, stored with its population and size.
 
     Equal silver rows and seed give an equal sample, wherever the layer lies
-    and however it is split into files.  The rank is ``xxhash64`` by default;
-    ``md5`` gives a sample that other SQL engines can reproduce row for row.
+    and however it is split into files.  It is merged from a state for each
+    month, kept beside it (``<sample_path>_months``), so only months that have
+    changed are drawn again.  The rank is ``xxhash64`` by default; ``md5``
+    gives a sample that other SQL engines can reproduce row for row.
     """
-    silver = read_silver(spark, silver_path)
-    drawn = sample_content_k(silver, k, seed, path=f"{sample_path}_rows", method=rank_method)
+    if k == 0:
+        empty = spark.createDataFrame([], SILVER_SCHEMA)
+        drawn = Sample(empty, read_silver(spark, silver_path).count(), 0)
+    else:
+        refresh_sample(spark, silver_path, f"{sample_path}_months", k, seed, rank_method)
+        drawn = merged_sample(spark, silver_path, f"{sample_path}_months", k, seed, rank_method)
     write_flat(with_sample_sizes(drawn), sample_path)
     return read_sample(spark, sample_path)
 
@@ -189,37 +200,24 @@ def build_sketches(
     params: SketchParams = PIPELINE_SKETCH,
     queries: Sequence[GroupCountQuery] = TAXI_QUERIES,
     months: tuple[str, str] | None = None,
-) -> None:
-    """Write one sketch for each question and month: cells partitioned by year and month.
+) -> dict[str, list[Month]]:
+    """Bring the stored sketch of each question and month up to date; returns the months recomputed.
 
-    One pass over silver for each question, row by row, with state bounded by
-    the sketch size a month; no exact group counts.
+    Months whose silver files have not changed are left alone, and so are
+    those outside ``months``.  For the others, one pass over their rows for
+    each question, with state bounded by the sketch size a month.
     """
-    silver = read_silver(spark, silver_path)
-    if months is not None:
-        silver = read_months(spark, silver_path, months[0], months[1], SILVER_SCHEMA)
-    for i, q in enumerate(queries, start=1):
-        _build_sketch(q, silver, _sketch_folder(sketch_path, i, params), params)
-
-
-def _sketch_folder(sketch_path: str, number: int, params: SketchParams) -> str:
-    return f"{sketch_path}/query{number}-{params.label}"
+    return refresh_sketches(spark, silver_path, sketch_path, params, queries, months)
 
 
-def _build_sketch(q: GroupCountQuery, silver: DataFrame, path: str, params: SketchParams) -> None:
-    cells = sketch_cells_for(q, silver, params, group_cols=SILVER_PARTITION_COLUMNS)
-    cells.write.mode("overwrite").partitionBy(*SILVER_PARTITION_COLUMNS).parquet(path)
+@dataclass(frozen=True)
+class SampleState:
+    """Where the monthly sample states lie, and the parameters they were drawn with."""
 
-
-CELL_SCHEMA = "d int, b int, c bigint, year int, month int"
-
-
-def merged_sketch(spark: SparkSession, path: str, months: tuple[str, str] | None = None) -> DataFrame:
-    """The stored monthly sketches of a question, or of a range of months, added up."""
-    cells = spark.read.schema(CELL_SCHEMA).parquet(path)
-    if months is not None:
-        cells = cells.where(month_range_predicate(*months))
-    return cms_merge(cells.select("d", "b", "c"))
+    path: str
+    k: int = DEFAULT_SAMPLE_SIZE
+    seed: int = DEFAULT_SAMPLE_SEED
+    method: str = "xxhash64"
 
 
 def build_gold(
@@ -232,6 +230,7 @@ def build_gold(
     measure_times: bool = False,
     months: tuple[str, str] | None = None,
     sketch_path: str | None = None,
+    sample_state: SampleState | None = None,
 ) -> list[dict]:
     """Write one comparison table per query and the metrics JSON.
 
@@ -241,7 +240,11 @@ def build_gold(
 
     Sketch answers come from monthly sketches: those stored at
     ``sketch_path`` by :func:`build_sketches` if it is given (no pass over
-    silver), else built first, under ``gold/_sketches``.
+    silver; refused with ``StaleMonths`` if one was made from other files than
+    silver has now), else those under ``gold/_sketches``, brought up to date first.
+    With ``months`` and a ``sample_state`` (the ``_months`` folder that
+    :func:`build_sample` keeps) the sample of those months is merged from
+    their states and has full size; without, the stored sample is filtered.
 
     With ``measure_times`` each method is run, written on its own (under
     ``gold/_parts``) and timed: exact top groups; scaled sample counts;
@@ -250,21 +253,24 @@ def build_gold(
     answer and the comparison are one plan.  Error metrics are computed from
     the written comparison tables.
     """
-    silver = read_silver(spark, silver_path)
-    sample = read_sample(spark, sample_path)
-    if months is not None:
-        silver = read_months(spark, silver_path, months[0], months[1], SILVER_SCHEMA)
-        sample = Sample(sample.rows.where(month_range_predicate(*months)), sample.population, sample.size)
+    silver = read_silver(spark, silver_path, months)
+    if months is not None and sample_state is not None:
+        s = sample_state
+        sample = merged_sample(spark, silver_path, s.path, s.k, s.seed, s.method, months)
+    else:
+        sample = read_sample(spark, sample_path)
+        if months is not None:
+            sample = Sample(sample.rows.where(month_range_predicate(*months)), sample.population, sample.size)
     metric_frames = []
     for i, q in enumerate(queries, start=1):
         out = f"{gold_path}/query{i}"
         times = {"exact_time_ms": None, "sample_time_ms": None, "cms_time_ms": None}
         t0 = time.perf_counter()
-        folder = _sketch_folder(sketch_path or f"{gold_path}/_sketches", i, params)
+        folder = sketch_folder(sketch_path or f"{gold_path}/_sketches", i, params)
         if sketch_path is None:
-            _build_sketch(q, silver, folder, params)
+            refresh_sketch(spark, silver_path, folder, q, params, months)
         build_ms = int((time.perf_counter() - t0) * 1000)
-        cells = merged_sketch(spark, folder, months)
+        cells = merged_sketch(spark, silver_path, folder, months)
         if measure_times:
             parts = f"{gold_path}/_parts/query{i}"
             times["exact_time_ms"] = _timed_write(exact_side(q, silver), f"{parts}/exact")
@@ -295,6 +301,16 @@ def build_gold(
     return [r.asDict() for r in metrics.collect()]
 
 
+def read_metrics(spark: SparkSession, gold_path: str) -> DataFrame:
+    """The metrics JSON of :func:`build_gold`."""
+    return spark.read.schema(METRICS_SCHEMA).json(f"{gold_path}/metrics")
+
+
+def volume_status(files: int, min_files: int) -> str:
+    """Whether a layer with so many data files is enough to answer from."""
+    return "ok" if files >= min_files else "insufficient_data"
+
+
 def run_pipeline(
     spark: SparkSession,
     raw_path: str,
@@ -324,16 +340,17 @@ def run_pipeline(
     result.counts["silver_rows"] = build_silver(
         spark, layout.bronze, layout.silver, date_lo, date_hi, range_mode, dedup
     )
-    result.counts["silver_files"] = file_count(spark, layout.silver)
-    if result.counts["silver_files"] < min_files:
-        result.status = "insufficient_data"
+    result.counts["silver_files"] = silver_files(spark, layout.silver)
+    if volume_status(result.counts["silver_files"], min_files) != "ok":
+        result.status = volume_status(result.counts["silver_files"], min_files)
         return result
     if gate_before_gold:
         run_gate(spark, layout.silver, f"{layout.quality}/gate")
     sample = build_sample(spark, layout.silver, layout.sample, sample_size, sample_seed)
     result.counts["sample_rows"] = sample.size
+    state = SampleState(f"{layout.sample}_months", sample_size, sample_seed) if sample_size else None
     result.metrics = build_gold(
-        spark, layout.silver, layout.sample, layout.gold, params, measure_times=measure_times, months=months
+        spark, layout.silver, layout.sample, layout.gold, params, measure_times=measure_times, months=months, sample_state=state
     )
     if not gate_before_gold:
         run_gate(spark, layout.silver, f"{layout.quality}/gate")

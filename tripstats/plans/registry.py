@@ -24,6 +24,7 @@ from ..session import fresh_path
 from ..sources.csv_source import read_raw_csv, write_csv
 from ..sources.layers import partition_files, partition_volume, read_months, write_flat, write_partitioned
 from . import carriers as C
+from . import monthly_queries
 from . import trip_carrier as T
 from .taxi import TAXI_QUERIES
 
@@ -287,4 +288,4 @@ def queries() -> dict[str, QueryFn]:
             "quarantine_rejects": quarantine_rejects,
         }
     )
-    return reg
+    return reg | monthly_queries.queries()

@@ -46,6 +46,13 @@ def read_layer(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
+def month_bounds(lo: _dt.date | str, hi: _dt.date | str) -> tuple[int, int]:
+    """The months of two dates as numbers ``year * 100 + month``."""
+    lo_d = _dt.date.fromisoformat(str(lo)[:10])
+    hi_d = _dt.date.fromisoformat(str(hi)[:10])
+    return lo_d.year * 100 + lo_d.month, hi_d.year * 100 + hi_d.month
+
+
 def month_range_predicate(
     lo: _dt.date | str, hi: _dt.date | str, year_col: str = "year", month_col: str = "month"
 ) -> Column:
@@ -54,10 +61,7 @@ def month_range_predicate(
     Written on ``year`` / ``month`` only, so the scan prunes whole partition
     directories (``PartitionFilters``) before any file is opened.
     """
-    lo_d = _dt.date.fromisoformat(str(lo)[:10])
-    hi_d = _dt.date.fromisoformat(str(hi)[:10])
-    ym = F.col(year_col) * 100 + F.col(month_col)
-    return ym.between(lo_d.year * 100 + lo_d.month, hi_d.year * 100 + hi_d.month)
+    return (F.col(year_col) * 100 + F.col(month_col)).between(*month_bounds(lo, hi))
 
 
 def read_months(
