@@ -75,3 +75,20 @@ def test_merge(parts):
     covered = {i for a, n in parts for i in range(a, a + n)}
     assert {i for a, b in zip(s, e) for i in range(a, b)} == covered
     assert all(e[i] < s[i + 1] for i in range(len(s) - 1))
+
+
+def test_repeated_rows_are_worked_on_once(spark):
+    """One text under id 1 and 20,000 equal rows of id 9: the list of spans is that of one row, and all rows get it."""
+    words = make_words(200, 11)
+    text = " ".join(words)
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string").unionByName(
+        spark.range(20_000).selectExpr("9L AS doc_id", f"'{text}' AS text").repartition(6)
+    )
+    rows, kinds, repeated = B._rows(docs)
+    assert repeated and kinds.count() == 2
+    spans = B._spans(kinds, repeated).collect()
+    assert [(r.doc, r.copy != 0) for r in spans] == [(9, True)] and len(spans[0].parts) <= 200 - B.WINDOW + 1
+    found = B.removal_digests(docs).groupBy("doc_id", "n_words", "n_removed", "kept_sha256").count().collect()
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, [(1, 200, 0, brute.sha(text), 1), (9, 200, 200, brute.sha(""), 20_000)]))
+    one = B.repeated_spans(docs).collect()
+    assert [(r.doc_id, [tuple(s) for s in r.spans]) for r in one] == [(9, [(0, 200)])]

@@ -25,7 +25,8 @@ Windows are told apart by two 64-bit hashes (anchor, and path or window).
 Words are maximal runs of other characters than space, \\t, \\n, \\v, \\f, \\r,
 unchanged; null text has none.  Rows with one doc_id are one document: an equal
 window at the same start in another row of that id is not earlier.  A null id
-comes before all others.
+comes before all others.  Rows with equal id and text are worked on once, and
+all get the result, so a list of spans is never longer than a text's windows.
 """
 
 from __future__ import annotations
@@ -88,13 +89,23 @@ def paths(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return doc[head], begin - first[doc[head]], edges, grams[at].view(np.int64), path.view(np.int64)
 
 
-def _rows(docs: DataFrame) -> DataFrame:
-    """(doc, copy, text): ids without null, and a text hash where rows of one id differ."""
-    rows = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("doc"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    )
-    shared = docs.groupBy(F.col("doc_id")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
-    return rows.select("doc", (F.lit(0).cast("long") if shared else F.xxhash64("text")).alias("copy"), "text")
+def _rows(docs: DataFrame) -> tuple[DataFrame, DataFrame, bool]:
+    """(doc, copy, text) of every row and of every kind of row, and whether any id is repeated.
+
+    Ids are without null; ``copy`` is a hash of the text where ids are
+    repeated, else 0.  Of the rows with equal id and text there is one kind;
+    only texts of repeated ids are shuffled for it, combined in each task first.
+    """
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("doc")
+    rows = docs.select(doc, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    repeated = stored(docs.select(doc).groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc"), "graph-ids")
+    if repeated.isEmpty():
+        rows = rows.select("doc", F.lit(0).cast("long").alias("copy"), "text")
+        return rows, rows, False
+    rows = rows.select("doc", F.xxhash64("text").alias("copy"), "text")
+    again = rows.join(repeated, "doc", "left_semi").groupBy("doc", "copy").agg(F.min("text").alias("text"))
+    kinds = rows.join(repeated, "doc", "left_anti").unionByName(again)
+    return rows, stored(kinds, "graph-kinds"), True
 
 
 def paths_frame(rows: DataFrame) -> DataFrame:
@@ -189,9 +200,12 @@ def repeated_parts(rows: DataFrame) -> DataFrame:
     return whole.unionByName(single.select("doc", "copy", "start", (F.col("start") + WINDOW).alias("end")))
 
 
-def _spans(rows: DataFrame) -> DataFrame:
-    parts = stored(repeated_parts(rows), "graph-parts")
-    return parts.groupBy("doc", "copy").agg(F.collect_list(F.struct("start", "end")).alias("parts"))
+def _spans(kinds: DataFrame, repeated: bool) -> DataFrame:
+    """(doc, copy, parts): the ranges of :func:`repeated_parts`, a list for each kind of row."""
+    parts = stored(repeated_parts(kinds), "graph-parts")
+    spans = parts.groupBy("doc", "copy").agg(F.collect_list(F.struct("start", "end")).alias("parts"))
+    # Written where rows repeat, so that the join with them can be split at a row that is there very often.
+    return stored(spans, "graph-spans") if repeated else spans
 
 
 def merge(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -223,7 +237,7 @@ def kept_words(text: bytes, start: np.ndarray, end: np.ndarray) -> tuple[bytes,
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, spans): the maximal repeated word ranges [start, end) of every document that has any."""
+    """(doc_id, spans): the maximal repeated word ranges [start, end) of every text that has any; equal rows are one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -232,7 +246,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, kind)], names=["doc_id", "spans"])
 
     doc = F.when(F.col("doc") != _NULL_ID, F.col("doc"))
-    return _spans(_rows(docs)).select(doc.alias("doc_id"), "parts").mapInArrow(run, "doc_id long, spans array<struct<start: long, end: long>>")
+    _, kinds, repeated = _rows(docs)
+    return _spans(kinds, repeated).select(doc.alias("doc_id"), "parts").mapInArrow(run, "doc_id long, spans array<struct<start: long, end: long>>")
 
 
 DIGEST_SCHEMA = "doc_id long, n_words long, n_removed long, kept_sha256 string"
@@ -240,8 +255,8 @@ DIGEST_SCHEMA = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 def removal_digests(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) of every row, its repeated spans taken out."""
-    rows = _rows(docs)
-    joined = rows.join(_spans(rows), ["doc", "copy"], "left").select("doc", "text", "parts")
+    rows, kinds, repeated = _rows(docs)
+    joined = rows.join(_spans(kinds, repeated), ["doc", "copy"], "left").select("doc", "text", "parts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -267,13 +282,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     columns = docs.columns
     at = columns.index("text")
     extra = free_name(columns, "parts")
-    rows = _rows(docs)
-    unique = not rows.where("copy != 0").isEmpty()
-    copy = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))) if unique else F.lit(0).cast("long")
+    _, kinds, repeated = _rows(docs)
+    copy = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))) if repeated else F.lit(0).cast("long")
     keyed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("doc"), copy.alias("copy")
     )
-    joined = keyed.join(_spans(rows), ["doc", "copy"], "left")
+    joined = keyed.join(_spans(kinds, repeated), ["doc", "copy"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
