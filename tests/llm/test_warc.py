@@ -134,3 +134,29 @@ def test_file_systems_and_repeated_attempts(spark, tmp_path):
         warc._normalise_one(archive, f"file:{out}")
         made.append({p.name: p.read_bytes() for p in out.iterdir()})
     assert made[0] == made[1] and len(made[0]) == 2
+
+
+def test_hot_payload_is_split(spark):
+    """Half of the rows share a payload: without broadcasts, AQE splits the join at it."""
+    html = "'<html>' || repeat('same ', 60)"
+    pages = spark.range(20_000).selectExpr("id AS page_id", "'u' AS url", f"IF(id % 2 = 0, {html}, {html} || id) AS html").repartition(8)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        roles = warc.with_roles(pages)
+        revisits = roles.collect()
+        assert sum(r.refers_to == 0 for r in revisits) == 9_999 and len(revisits) == 20_000
+        assert "skew=true" in roles._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

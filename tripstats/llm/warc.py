@@ -46,8 +46,9 @@ def with_roles(pages: DataFrame) -> DataFrame:
     page_id are responses and the others revisits of it (a null page_id is
     never the smallest; rows that repeat the smallest page_id are all
     responses).  Null html is an empty payload.  The digests are counted with
-    map-side combining; the join back is an ordinary one, which AQE splits at
-    a payload that a third of the rows share.
+    map-side combining, and the repeated ones written: the join back then has
+    plain shuffles on both sides (a side that comes out of an aggregate cannot
+    be split), so AQE splits it at a payload that a third of the rows share.
     """
     html = F.coalesce(F.col("html"), F.lit(""))
     base = pages.select(
@@ -64,6 +65,7 @@ def with_roles(pages: DataFrame) -> DataFrame:
         .where(F.col("copies") > 1)
         .select("payload_digest", "first_id")
     )
+    firsts = stored(firsts, "warc-firsts")
     revisit = F.col("first_id").isNotNull() & ~F.col("first_id").eqNullSafe(F.col("page_id"))
     return base.join(firsts, "payload_digest", "left").withColumn(
         "refers_to", F.when(revisit, F.col("first_id"))
@@ -318,6 +320,7 @@ def page_records(pages: DataFrame) -> DataFrame:
         .groupBy(F.col("page_id").alias("refers_to"), F.col("read_digest").alias("stated_digest"))
         .agg(F.max("read_bytes").alias("full_bytes"))
     )
+    responses = stored(responses, "warc-responses")  # for the join, as in with_roles
     own = F.col("record_type") == "response"
     return facts.join(responses, ["refers_to", "stated_digest"], "left").select(
         "page_id",
