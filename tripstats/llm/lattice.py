@@ -9,21 +9,24 @@ end.  Words are lower-cased (A-Z) and begin with the vocabulary's word mark;
 single-byte pieces give every word at least one segmentation.
 
 The corpus holds several languages, so the model is a mixture: one unigram
-distribution for each of the ``GROUPS`` most frequent values of ``lang`` among
-the training rows and one for the rest, weighted by their shares of rows.  A
+distribution for each value of ``lang`` that at least ``MIN_SHARE`` of the
+training rows have and one for the rest, weighted by their shares of rows.  A
 text is scored by the mixture, summed over all its components; its own
 ``lang`` is no input of its score.
 
 The vocabulary file at hand is a BPE one, whose scores are merge ranks and no
 log probabilities.  They start the estimate (a piece's share falls with its
 rank), and expectation-maximisation over the counted words of all training
-texts makes them unigram scores; the set of pieces stays as it is.
+texts, until their likelihood settles, makes them unigram scores; the set of
+pieces stays as it is.
 
 Work is by distinct word.  One pass counts words; the word table grows with
 the corpus and stays in Spark.  Texts are then scored in blocks of bounded
 size: a block asks the word table for each of its distinct words once, and the
 answers meet the block's texts again.  So a frequent word costs a row for each
-block, not for each text.  Words are keyed by 64-bit hashes there.
+block, not for each text.  Words are keyed by 64-bit hashes there.  Rows with
+equal id and text are scored once.  A word above ``LONG`` bytes (text without
+spaces) goes through the recursion in blocks, see :mod:`.longwords`.
 
 Null text is an empty one, with the end as its only token.
 """
@@ -38,11 +41,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
+from .longwords import LongWord
 from .shared import shuffle_partitions, stored
 
 BLOCK_BYTES = 16 << 20  # text in a block, on average
-EM_STEPS = 2
-GROUPS = 6
+SETTLED = 0.002  # EM ends when a step raises the log likelihood of the training words by a smaller share
+MIN_SHARE = 0.01  # of the training rows: a language above it has a distribution of its own, so there are at most 100
+LONG = 2048
 CHUNK_WORDS = 20_000
 _MARK = 0x20  # stands for the vocabulary's word mark; no word holds a space
 _TABLE_BITS = 18
@@ -165,8 +170,8 @@ def backward(weights: np.ndarray) -> np.ndarray:
     return beta
 
 
-def expected_counts(arcs: np.ndarray, log_p: np.ndarray, times: np.ndarray) -> np.ndarray:
-    """Expected number of every piece in the words, each counted ``times``."""
+def expected_counts(arcs: np.ndarray, log_p: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Expected number of every piece in the words, each counted ``times``, and the words' log probabilities."""
     length, most, n = arcs.shape
     weights = _weights(arcs, log_p)
     alpha, beta = forward(weights), backward(weights)
@@ -178,13 +183,13 @@ def expected_counts(arcs: np.ndarray, log_p: np.ndarray, times: np.ndarray) -> n
             found = piece[begin, word]
             share = alpha[begin, word] + log_p[found] + beta[begin + size, word] - alpha[length, word]
             out += np.bincount(found, np.exp(share) * times[word], len(log_p))
-    return out
+    return out, alpha[length]
 
 
 def _matrices(words: list[bytes], budget: int = 4 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(rows, byte matrix with the word mark) of words of equal length, in bounded pieces."""
+    """(rows, byte matrix with the word mark) of words of equal length up to :data:`LONG`, in bounded pieces."""
     lengths = np.array([len(w) for w in words], np.int64)
-    for length in np.unique(lengths):
+    for length in np.unique(lengths[lengths <= LONG]):
         rows = np.flatnonzero(lengths == length)
         step = max(1, budget // int((length + 1) * 24))
         for at in range(0, len(rows), step):
@@ -193,14 +198,41 @@ def _matrices(words: list[bytes], budget: int = 4 << 20) -> Iterator[tuple[np.nd
             yield part, np.concatenate([np.full((len(part), 1), _MARK, np.uint8), body], axis=1)
 
 
+def _long(words: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, bytes with the word mark) of every longer word."""
+    for row, word in enumerate(words):
+        if len(word) > LONG:
+            yield row, np.concatenate([np.full(1, _MARK, np.uint8), np.frombuffer(word, np.uint8)])
+
+
 def word_log_p(words: list[bytes], pieces: Pieces, log_p: np.ndarray) -> np.ndarray:
-    """Natural-log probability of every word, over all its segmentations."""
-    out = np.zeros(len(words))
+    """(words, groups): natural-log probability of every word, over all its segmentations, by each row of ``log_p``."""
+    out = np.zeros((len(words), len(log_p)))
     for rows, matrix in _matrices(words):
-        out[rows] = forward(_weights(pieces.arcs(matrix), log_p))[-1]
+        arcs = pieces.arcs(matrix)
+        for k, own in enumerate(log_p):
+            out[rows, k] = forward(_weights(arcs, own))[-1]
+    for row, data in _long(words):
+        out[row] = [LongWord(data, pieces, own).log_probability() for own in log_p]
     return out
 
 
+def word_counts(words: list[bytes], times: np.ndarray, pieces: Pieces, log_p: np.ndarray) -> tuple[np.ndarray, float]:
+    """Expected number of every piece by group, each word counted ``times[word, group]``, and the words' log likelihood."""
+    counts, likelihood = np.zeros(log_p.shape), 0.0
+    for rows, matrix in _matrices(words):
+        arcs, own = pieces.arcs(matrix), times[rows]
+        for k in range(len(log_p)):
+            if (used := own[:, k] > 0).any():
+                found, log_total = expected_counts(arcs[:, :, used], log_p[k], own[used, k])
+                counts[k] += found
+                likelihood += float(own[used, k] @ log_total)
+    for row, data in _long(words):
+        for k in np.flatnonzero(times[row]):
+            likelihood += times[row, k] * LongWord(data, pieces, log_p[k]).expected_counts(counts[k], times[row, k])
+    return counts, likelihood
+
+
 def words_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(lower-cased bytes, starts, ends, hashes, words before each text)."""
     lower = T.LOWER_ASCII[raw]
@@ -244,43 +276,50 @@ def _counts_of(column: pa.Array, groups: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, groups).astype(np.float64)
 
 
-def fit(words: DataFrame, n_ends: np.ndarray, vocabulary: str, steps: int = EM_STEPS) -> np.ndarray:
+def fit(words: DataFrame, n_ends: np.ndarray, vocabulary: str, steps: int | None = None) -> np.ndarray:
     """(groups, pieces + 1) log probabilities of the vocabulary's pieces, the end piece last.
 
     Each step is one pass over the word table; a number for each piece and
     group (their number does not depend on the corpus) comes to the driver.
+    Steps go on until the likelihood settles, or are as many as ``steps``.
     """
     pieces = Pieces.of(vocabulary)
     groups = len(n_ends)
     log_p = np.tile(pieces.start, (groups, 1))
     total = np.zeros(groups)
-    for _ in range(steps):
+    done, before = 0, -np.inf
+    while steps is None or done < steps:
 
         def run(batches: Iterator[pa.RecordBatch], log_p=log_p) -> Iterator[pa.RecordBatch]:
             own = Pieces.of(vocabulary)
-            counts = np.zeros(log_p.shape)
+            counts, likelihood = np.zeros(log_p.shape), 0.0
             for batch in batches:
                 for at in range(0, batch.num_rows, CHUNK_WORDS):
                     part = batch.slice(at, CHUNK_WORDS)
                     c = _counts_of(part.column(1), groups)
                     learnt = np.flatnonzero(c.sum(axis=1))
-                    spelled = part.column(0).take(pa.array(learnt)).to_pylist()
-                    for rows, matrix in _matrices(spelled):
-                        arcs, times = own.arcs(matrix), c[learnt[rows]]
-                        for k in range(groups):
-                            if (used := times[:, k] > 0).any():
-                                counts[k] += expected_counts(arcs[:, :, used], log_p[k], times[used, k])
+                    found, log_total = word_counts(part.column(0).take(pa.array(learnt)).to_pylist(), c[learnt], own, log_p)
+                    counts += found
+                    likelihood += log_total
             group, piece = np.nonzero(counts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(group, pa.int32()), pa.array(piece, pa.int32()), pa.array(counts[group, piece])], names=["group", "piece", "e"]
-            )
+            # Piece -1 carries the log likelihood.
+            columns = [np.append(group, 0).astype(np.int32), np.append(piece, -1).astype(np.int32), np.append(counts[group, piece], likelihood)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["group", "piece", "e"])
 
         rows = words.select("word", "c").mapInArrow(run, "group int, piece int, e double").groupBy("group", "piece").agg(F.sum("e").alias("e")).collect()
         counts = np.full(log_p.shape, 1e-3)  # a piece that was not seen keeps a little
+        likelihood = 0.0
         for r in rows:
-            counts[r["group"], r["piece"]] += r["e"]
+            if r["piece"] < 0:
+                likelihood = r["e"]
+            else:
+                counts[r["group"], r["piece"]] += r["e"]
         total = counts.sum(axis=1)
         log_p = np.log(counts / total[:, None])
+        done += 1
+        if steps is None and likelihood - before <= SETTLED * abs(likelihood):
+            break
+        before = likelihood
     p_end = (n_ends + 1e-3) / (total + n_ends + 2e-3)
     return np.concatenate([log_p + np.log1p(-p_end)[:, None], np.log(p_end)[:, None]], axis=1)
 
@@ -293,25 +332,22 @@ def word_table(words: DataFrame, log_p: np.ndarray, vocabulary: str) -> DataFram
         for batch in batches:
             for at in range(0, batch.num_rows, CHUNK_WORDS):
                 part = batch.slice(at, CHUNK_WORDS)
-                lp = np.zeros((part.num_rows, len(log_p)), "<f4")
-                for rows, matrix in _matrices(part.column(1).to_pylist()):
-                    arcs = own.arcs(matrix)
-                    for k in range(len(log_p)):
-                        lp[rows, k] = forward(_weights(arcs, log_p[k, :-1]))[-1] / np.log(10)
+                lp = (word_log_p(part.column(1).to_pylist(), own, log_p[:, :-1]) / np.log(10)).astype("<f4")
                 c = _counts_of(part.column(2), len(log_p)).sum(axis=1).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(c), pa.array([x.tobytes() for x in lp], pa.binary())], names=["h", "c", "lp"])
 
     return words.select("h", "word", "c").mapInArrow(run, "h long, c long, lp binary")
 
 
-def language_groups(rows: DataFrame, most: int = GROUPS) -> tuple[Column, np.ndarray]:
+def language_groups(rows: DataFrame, min_share: float = MIN_SHARE) -> tuple[Column, np.ndarray]:
     """(column of a row's group, training rows of each group).
 
-    The last group is that of all other languages, if any training row has one.
+    A language with at least ``min_share`` of the training rows is a group of
+    its own; the last group is that of all others, if any training row has one.
     """
     found = rows.where("learn").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    top = found.where(F.col("lang").isNotNull()).orderBy(F.desc("n"), "lang").limit(most).collect()
     total = found.agg(F.sum("n").alias("n")).first()["n"] or 0
+    top = found.where(F.col("lang").isNotNull() & (F.col("n") >= min_share * total)).orderBy(F.desc("n"), "lang").collect()  # at most 1 / min_share
     counts = [r["n"] for r in top]
     rest = total - sum(counts)
     if rest or not counts:
@@ -322,6 +358,20 @@ def language_groups(rows: DataFrame, most: int = GROUPS) -> tuple[Column, np.nda
     return group, np.array(counts, dtype=np.float64)
 
 
+def _kinds(rows: DataFrame) -> tuple[DataFrame, bool]:
+    """(id, key, text, learn) of every kind of row and whether ids are repeated: rows of equal id and text are one kind.
+
+    Where ids are unique, every row is a kind, known by its id alone.
+    """
+    rows = rows.select("id", "text", "learn")
+    repeated = stored(rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id"), "lattice-ids")
+    if repeated.isEmpty():
+        return rows.select("id", F.lit(0).cast("long").alias("key"), "text", "learn"), False
+    rows = rows.select("id", F.xxhash64("text").alias("key"), "text", "learn")
+    again = rows.join(repeated, "id", "left_semi").groupBy("id", "key").agg(F.min("text").alias("text"), F.max("learn").alias("learn"))
+    return stored(rows.join(repeated, "id", "left_anti").unionByName(again), "lattice-kinds"), True
+
+
 def _floats(column: pa.ChunkedArray, width: int) -> np.ndarray:
     """Rows of ``width`` floats from a column of their bytes, without a Python object a row."""
     parts = [np.zeros((0, width), "<f4")]
@@ -333,10 +383,11 @@ def _floats(column: pa.ChunkedArray, width: int) -> np.ndarray:
     return np.concatenate(parts)
 
 
-SCORE_SCHEMA = "doc_id long, learn boolean, n_tokens long, n_known long, base_score double, score double"
+NULL_ID = -(1 << 63)
+SCORE_SCHEMA = "id long, key long, learn boolean, n_tokens long, n_known long, base_score double, score double"
 
 
-def score_texts(docs: DataFrame, held_out: Column, vocabulary: str, steps: int = EM_STEPS) -> DataFrame:
+def score_texts(docs: DataFrame, held_out: Column, vocabulary: str, steps: int | None = None) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row of ``docs``.
 
     Learns from the rows that are not ``held_out``.  ``base_score`` is the
@@ -348,7 +399,7 @@ def score_texts(docs: DataFrame, held_out: Column, vocabulary: str, steps: int =
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.col("lang").cast("string").alias("lang"), (~held_out).alias("learn"))
     size = int(rows.agg(F.sum(F.octet_length("text").cast("long")).alias("bytes")).first()["bytes"] or 0)
     group, group_ends = language_groups(rows)
-    rows = rows.select("doc_id", "text", "learn", group.alias("group"))
+    rows = rows.select("doc_id", F.coalesce("doc_id", F.lit(NULL_ID)).alias("id"), "text", "learn", group.alias("group"))
     n_ends = int(group_ends.sum())
     blocks = max(shuffle_partitions(spark), size // BLOCK_BYTES + 1)
 
@@ -360,7 +411,8 @@ def score_texts(docs: DataFrame, held_out: Column, vocabulary: str, steps: int =
     log_p = fit(words, group_ends, vocabulary, steps)
     table = word_table(words, log_p, vocabulary)
 
-    blocked = rows.select("doc_id", "text", "learn", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block"))
+    kinds_of, repeated = _kinds(rows)
+    blocked = kinds_of.select("id", "key", "learn", "text", F.pmod(F.xxhash64("id", "key"), F.lit(blocks)).alias("block"))
 
     def ask(group: pa.Table) -> pa.Table:
         found = []
@@ -394,10 +446,16 @@ def score_texts(docs: DataFrame, held_out: Column, vocabulary: str, steps: int =
             bases.append(np.bincount(doc, base[at], n) + np.log10(n_ends + 1) - log_total)
             parts = np.stack([np.bincount(doc, lp[at], n) + start for lp, start in zip(by_group, start_lp)])
             scores.append(_log_sum(parts * np.log(10)) / np.log(10))
-        columns = [group.column("doc_id"), group.column("learn"), *(np.concatenate(x) for x in (tokens, knowns, bases, scores))]
+        columns = [group.column("id"), group.column("key"), group.column("learn"), *(np.concatenate(x) for x in (tokens, knowns, bases, scores))]
         return pa.table(columns, names=[p.split()[0] for p in SCORE_SCHEMA.split(", ")])
 
     scored = blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(judge, SCORE_SCHEMA)
+    if repeated:
+        key = F.xxhash64("text").alias("key")
+        # Written, so that the join can be split at a row that is there very often.
+        scored = rows.select("doc_id", "id", "learn", key).join(stored(scored.drop("learn"), "lattice-scores"), ["id", "key"])
+    else:
+        scored = scored.withColumn("doc_id", F.when(F.col("id") != NULL_ID, F.col("id")))
     return scored.select(
         "doc_id",
         (~F.col("learn")).alias("held_out"),
