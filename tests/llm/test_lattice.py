@@ -52,6 +52,15 @@ def test_expected_counts_are_the_gradient_of_the_likelihood(pieces):
         assert (value(step) - value(pieces.start)) / 1e-5 == pytest.approx(total[i], rel=1e-3, abs=1e-6)
 
 
+def test_plain_products_are_the_log_recursion(pieces, monkeypatch):
+    found = [w.encode() for w in ("the", "thenthe", "tion", "élève", "internationalisation")]
+    times, own = np.array([[3.0], [1.0], [2.0], [1.0], [5.0]]), pieces.start[None]
+    plain = L.word_counts(found, times, pieces, own)
+    monkeypatch.setattr(L, "LOWEST", 0.0)
+    logs = L.word_counts(found, times, pieces, own)
+    assert np.allclose(plain[0], logs[0], rtol=1e-10, atol=0) and plain[1] == pytest.approx(logs[1], rel=1e-12)
+
+
 def base_rows(rows, held):
     tokens = [[*(w.translate(LOWER) for w in words(t)), None] for _, t in rows]
     c = Counter(w for t, h in zip(tokens, held) if not h for w in t)

@@ -48,6 +48,7 @@ BLOCK_BYTES = 16 << 20  # text in a block, on average
 SETTLED = 0.002  # EM ends when a step raises the log likelihood of the training words by a smaller share
 MIN_SHARE = 0.01  # of the training rows: a language above it has a distribution of its own, so there are at most 100
 LONG = 2048
+LOWEST = -600.0  # natural log of what a product of probabilities may come down to
 CHUNK_WORDS = 20_000
 _MARK = 0x20  # stands for the vocabulary's word mark; no word holds a space
 _TABLE_BITS = 18
@@ -123,7 +124,7 @@ class Pieces:
         return out
 
     def arcs(self, words: np.ndarray) -> np.ndarray:
-        """(length, longest, words): the piece that ends at a position and has a length, or -1.
+        """(length, most, words): the piece that ends at a position and has a length up to ``most``, or -1.
 
         ``words`` is a matrix of bytes, a row a word, all of one length.
         """
@@ -137,7 +138,7 @@ class Pieces:
         for size in range(1, most + 1):
             h = prefix[size:] - prefix[: length + 1 - size] * self.powers[size]
             out[size - 1 :, size - 1] = self.find(h.ravel()).reshape(h.shape)
-        return out
+        return out[:, : most - int((out.max(axis=(0, 2)) >= 0)[::-1].argmax())]  # up to the longest piece there is
 
 
 def _log_sum(terms: np.ndarray) -> np.ndarray:
@@ -172,18 +173,31 @@ def backward(weights: np.ndarray) -> np.ndarray:
 
 def expected_counts(arcs: np.ndarray, log_p: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Expected number of every piece in the words, each counted ``times``, and the words' log probabilities."""
-    length, most, n = arcs.shape
+    last, size, word = np.nonzero(arcs >= 0)  # byte that a piece ends with, its length less one
+    found = arcs[last, size, word]
+    if len(arcs) * log_p.min() > LOWEST:
+        p = np.append(np.exp(log_p), 0.0)
+        alpha, beta = _products(p[arcs])
+        share = alpha[last - size, word] * p[found] * beta[last + 1, word] / alpha[-1, word]
+        return np.bincount(found, share * times[word], len(log_p)), np.log(alpha[-1])
     weights = _weights(arcs, log_p)
     alpha, beta = forward(weights), backward(weights)
-    out = np.zeros(len(log_p))
-    for size in range(1, most + 1):
-        piece = arcs[size - 1 :, size - 1]
-        begin, word = np.nonzero(piece >= 0)
-        if len(word):
-            found = piece[begin, word]
-            share = alpha[begin, word] + log_p[found] + beta[begin + size, word] - alpha[length, word]
-            out += np.bincount(found, np.exp(share) * times[word], len(log_p))
-    return out, alpha[length]
+    share = alpha[last - size, word] + log_p[found] + beta[last + 1, word] - alpha[-1, word]
+    return np.bincount(found, np.exp(share) * times[word], len(log_p)), alpha[-1]
+
+
+def _products(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`forward` and :func:`backward` of plain probabilities, for words too short to underflow."""
+    length, most, n = p.shape
+    alpha, beta = np.zeros((length + 1, n)), np.zeros((length + 1, n))
+    alpha[0] = beta[length] = 1.0
+    for j in range(1, length + 1):
+        k = min(j, most)
+        np.einsum("kn,kn->n", alpha[j - k : j][::-1], p[j - 1, :k], out=alpha[j])
+    for i in range(length - 1, -1, -1):
+        sizes = np.arange(min(length - i, most))
+        np.einsum("kn,kn->n", beta[i + 1 : i + 1 + len(sizes)], p[i + sizes, sizes], out=beta[i])
+    return alpha, beta
 
 
 def _matrices(words: list[bytes], budget: int = 4 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
