@@ -49,7 +49,8 @@ SETTLED = 0.002  # EM ends when a step raises the log likelihood of the training
 MIN_SHARE = 0.01  # of the training rows: a language above it has a distribution of its own, so there are at most 100
 LONG = 2048
 LOWEST = -600.0  # natural log of what a product of probabilities may come down to
-CHUNK_WORDS = 20_000
+CHUNK_WORDS = 40_000
+CHUNK_BYTES = 8 << 20
 _MARK = 0x20  # stands for the vocabulary's word mark; no word holds a space
 _TABLE_BITS = 18
 
@@ -286,6 +287,19 @@ def count_words(docs: DataFrame, groups: int) -> DataFrame:
     return counted.select("h", "word", F.array(*[F.col(f"c{k}") for k in range(groups)]).alias("c"))
 
 
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches put together to about :data:`CHUNK_WORDS` rows or :data:`CHUNK_BYTES`: numpy works on many words of a length at once."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        for at in range(0, batch.num_rows, CHUNK_WORDS):
+            held.append(batch.slice(at, CHUNK_WORDS))
+            if sum(b.num_rows for b in held) >= CHUNK_WORDS or sum(b.nbytes for b in held) >= CHUNK_BYTES:
+                yield pa.concat_batches(held)
+                held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _counts_of(column: pa.Array, groups: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, groups).astype(np.float64)
 
@@ -307,14 +321,12 @@ def fit(words: DataFrame, n_ends: np.ndarray, vocabulary: str, steps: int | None
         def run(batches: Iterator[pa.RecordBatch], log_p=log_p) -> Iterator[pa.RecordBatch]:
             own = Pieces.of(vocabulary)
             counts, likelihood = np.zeros(log_p.shape), 0.0
-            for batch in batches:
-                for at in range(0, batch.num_rows, CHUNK_WORDS):
-                    part = batch.slice(at, CHUNK_WORDS)
-                    c = _counts_of(part.column(1), groups)
-                    learnt = np.flatnonzero(c.sum(axis=1))
-                    found, log_total = word_counts(part.column(0).take(pa.array(learnt)).to_pylist(), c[learnt], own, log_p)
-                    counts += found
-                    likelihood += log_total
+            for part in _chunks(batches):
+                c = _counts_of(part.column(1), groups)
+                learnt = np.flatnonzero(c.sum(axis=1))
+                found, log_total = word_counts(part.column(0).take(pa.array(learnt)).to_pylist(), c[learnt], own, log_p)
+                counts += found
+                likelihood += log_total
             group, piece = np.nonzero(counts)
             # Piece -1 carries the log likelihood.
             columns = [np.append(group, 0).astype(np.int32), np.append(piece, -1).astype(np.int32), np.append(counts[group, piece], likelihood)]
@@ -343,12 +355,10 @@ def word_table(words: DataFrame, log_p: np.ndarray, vocabulary: str) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Pieces.of(vocabulary)
-        for batch in batches:
-            for at in range(0, batch.num_rows, CHUNK_WORDS):
-                part = batch.slice(at, CHUNK_WORDS)
-                lp = (word_log_p(part.column(1).to_pylist(), own, log_p[:, :-1]) / np.log(10)).astype("<f4")
-                c = _counts_of(part.column(2), len(log_p)).sum(axis=1).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(c), pa.array([x.tobytes() for x in lp], pa.binary())], names=["h", "c", "lp"])
+        for part in _chunks(batches):
+            lp = (word_log_p(part.column(1).to_pylist(), own, log_p[:, :-1]) / np.log(10)).astype("<f4")
+            c = _counts_of(part.column(2), len(log_p)).sum(axis=1).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(c), pa.array([x.tobytes() for x in lp], pa.binary())], names=["h", "c", "lp"])
 
     return words.select("h", "word", "c").mapInArrow(run, "h long, c long, lp binary")
 
