@@ -97,6 +97,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--raw", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--min-files", type=int, default=1)
+    p.add_argument("--quarantine", action="store_true", help="move rows that break a row rule out of silver, by reason")
     p.add_argument("--gate-last", action="store_true", help="run the gate after gold instead of before")
     clean_args(p)
     sketch_args(p)
@@ -144,6 +145,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
                 dedup=args.dedup,
                 min_files=args.min_files,
                 gate_before_gold=not args.gate_last,
+                quarantine=args.quarantine,
                 measure_times=args.times,
                 months=tuple(args.months) if args.months else None,
             )

@@ -8,6 +8,7 @@ in check order.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -41,12 +42,21 @@ def gate_report(df: DataFrame, cols: GateColumns = GateColumns()) -> DataFrame:
     rows for the others.  A null passenger count is not a violation (the
     rule is ``passenger_count <= 0``), and the dropoff location is not checked.
     """
-    stats = df.agg(
+    return report_of(gate_counts(df, cols))
+
+
+def gate_counts(df: DataFrame, cols: GateColumns = GateColumns(), group_cols: Sequence[str] = ()) -> DataFrame:
+    """(group_cols, n, v2, v3, v4): the row count and each rule's violations; groups' counts add up."""
+    return df.groupBy(*group_cols).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col(cols.pickup).isNull()).alias("v2"),
         F.count_if(F.col(cols.location).isNull()).alias("v3"),
         F.count_if(F.col(cols.passengers) <= 0).alias("v4"),
     )
+
+
+def report_of(stats: DataFrame) -> DataFrame:
+    """The gate's report from one row of counts."""
     entries = [
         F.struct(
             F.lit(no).alias("check_no"),

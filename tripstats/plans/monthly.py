@@ -1,8 +1,8 @@
 """State kept by month beside a silver layer, and brought up to date month by month.
 
-Three kinds of state, each a :class:`~tripstats.sources.month_store.MonthStore`:
-Count-Min cells, heavy-hitter summaries (both for each question) and sample
-states (for all questions).  All merge, so an answer for any range of months is
+Four kinds of state, each a :class:`~tripstats.sources.month_store.MonthStore`:
+Count-Min cells, heavy-hitter summaries (both for each question), sample states
+(for all questions) and the quality gate's counts.  All merge, so an answer for any range of months is
 the merge of their states.  The manifest of a store names, for each month, the
 silver files it was computed from.  A refresh recomputes the months whose files
 are others now, and only reads those; an answer is refused if a month it needs
@@ -14,10 +14,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import heavy_hitters as hh
 from ..operators.compare import GroupCountQuery, sketch_cells_for
+from ..operators.quality import gate_counts, reject_reason, report_of
 from ..operators.sample import Sample, merge_states, sample_states
 from ..operators.sketch import SketchParams, cms_merge
 from ..schemas import DEFAULT_SAMPLE_SEED, DEFAULT_SAMPLE_SIZE, SILVER_PARTITION_COLUMNS, SILVER_SCHEMA
@@ -183,6 +185,47 @@ def merged_summary(
     return hh.merged(parts.drop(*SILVER_PARTITION_COLUMNS), query.keys)
 
 
+# --- quality gate ----------------------------------------------------------------------
+
+GATE_COUNTS = ("n", "v2", "v3", "v4")
+GATE_SCHEMA = T.StructType([*[T.StructField(c, T.LongType()) for c in GATE_COUNTS], *MONTH_FIELDS])
+
+
+def refresh_gate(spark: SparkSession, silver_path: str, path: str, months: tuple[str, str] | None = None) -> list[Month]:
+    """Bring the gate's monthly counts up to date; returns the months checked, the others are not scanned."""
+    build = lambda silver: gate_counts(silver, group_cols=SILVER_PARTITION_COLUMNS).select(*GATE_SCHEMA.names)
+    return _refresh(MonthStore(spark, path), silver_path, months, build)
+
+
+def merged_gate(spark: SparkSession, silver_path: str, path: str, months: tuple[str, str] | None = None) -> DataFrame:
+    """The gate's report over all months, or a range, from the stored counts."""
+    counts = _covered(MonthStore(spark, path), silver_path, months).read(GATE_SCHEMA, months)
+    return report_of(counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in GATE_COUNTS]))
+
+
+def quarantine_months(spark: SparkSession, silver_path: str, gate_path: str, quarantine_path: str) -> dict[str, int]:
+    """Move the rows that break a row rule out of a published silver; returns their number by reason.
+
+    The gate's counts tell which months have such rows, and only those are
+    read and published again; their rejects, with ``reject_reason``, replace
+    those months of the quarantine layer, which is written first.
+    """
+    refresh_gate(spark, silver_path, gate_path)
+    counts = MonthStore(spark, gate_path).read(GATE_SCHEMA)
+    bad = [(r["year"], r["month"]) for r in counts.where("v2 + v3 + v4 > 0").select("year", "month").collect()]  # months
+    if not bad:
+        return {}
+    store = MonthStore(spark, silver_path)
+    marked = only_months(store.read(SILVER_SCHEMA), bad).withColumn("reject_reason", reject_reason())
+    rejects = MonthStore(spark, quarantine_path)
+    rejects.write(marked.where(F.col("reject_reason").isNotNull()), months=bad)
+    sources = {m: e.source for m, e in store.entries().items() if e.source is not None}
+    store.write(marked.where(F.col("reject_reason").isNull()).drop("reject_reason"), months=bad, sources=sources)
+    refresh_gate(spark, silver_path, gate_path)
+    found = only_months(rejects.read(marked.schema), bad).groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
+    return {r["reject_reason"]: r["n"] for r in found.collect()}  # a row a rule
+
+
 def refresh_sketches(
     spark: SparkSession,
     silver_path: str,

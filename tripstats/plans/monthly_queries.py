@@ -97,6 +97,15 @@ def heavy_hitters_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bounded_top_k(M.merged_summary(spark, silver, path, Q1), Q1.keys, 20)
 
 
+def gate_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate's report from stored monthly counts, after one month was published again and checked alone."""
+    silver, path = published_silver(spark, sf_dir), fresh_path(spark, "gate-state")
+    M.refresh_gate(spark, silver, path)
+    _republish(spark, silver)
+    M.refresh_gate(spark, silver, path)
+    return M.merged_gate(spark, silver, path)
+
+
 def volume_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The status that the volume check gives the published layer, for small and large minimum file counts."""
     files = P.silver_files(spark, published_silver(spark, sf_dir))
@@ -120,6 +129,7 @@ def queries() -> dict:
         "sample_merge_range": sample_merge_range,
         "q1_heavy_hitters": heavy_hitters,
         "heavy_hitters_by_month": heavy_hitters_by_month,
+        "gate_by_month": gate_by_month,
         "volume_gate": volume_gate,
         "gold_times": gold_times,
     }

@@ -240,6 +240,7 @@ def _monthly_sql() -> dict[str, str]:
         "q1_heavy_hitters": f"SELECT *, TRUE AS bounds_hold FROM ({exact_sql('q1')})",
         # Fewer keys than counters: the bounds meet in the count.
         "heavy_hitters_by_month": f"SELECT PULocationID, n AS lower_bound, n AS upper_bound, TRUE AS guaranteed FROM ({top})",
+        "gate_by_month": _gate(_again(SILVER)),
         "volume_gate": " UNION ALL ".join(
             f"SELECT {n}::BIGINT AS min_files, CASE WHEN count(*) > 0 AND {n} = 1 THEN 'ok' ELSE 'insufficient_data' END AS status FROM ({SILVER})"
             for n in MQ.MIN_FILES

@@ -35,9 +35,12 @@ from ..sources.csv_source import read_raw_csv
 from ..sources.layers import file_count, month_range_predicate, read_layer, write_flat
 from ..sources.month_store import Month, MonthStore
 from .monthly import (
+    merged_gate,
     merged_sample,
     merged_sketch,
+    quarantine_months,
     read_published,
+    refresh_gate,
     refresh_sample,
     refresh_sketch,
     refresh_sketches,
@@ -68,6 +71,10 @@ class Layout:
     def gold(self) -> str:
         return f"{self.root}/gold"
 
+    @property
+    def rejects(self) -> str:
+        return f"{self.root}/silver_rejects"
+
     @property
     def quality(self) -> str:
         return f"{self.root}/quality"
@@ -127,11 +134,18 @@ def silver_files(spark: SparkSession, silver_path: str) -> int:
     return sum(e.files for e in store.entries().values()) if store.exists() else file_count(spark, silver_path)
 
 
-def run_gate(spark: SparkSession, silver_path: str, report_path: str) -> int:
+def run_gate(spark: SparkSession, silver_path: str, report_path: str, state_path: str | None = None) -> int:
     """One-pass gate over silver; the report (with the check time and the row
-    count, like a success marker) is written, then enforced."""
-    report = gate_report(read_silver(spark, silver_path)).withColumn("checked_at", F.current_timestamp())
-    write_flat(report.coalesce(1), report_path)
+    count, like a success marker) is written, then enforced.
+
+    With ``state_path`` the counts are kept there by month, and only months
+    whose files have changed are scanned."""
+    if state_path is None:
+        report = gate_report(read_silver(spark, silver_path))
+    else:
+        refresh_gate(spark, silver_path, state_path)
+        report = merged_gate(spark, silver_path, state_path)
+    write_flat(report.withColumn("checked_at", F.current_timestamp()).coalesce(1), report_path)
     return enforce_gate(spark.read.parquet(report_path))
 
 
@@ -326,13 +340,16 @@ def run_pipeline(
     gate_before_gold: bool = True,
     measure_times: bool = False,
     months: tuple[str, str] | None = None,
+    quarantine: bool = False,
 ) -> PipelineResult:
     """ingest -> clean -> volume check -> gate -> sample -> gold.
 
     If silver has fewer than ``min_files`` data files (by default: none at
     all) the run stops with status ``insufficient_data``.  The gate runs
     before gold by default, so failed data never reaches the gold layer
-    (``gate_before_gold=False`` runs it last).
+    (``gate_before_gold=False`` runs it last).  With ``quarantine`` the rows
+    that break a row rule are moved to ``silver_rejects`` first and reported
+    by reason (``counts["rejected_<reason>"]``); else the gate stops the run.
     """
     layout = Layout(out_root.rstrip("/"))
     result = PipelineResult(status="running", layout=layout)
@@ -344,8 +361,12 @@ def run_pipeline(
     if volume_status(result.counts["silver_files"], min_files) != "ok":
         result.status = volume_status(result.counts["silver_files"], min_files)
         return result
+    gate_state = f"{layout.quality}/gate_state"
+    if quarantine:
+        for reason, n in quarantine_months(spark, layout.silver, gate_state, layout.rejects).items():
+            result.counts[f"rejected_{reason}"] = n
     if gate_before_gold:
-        run_gate(spark, layout.silver, f"{layout.quality}/gate")
+        run_gate(spark, layout.silver, f"{layout.quality}/gate", gate_state)
     sample = build_sample(spark, layout.silver, layout.sample, sample_size, sample_seed)
     result.counts["sample_rows"] = sample.size
     state = SampleState(f"{layout.sample}_months", sample_size, sample_seed) if sample_size else None
@@ -353,6 +374,6 @@ def run_pipeline(
         spark, layout.silver, layout.sample, layout.gold, params, measure_times=measure_times, months=months, sample_state=state
     )
     if not gate_before_gold:
-        run_gate(spark, layout.silver, f"{layout.quality}/gate")
+        run_gate(spark, layout.silver, f"{layout.quality}/gate", gate_state)
     result.status = "ok"
     return result

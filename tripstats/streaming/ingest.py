@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -25,8 +25,11 @@ from ..schemas import (
     DEFAULT_DATE_LO,
     RAW_TRIP_SCHEMA,
     SILVER_PARTITION_COLUMNS,
+    SILVER_SCHEMA,
 )
 from ..sources.csv_source import csv_options, csv_schema
+from ..sources.layers import write_partitioned
+from ..sources.month_store import MonthStore, only_months
 
 OBSERVATION = "ingest"
 
@@ -50,6 +53,19 @@ def start_silver_stream(
     ``ingest`` of the query's progress.  ``trigger`` is given to
     ``DataStreamWriter.trigger`` (default: all files present, then stop).
     """
+    silver = _silver_stream(spark, raw_dir, date_lo, date_hi, range_mode, max_files_per_trigger)
+    writer = (
+        silver.writeStream.format("parquet")
+        .partitionBy(*SILVER_PARTITION_COLUMNS)
+        .option("checkpointLocation", checkpoint_dir)
+        .outputMode("append")
+    )
+    return writer.trigger(**(trigger or {"availableNow": True})).start(silver_dir)
+
+
+def _silver_stream(
+    spark: SparkSession, raw_dir: str, date_lo: str, date_hi: str, range_mode: str, max_files_per_trigger: int | None
+) -> DataFrame:
     reader = spark.readStream.schema(csv_schema(RAW_TRIP_SCHEMA, True)).options(**csv_options(keep_corrupt=True))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -59,14 +75,75 @@ def start_silver_stream(
         F.count_if(F.col(CORRUPT_RECORD_COL).isNotNull()).alias("malformed_rows"),
     )
     raw = raw.drop(CORRUPT_RECORD_COL)
-    silver = clean_trips(raw, date_lo=date_lo, date_hi=date_hi, range_mode=range_mode)
-    writer = (
-        silver.writeStream.format("parquet")
-        .partitionBy(*SILVER_PARTITION_COLUMNS)
-        .option("checkpointLocation", checkpoint_dir)
-        .outputMode("append")
-    )
-    return writer.trigger(**(trigger or {"availableNow": True})).start(silver_dir)
+    return clean_trips(raw, date_lo=date_lo, date_hi=date_hi, range_mode=range_mode)
+
+
+# --- a published silver layer, batch by batch ---------------------------------------------
+
+
+def start_published_stream(
+    spark: SparkSession,
+    raw_dir: str,
+    silver_dir: str,
+    checkpoint_dir: str,
+    date_lo: str = DEFAULT_DATE_LO,
+    date_hi: str = DEFAULT_DATE_HI,
+    range_mode: str = INCLUSIVE_MIDNIGHT,
+    trigger: Mapping[str, object] | None = None,
+    max_files_per_trigger: int | None = None,
+    compact_every: int = 16,
+) -> StreamingQuery:
+    """Raw -> a published silver layer; each micro-batch lands in a folder of its own number.
+
+    A batch that is run again overwrites its own folder, and one that is
+    published already is not published twice, so replays add no row.  Batches
+    are clustered by month when they land, and every ``compact_every`` batches
+    they are published into their months (:func:`publish_batches`), which
+    rewrites those months with right-sized files.  Readers see the published
+    months; run :func:`publish_batches` when the stream stops.  A layer is
+    written by one stream, or by batch runs, not by both.
+    """
+    silver = _silver_stream(spark, raw_dir, date_lo, date_hi, range_mode, max_files_per_trigger)
+
+    def land(batch: DataFrame, number: int) -> None:
+        write_partitioned(batch, _landing(silver_dir, number))
+        if (number + 1) % compact_every == 0:
+            publish_batches(batch.sparkSession, silver_dir, number)
+
+    writer = silver.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint_dir)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def _landing(silver_dir: str, number: int) -> str:
+    return f"{silver_dir.rstrip('/')}/landing/batch={number}"
+
+
+def published_upto(store: MonthStore) -> int:
+    """The last batch whose rows are published; -1 if there is none.  It stands in the manifest, as each month's source."""
+    return max((int(e.source) for e in store.entries().values() if e.source is not None), default=-1)
+
+
+def publish_batches(spark: SparkSession, silver_dir: str, upto: int) -> int:
+    """Publish the landed batches up to number ``upto`` that are not yet; returns the rows added.
+
+    Their months are written anew, old rows and new, in one version of the
+    layer: the manifest's rows of that version say which batches it holds, so
+    a batch is in the layer once or not at all.
+    """
+    store = MonthStore(spark, silver_dir)
+    done = published_upto(store)
+    if upto <= done:
+        return 0
+    paths = [_landing(silver_dir, n) for n in range(done + 1, upto + 1)]
+    landed = spark.read.schema(SILVER_SCHEMA).parquet(paths[0])
+    for path in paths[1:]:
+        landed = landed.unionByName(spark.read.schema(SILVER_SCHEMA).parquet(path))
+    counts = landed.groupBy(*SILVER_PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("n")).collect()  # a row a month
+    if counts:
+        months = [(r["year"], r["month"]) for r in counts]
+        rows = only_months(store.read(SILVER_SCHEMA), months).unionByName(landed)
+        store.write(rows, months=months, sources=dict.fromkeys(months, str(upto)))
+    return sum(r["n"] for r in counts)
 
 
 def malformed_rows(query: StreamingQuery) -> int:
