@@ -62,3 +62,45 @@ def test_labelled_documents(spark):
     rows = Q.judge(docs).join(labels, "doc_id").where("not base_failed").collect()
     assert sum(r.kept == (r.quality == 1) for r in rows) / len(rows) > 0.98
     assert all(r.kept for r in rows if r.quality == 1)
+
+
+def plain_em(histogram, steps=200):
+    """The two-class model by loops over patterns and rules: {pattern: posterior of good}."""
+    prior, bad, good = 0.1, [0.34] * len(Q.RULES), [0.02] * len(Q.RULES)
+    shown = {code: [code // 3**i % 3 for i in range(len(Q.RULES))] for code in histogram}
+
+    def p_bad(votes):
+        a, b = prior, 1 - prior
+        for v, x, y in zip(votes, bad, good):
+            if v != Q.ABSTAIN:
+                a, b = (a * x, b * y) if v == Q.BAD else (a * (1 - x), b * (1 - y))
+        return a / (a + b)
+
+    for _ in range(steps):
+        p = {code: p_bad(v) for code, v in shown.items()}
+        total = sum(histogram.values())
+        new = (sum(n * p[c] for c, n in histogram.items()) + 0.2) / (total + 2)
+        for i in range(len(Q.RULES)):
+            for rates, weight, extra in ((bad, lambda c: p[c], 0.68), (good, lambda c: 1 - p[c], 0.04)):
+                said = sum(n * weight(c) for c, n in histogram.items() if shown[c][i] != Q.ABSTAIN)
+                voted = sum(n * weight(c) for c, n in histogram.items() if shown[c][i] == Q.BAD)
+                rates[i] = min(max((voted + extra) / (said + 2), Q.RULE_ERROR), 1 - Q.RULE_ERROR)
+        if abs(new - prior) < 1e-10:
+            break
+        prior = new
+    return {code: 1 - p_bad(v) for code, v in shown.items()}
+
+
+def test_posterior_is_the_plain_em(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = Q.features_frame(docs).where("n_words > 0").groupBy("pattern").count().collect()
+    want = plain_em({r["pattern"]: r["count"] for r in rows})
+    codes, good, _ = Q.fit_frame(Q.features_frame(docs))
+    got = dict(zip(codes.tolist(), good.tolist()))
+    assert len(want) > 10 and all(abs(got[c] - g) < 1e-9 for c, g in want.items())
+    judged = Q.judge(docs).select("doc_id", "p_good", "kept", "base_failed").collect()
+    pattern = {r.doc_id: r.pattern for r in Q.features_frame(docs).select("doc_id", "pattern").collect()}
+    for r in judged:
+        if pattern[r.doc_id] in want:
+            assert abs(r.p_good - want[pattern[r.doc_id]]) < 1e-9
+            assert r.kept == (not r.base_failed and r.p_good >= Q.KEEP_AT)
