@@ -24,9 +24,11 @@ def copy_without(tmp_path, *left_out):
 
 def test_without_llm_folders_and_pipeline(tmp_path):
     with_all, _ = names(ROOT)
-    found, sql = names(copy_without(tmp_path, "llm", "corpus_pipeline.py"))
-    assert found == {n for n in with_all if not n.startswith("op") and n != "pipeline"}
-    assert sql <= found
+    for place, left_out in (("a", ("llm", "corpus_pipeline.py")), ("b", ("llm",))):  # the pipeline's file without its operators, too
+        (tmp_path / place).mkdir()
+        found, sql = names(copy_without(tmp_path / place, *left_out))
+        assert found == {n for n in with_all if not n.startswith("op") and n != "pipeline"}
+        assert sql <= found
 
 
 def test_nothing_outside_llm_imports_it():

@@ -1,5 +1,5 @@
 """Structured Streaming form of the ingest + clean steps."""
 
-from .ingest import malformed_rows, publish_batches, start_published_stream, start_silver_stream
+from .ingest import late_rows, malformed_rows, publish_batches, start_published_stream, start_silver_stream
 
-__all__ = ["malformed_rows", "publish_batches", "start_published_stream", "start_silver_stream"]
+__all__ = ["late_rows", "malformed_rows", "publish_batches", "start_published_stream", "start_silver_stream"]

@@ -32,6 +32,7 @@ from ..sources.layers import write_partitioned
 from ..sources.month_store import MonthStore, only_months
 
 OBSERVATION = "ingest"
+EVENT_TIME = "_event_time"
 
 
 def start_silver_stream(
@@ -92,6 +93,7 @@ def start_published_stream(
     trigger: Mapping[str, object] | None = None,
     max_files_per_trigger: int | None = None,
     compact_every: int = 16,
+    dedup_within: str | None = None,
 ) -> StreamingQuery:
     """Raw -> a published silver layer; each micro-batch lands in a folder of its own number.
 
@@ -102,8 +104,17 @@ def start_published_stream(
     rewrites those months with right-sized files.  Readers see the published
     months; run :func:`publish_batches` when the stream stops.  A layer is
     written by one stream, or by batch runs, not by both.
+
+    ``dedup_within`` (an interval, say ``"2 days"``) keeps one of equal raw
+    rows, across batches too: their keys are state for as long as a pickup
+    time is not that far behind the latest one seen, so state is bounded by
+    the rows of the interval.  Rows that come later than that are not silver
+    rows; :func:`late_rows` counts them.
     """
     silver = _silver_stream(spark, raw_dir, date_lo, date_hi, range_mode, max_files_per_trigger)
+    if dedup_within is not None:
+        timed = silver.withColumn(EVENT_TIME, F.col("pickup_datetime").cast("timestamp")).withWatermark(EVENT_TIME, dedup_within)
+        silver = timed.dropDuplicatesWithinWatermark(RAW_TRIP_SCHEMA.fieldNames()).drop(EVENT_TIME)
 
     def land(batch: DataFrame, number: int) -> None:
         write_partitioned(batch, _landing(silver_dir, number))
@@ -150,3 +161,8 @@ def malformed_rows(query: StreamingQuery) -> int:
     """Malformed lines in the batches that the query still reports."""
     found = [(p["observedMetrics"] or {}).get(OBSERVATION) for p in query.recentProgress]
     return sum(int(m["malformed_rows"]) for m in found if m is not None)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows dropped for coming behind the watermark, in the batches that the query still reports."""
+    return sum(int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress for op in p["stateOperators"])
