@@ -1,18 +1,22 @@
 """The stream into a published layer, the gate's monthly state and the quarantine."""
 
 import os
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
 
 from tripstats.operators.clean import clean_trips
+from tripstats.operators.compare import sketch_cells_for
 from tripstats.operators.quality import QualityGateError, gate_report
+from tripstats.operators.sketch import SketchParams
 from tripstats.plans import monthly as M
 from tripstats.plans import pipeline as P
 from tripstats.plans import trip_carrier as T
+from tripstats.plans.taxi import TAXI_QUERIES
 from tripstats.schemas import SILVER_SCHEMA
 from tripstats.sources.month_store import MonthStore, StaleMonths, only_months
-from tripstats.streaming import ingest, late_rows, publish_batches, start_published_stream
+from tripstats.streaming import ingest, late_rows, merge_published, publish_batches, start_published_stream
 
 from .conftest import SF_SMALL
 
@@ -108,3 +112,62 @@ def test_duplicates_across_batches_are_dropped(spark, tmp_dir):
     query.awaitTermination()
     assert late_rows(query) > 0
     assert MonthStore(spark, f"{tmp_dir}/b").read(SILVER_SCHEMA).count() == want.count()
+
+
+PARAMS = SketchParams(eps=0.05, confidence=0.9, seed=7)
+QUESTIONS = (TAXI_QUERIES[0], TAXI_QUERIES[5])
+
+
+def assert_cells_of(spark, layer, root, silver):
+    for i, q in enumerate(QUESTIONS, start=1):
+        cells = M.merged_sketch(spark, layer, M.sketch_folder(root, i, PARAMS))
+        assert rows(cells.select("d", "b", "c")) == rows(sketch_cells_for(q, silver, PARAMS).select("d", "b", "c"))
+
+
+def test_stream_cells_equal_batch_cells(spark, tmp_dir):
+    layer, root = f"{tmp_dir}/silver", f"{tmp_dir}/sketches"
+    raw = T.lineitem_raw_trips(spark, SF_SMALL).where("tpep_pickup_datetime < '1997-05' AND tpep_pickup_datetime >= '1997-01'")
+    parts = [raw.where(F.pmod(F.xxhash64(*raw.columns), F.lit(4)) == i) for i in range(4)]
+    merge = partial(merge_published, silver_dir=layer, root=root, params=PARAMS, queries=QUESTIONS)
+    kw = dict(max_files_per_trigger=1, compact_every=1, on_publish=merge, **WINDOW)
+    for i in (0, 1):
+        parts[i].coalesce(1).write.option("header", "true").csv(f"{tmp_dir}/raw/p{i}")
+    start_published_stream(spark, f"{tmp_dir}/raw/*", layer, f"{tmp_dir}/ck", **kw).awaitTermination()
+    store = MonthStore(spark, layer)
+    assert_cells_of(spark, layer, root, store.read(SILVER_SCHEMA))
+    # a call without anything new, as in a replay, changes nothing
+    assert all(m == ([], []) for m in merge(spark).values())
+    # batches published in one go, the second for some months only: what is missing is told apart by month
+    ingest.write_partitioned(clean_trips(parts[2], **WINDOW), f"{layer}/landing/batch=2")
+    publish_batches(spark, layer, 2)
+    ingest.write_partitioned(clean_trips(parts[3], **WINDOW).where("month < 3"), f"{layer}/landing/batch=3")
+    publish_batches(spark, layer, 3)
+    done = merge(spark)
+    assert all(m == ([(1997, i) for i in (1, 2, 3, 4)], []) for m in done.values())
+    assert_cells_of(spark, layer, root, store.read(SILVER_SCHEMA))
+    # old and new cells are in one version: a replayed batch is not added again
+    publish_batches(spark, layer, 3)
+    assert all(m == ([], []) for m in merge(spark).values())
+
+
+def test_cells_that_batches_do_not_explain_are_recomputed(spark, tmp_dir):
+    layer, root = f"{tmp_dir}/silver", f"{tmp_dir}/sketches"
+    silver, bad = faulty(spark)
+    store = MonthStore(spark, layer)
+    halves = [bad.where(F.pmod(F.xxhash64(*bad.columns), F.lit(2)) == i) for i in (0, 1)]
+    for i in (0, 1):
+        ingest.write_partitioned(halves[i], f"{layer}/landing/batch={i}")
+    publish_batches(spark, layer, 0)
+    call = lambda: merge_published(spark, layer, root, PARAMS, QUESTIONS)
+    assert all(added == [] and len(again) == 3 for added, again in call().values())  # new months
+    publish_batches(spark, layer, 1)
+    M.quarantine_months(spark, layer, f"{tmp_dir}/gate", f"{tmp_dir}/rejects")
+    # rows were taken from January since
+    assert all(m == ([(1997, 2), (1997, 3)], [(1997, 1)]) for m in call().values())
+    assert_cells_of(spark, layer, root, silver)
+    # written by a batch run: no batch numbers
+    store.write(only_months(bad, [(1997, 1)]), months=[(1997, 1)])
+    assert all(m == ([], [(1997, 1)]) for m in call().values())
+    assert_cells_of(spark, layer, root, bad)
+    # an empty layer
+    assert merge_published(spark, f"{tmp_dir}/none-yet", f"{tmp_dir}/s2", PARAMS, ()) == {}

@@ -92,6 +92,17 @@ class MonthStore:
         last = log.groupBy("year", "month").agg(F.max(F.struct(*fields)).alias("last")).collect()  # a row a month
         return {(r["year"], r["month"]): MonthEntry(*(r["last"][f] for f in fields)) for r in last}
 
+    def history(self, months: Iterable[Month]) -> dict[Month, list[MonthEntry]]:
+        """All entries of the given months, oldest first: a row a month and publication."""
+        log = self._log()
+        out: dict[Month, list[MonthEntry]] = {m: [] for m in months}
+        if log is None or not out:
+            return out
+        fields = ["version", "folder", "files", "bytes", "row_count", "source"]
+        for r in only_months(log, out).collect():
+            out[(r["year"], r["month"])].append(MonthEntry(*(r[f] for f in fields)))
+        return {m: sorted(entries, key=lambda e: (e.version, e.folder)) for m, entries in out.items()}
+
     def identities(self, months: tuple[str, str] | None = None) -> dict[Month, str]:
         """The folder of each month that has rows."""
         return {m: e.folder for m, e in self.entries().items() if e.row_count and in_range(m, months)}

@@ -12,7 +12,8 @@ suits a scheduled batch run.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,7 @@ from ..sources.month_store import MonthStore, only_months
 
 OBSERVATION = "ingest"
 EVENT_TIME = "_event_time"
+BATCH = "_batch"
 
 
 def start_silver_stream(
@@ -94,6 +96,7 @@ def start_published_stream(
     max_files_per_trigger: int | None = None,
     compact_every: int = 16,
     dedup_within: str | None = None,
+    on_publish: Callable[[SparkSession], object] | None = None,
 ) -> StreamingQuery:
     """Raw -> a published silver layer; each micro-batch lands in a folder of its own number.
 
@@ -110,6 +113,10 @@ def start_published_stream(
     time is not that far behind the latest one seen, so state is bounded by
     the rows of the interval.  Rows that come later than that are not silver
     rows; :func:`late_rows` counts them.
+
+    ``on_publish`` is called after each publication, and again when its batch
+    is replayed, so it has to be repeatable;
+    :func:`~tripstats.streaming.sketches.merge_published` is.
     """
     silver = _silver_stream(spark, raw_dir, date_lo, date_hi, range_mode, max_files_per_trigger)
     if dedup_within is not None:
@@ -120,6 +127,8 @@ def start_published_stream(
         write_partitioned(batch, _landing(silver_dir, number))
         if (number + 1) % compact_every == 0:
             publish_batches(batch.sparkSession, silver_dir, number)
+            if on_publish is not None:
+                on_publish(batch.sparkSession)
 
     writer = silver.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint_dir)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
@@ -129,6 +138,14 @@ def _landing(silver_dir: str, number: int) -> str:
     return f"{silver_dir.rstrip('/')}/landing/batch={number}"
 
 
+def landed_rows(spark: SparkSession, silver_dir: str, first: int, last: int) -> DataFrame:
+    """The rows of landed batches ``first`` to ``last``, with the batch's number."""
+    parts = [
+        spark.read.schema(SILVER_SCHEMA).parquet(_landing(silver_dir, n)).withColumn(BATCH, F.lit(n)) for n in range(first, last + 1)
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def published_upto(store: MonthStore) -> int:
     """The last batch whose rows are published; -1 if there is none.  It stands in the manifest, as each month's source."""
     return max((int(e.source) for e in store.entries().values() if e.source is not None), default=-1)
@@ -145,10 +162,7 @@ def publish_batches(spark: SparkSession, silver_dir: str, upto: int) -> int:
     done = published_upto(store)
     if upto <= done:
         return 0
-    paths = [_landing(silver_dir, n) for n in range(done + 1, upto + 1)]
-    landed = spark.read.schema(SILVER_SCHEMA).parquet(paths[0])
-    for path in paths[1:]:
-        landed = landed.unionByName(spark.read.schema(SILVER_SCHEMA).parquet(path))
+    landed = landed_rows(spark, silver_dir, done + 1, upto).drop(BATCH)
     counts = landed.groupBy(*SILVER_PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("n")).collect()  # a row a month
     if counts:
         months = [(r["year"], r["month"]) for r in counts]
