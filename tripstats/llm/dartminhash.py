@@ -9,11 +9,13 @@ classes are the connected components of these links.
    combining).  Each content gets a number, and contents, not doc_ids, are
    banded, compared and linked: rows that share a doc_id, but not their text,
    are judged each by its own text.  doc_ids come back at the end.
-2. Darts: each unit of a shingle's weight owns a strip of the rank axis, on
-   which a hashed Poisson process throws darts of its own, the same ones in
-   every document.  A document of total weight W sees the darts of rank below
-   (k ln k + 2k) / W; each dart carries one of k coordinates, and the
-   earliest dart of each coordinate is the signature.  A document with an
+2. Darts: a shingle owns a plane of weight and rank, on which a hashed Poisson
+   process throws darts, the same ones in every document.  A document owns the
+   region below its weight; the plane is cut into strips of weight [0, 1),
+   [1, 2), [2, 4), [4, 8), ..., so a shingle of weight w costs about log2(w)
+   strips and its darts, not w units.  A document of total weight W sees the darts
+   of rank below (k ln k + 2k) / W; each dart carries one of k coordinates, and
+   the earliest dart of each coordinate is the signature.  A document with an
    empty coordinate looks twice as far.
 3. Bands of ``ROWS`` coordinates are bucket keys.
 4. A bucket is not expanded into pairs.  In a round some of its members lead:
@@ -65,59 +67,99 @@ def unit_items(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nda
     """
     shingles, first = T.shingle_hashes(words, first, SHINGLE)
     doc = T.doc_of(first)
-    salt = T.mix64(np.arange(1, len(first) + 1, dtype=np.uint64))
+    order, begin = _grouped(shingles, doc, len(first))
+    start = np.repeat(begin, np.diff(np.append(begin, len(order))))
+    occurrence = np.empty(len(order), np.uint64)
+    occurrence[order] = (np.arange(len(order)) - start).astype(np.uint64)
+    return T.mix64(shingles + occurrence * _UNIT), first
+
+
+def _grouped(shingles: np.ndarray, doc: np.ndarray, docs: int) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which equal shingles of a document follow each other, and where each group begins."""
+    salt = T.mix64(np.arange(1, docs + 1, dtype=np.uint64))
     keys = T.mix64(shingles ^ salt[doc])
     order = np.argsort(keys, kind="stable")
     ranked = keys[order]
     fresh = np.ones(len(keys), dtype=bool)
     fresh[1:] = ranked[1:] != ranked[:-1]
-    begin = np.maximum.accumulate(np.where(fresh, np.arange(len(keys)), 0)) if len(keys) else np.zeros(0, np.int64)
-    occurrence = np.empty(len(keys), np.uint64)
-    occurrence[order] = (np.arange(len(keys)) - begin).astype(np.uint64)
-    return T.mix64(shingles + occurrence * _UNIT), first
+    return order, np.flatnonzero(fresh)
+
+
+def weighted_shingles(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash of every distinct shingle of every document, how often it occurs, their number before each document)."""
+    shingles, first = T.shingle_hashes(words, first, SHINGLE)
+    doc = T.doc_of(first)
+    order, begin = _grouped(shingles, doc, len(first))
+    place = order[begin]  # where each occurs first
+    by_place = np.argsort(place)
+    place, weight = place[by_place], np.diff(np.append(begin, len(order)))[by_place]
+    counts = np.bincount(doc[place], minlength=len(first) - 1)
+    return shingles[place], weight.astype(np.float64), np.concatenate([[0], np.cumsum(counts)])
 
 
 def _uniform(x: np.ndarray) -> np.ndarray:
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)
 
 
-def _throw(items: np.ndarray, first: np.ndarray, k: int, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _strips(elements: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The strips under each element's weight: (element's index, hash of the strip, its lower edge, its width)."""
+    least = np.maximum(weights, 1.0)
+    _, top = np.frexp(least)  # weight < 2 ** top
+    many = np.where(np.exp2(top - 1) == least, top, top + 1)
+    element = np.repeat(np.arange(len(elements)), many)
+    number = T.ragged(np.zeros(len(elements), np.int64), many)
+    low = np.where(number == 0, 0.0, np.exp2(number - 1.0))
+    strip = T.mix64(elements[element] + number.astype(np.uint64) * _UNIT)
+    return element, strip, low, np.maximum(low, 1.0)
+
+
+def _throw(elements: np.ndarray, weights: np.ndarray, first: np.ndarray, k: int, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(earliest rank, its dart) for every document and coordinate; rank inf where no dart fell.
 
     ``reach[d]`` is the rank up to which document d looks.
     """
     n = len(first) - 1
-    doc = T.doc_of(first)
-    limit = reach[doc]
-    rank = np.zeros(len(items))
-    alive = np.arange(len(items))
+    element, strip, low, width = _strips(elements, weights)
+    doc = T.doc_of(first)[element]
+    limit, weight = reach[doc], weights[element]
+    rank = np.zeros(len(strip))
+    alive = np.arange(len(strip))
     best_rank = np.full(n * k, np.inf)
     best_dart = np.zeros(n * k, np.uint64)
     arrival = 0
     while len(alive):
         arrival += 1
-        dart = T.mix64(items[alive] + np.uint64(arrival * 0xA24BAED4963EE407 & _MASK))
-        rank[alive] -= np.log(_uniform(dart))  # gaps of a Poisson process are exponential
+        dart = T.mix64(strip[alive] + np.uint64(arrival * 0xA24BAED4963EE407 & _MASK))
+        rank[alive] -= np.log(_uniform(dart)) / width[alive]  # gaps of a Poisson process are exponential
         hit = rank[alive] < limit[alive]
         alive, dart = alive[hit], dart[hit]
-        cell = doc[alive] * k + (T.mix64(dart ^ _UNIT) % np.uint64(k)).astype(np.int64)
-        found = rank[alive]
+        height = low[alive] + _uniform(T.mix64(dart + _UNIT)) * width[alive]
+        under = height < weight[alive]
+        own, dart = alive[under], dart[under]
+        cell = doc[own] * k + (T.mix64(dart ^ _UNIT) % np.uint64(k)).astype(np.int64)
+        found = rank[own]
         np.minimum.at(best_rank, cell, found)
         win = best_rank[cell] == found
         best_dart[cell[win]] = dart[win]
     return best_rank.reshape(n, k), best_dart.reshape(n, k)
 
 
-def signatures(items: np.ndarray, first: np.ndarray, k: int = BANDS * ROWS) -> np.ndarray:
-    """(documents, k) signature; a document without items has zeros."""
+def signatures(elements: np.ndarray, first: np.ndarray, k: int = BANDS * ROWS, weights: np.ndarray | None = None) -> np.ndarray:
+    """(documents, k) signature; a document without elements has zeros.
+
+    ``weights`` are positive numbers, 1 if not given.  Two documents agree in
+    a coordinate with the probability of their weighted Jaccard similarity.
+    """
+    weights = np.ones(len(elements)) if weights is None else weights
     counts = np.diff(first)
+    total = np.diff(np.concatenate([[0.0], np.cumsum(weights)])[first])
     out = np.zeros((len(counts), k), np.uint64)
     todo = np.flatnonzero(counts)
     spread = k * np.log(k) + 2 * k
     while len(todo):
-        own = items[T.ragged(first[todo], counts[todo])]
+        at = T.ragged(first[todo], counts[todo])
         own_first = np.concatenate([[0], np.cumsum(counts[todo])])
-        rank, dart = _throw(own, own_first, k, spread / counts[todo])
+        rank, dart = _throw(elements[at], weights[at], own_first, k, spread / total[todo])
         full = np.isfinite(rank).all(axis=1)
         out[todo[full]] = dart[full]
         todo, spread = todo[~full], 2 * spread
@@ -165,7 +207,8 @@ def signed(docs: DataFrame) -> DataFrame:
                 start, end, first = T.word_spans(own, own_offsets)
                 words = T.span_hashes(own, start, end)
                 k1, k2 = content_keys(words, first)
-                bands = band_keys(signatures(*unit_items(words, first)))
+                shingles, weights, shingle_first = weighted_shingles(words, first)
+                bands = band_keys(signatures(shingles, shingle_first, weights=weights))
                 ends = np.concatenate([[0], np.cumsum(np.where(np.diff(first) > 0, BANDS, 0))])
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(bands[np.diff(first) > 0].ravel()))
                 yield pa.RecordBatch.from_arrays(
