@@ -90,11 +90,10 @@ def weighted_shingles(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray,
     shingles, first = T.shingle_hashes(words, first, SHINGLE)
     doc = T.doc_of(first)
     order, begin = _grouped(shingles, doc, len(first))
-    place = order[begin]  # where each occurs first
-    by_place = np.argsort(place)
-    place, weight = place[by_place], np.diff(np.append(begin, len(order)))[by_place]
-    counts = np.bincount(doc[place], minlength=len(first) - 1)
-    return shingles[place], weight.astype(np.float64), np.concatenate([[0], np.cumsum(counts)])
+    weight = np.zeros(len(order))
+    weight[order[begin]] = np.diff(np.append(begin, len(order)))  # where each occurs first
+    some = weight > 0
+    return shingles[some], weight[some], np.concatenate([[0], np.cumsum(some)])[first]
 
 
 def _uniform(x: np.ndarray) -> np.ndarray:
@@ -122,6 +121,8 @@ def _throw(elements: np.ndarray, weights: np.ndarray, first: np.ndarray, k: int,
     element, strip, low, width = _strips(elements, weights)
     doc = T.doc_of(first)[element]
     limit, weight = reach[doc], weights[element]
+    cut = weight < low + width  # the weight ends within the strip
+    wide = bool((width > 1).any())
     rank = np.zeros(len(strip))
     alive = np.arange(len(strip))
     best_rank = np.full(n * k, np.inf)
@@ -130,12 +131,15 @@ def _throw(elements: np.ndarray, weights: np.ndarray, first: np.ndarray, k: int,
     while len(alive):
         arrival += 1
         dart = T.mix64(strip[alive] + np.uint64(arrival * 0xA24BAED4963EE407 & _MASK))
-        rank[alive] -= np.log(_uniform(dart)) / width[alive]  # gaps of a Poisson process are exponential
+        gap = np.log(_uniform(dart))  # gaps of a Poisson process are exponential
+        rank[alive] -= gap / width[alive] if wide else gap
         hit = rank[alive] < limit[alive]
         alive, dart = alive[hit], dart[hit]
-        height = low[alive] + _uniform(T.mix64(dart + _UNIT)) * width[alive]
-        under = height < weight[alive]
-        own, dart = alive[under], dart[under]
+        own = alive
+        if len(at := np.flatnonzero(cut[alive])):
+            part = alive[at]
+            above = low[part] + _uniform(T.mix64(dart[at] + _UNIT)) * width[part] >= weight[part]
+            own, dart = np.delete(alive, at[above]), np.delete(dart, at[above])
         cell = doc[own] * k + (T.mix64(dart ^ _UNIT) % np.uint64(k)).astype(np.int64)
         found = rank[own]
         np.minimum.at(best_rank, cell, found)
