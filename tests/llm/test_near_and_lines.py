@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from tripstats.llm import dartminhash as D
 from tripstats.llm import graph, linededup, queries
-from tripstats.llm import text as T
 
 from . import brute
 from .conftest import document, make_words
@@ -87,54 +86,6 @@ def test_signature_agreement_estimates_weighted_jaccard():
     assert (D.signatures(items[:3], np.array([0, 0, 3]), 40)[0] == 0).all()
 
 
-@pytest.mark.parametrize("real", [False, True])
-def test_signature_agreement_estimates_similarity_of_weights(real):
-    rng = np.random.default_rng(2)
-    elements = rng.integers(0, 2**63, 300, dtype=np.int64).view(np.uint64)
-    for spread in (0.1, 0.6, 2.0):
-        a = rng.lognormal(1, 1.5, 300)
-        b = a * rng.lognormal(0, spread, 300)
-        if not real:
-            a, b = np.ceil(a), np.ceil(b)
-        want = np.minimum(a, b).sum() / np.maximum(a, b).sum()
-        sig = D.signatures(np.tile(elements, 2), np.array([0, 300, 600]), 4000, np.concatenate([a, b]))
-        assert abs((sig[0] == sig[1]).mean() - want) < 0.04
-
-
-def test_weight_one_and_no_weights_are_the_same():
-    rng = np.random.default_rng(3)
-    elements, first = rng.integers(0, 2**63, 500, dtype=np.int64).view(np.uint64), np.array([0, 200, 200, 500])
-    assert (D.signatures(elements, first) == D.signatures(elements, first, weights=np.ones(500))).all()
-
-
-def test_strips_cover_the_weight():
-    weights = np.array([0.3, 1, 1.5, 2, 3, 4, 5, 8, 9, 2.0**30, 2.0**30 + 1])
-    element, _, low, width = D._strips(np.arange(len(weights), dtype=np.uint64), weights)
-    top = np.zeros(len(weights))
-    np.maximum.at(top, element, low + width)
-    assert (top >= weights).all() and (top <= np.maximum(1, 2 * weights)).all()
-    assert np.bincount(element).tolist() == [1, 1, 2, 2, 3, 3, 4, 4, 5, 31, 32]
-
-
-def test_cost_does_not_follow_the_weight():
-    """A line repeated two thousand million times costs what a short one does."""
-    elements, first = np.arange(1, 41, dtype=np.uint64), np.array([0, 20, 40])
-    weights = np.tile(np.r_[2e9, np.ones(19)], 2)
-    weights[20] = 1e9
-    sig = D.signatures(T.mix64(np.tile(elements[:20], 2)), first, 500, weights)
-    assert abs((sig[0] == sig[1]).mean() - 0.5) < 0.1
-
-
-def test_weighted_shingles_count_occurrences():
-    text = b"a b c d e a b c d e x"
-    words = [hash(w) & (2**63 - 1) for w in text.split()]
-    both = np.array(words + words[:3], np.uint64)
-    shingles, weights, first = D.weighted_shingles(both, np.array([0, 11, 11, 14]))
-    assert first.tolist() == [0, 6, 6, 7] and weights.tolist() == [2, 1, 1, 1, 1, 1, 1]
-    units, unit_first = D.unit_items(both, np.array([0, 11, 11, 14]))
-    assert len(units) == 8 and len(set(units.tolist())) == 8 and unit_first.tolist() == [0, 7, 7, 8]
-
-
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 200), (200, 150), (5, 5)]
     found = {r.id: r.label for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
