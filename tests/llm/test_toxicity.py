@@ -169,3 +169,84 @@ def test_step_follows_the_numeric_gradient():
     for row in (ids[0, 0], ids[5, 0], ids[5, 2]):
         for dim in (0, 3):
             check(before.embedding, (row, dim), used(before.embedding[row, dim], after.embedding[row, dim]))
+
+
+def test_learns_from_the_ends_of_long_texts(spark):
+    filler = "plain words of a long text " * 8000
+    texts = [(i, f"{filler} {'dolt' if i % 2 else 'friend'}", "en") for i in range(40)]
+    assert all(len(t) > 200_000 for _, t, _ in texts)
+    docs = spark.createDataFrame([*texts, (1001, "dolt", "en"), (1000, "friend", "en")], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(40)], LABELS)
+    model = X.fit(docs, labels, X.held_out_fold(F.col("doc_id"), 4, 2))
+    scores = {r.doc_id: r.score for r in X.score_frame(docs.where("doc_id >= 1000"), model).collect()}
+    assert scores[1001] > scores[1000] + 0.3
+
+
+def many_rows(spark, n=6800):
+    """More rows than a sample of 6000; a third word tells every label."""
+    texts = [(i, f"words {'dolt' if i % 2 else 'friend'}{i % 40} others {i}", ("en", "de", None)[i % 3]) for i in range(n)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string").repartition(3)
+    return docs, spark.createDataFrame([(i, 1, i % 2) for i in range(n)], LABELS)
+
+
+def test_every_labelled_row_counts(spark):
+    docs, labels = many_rows(spark)
+    held = X.held_out_fold(F.col("doc_id"), 4, 2)
+    rows, in_shard, share = X.labelled_rows(docs, labels, held, shard_rows=1000)
+    want = [r for r in docs.collect() if zlib.crc32(str(r.doc_id).encode()) % 4 != 2]
+    got = rows.collect()
+    assert sorted((r.text, r.toxic) for r in got) == sorted((r.text, r.doc_id % 2) for r in want)
+    assert in_shard <= 1000 and share == pytest.approx(np.mean([r.doc_id % 2 for r in want]))
+    ids, first = X.word_features(*T.string_buffer(pa.array([r.text for r in got])))
+    plain = np.zeros((2, X.FEATURES * X.BUCKETS), np.int64)
+    for d, r in enumerate(got):
+        plain[r.toxic, list(set(ids[first[d] : first[d + 1]].ravel().tolist()))] += 1
+    assert (X._bucket_hits(rows) == plain).all()
+
+
+def test_a_round_averages_the_passes_of_all_shards(spark):
+    """Against the same passes made one after the other, for one shard and for several."""
+    docs, labels = many_rows(spark, 400)
+    for shard_rows in (1000, 100):
+        rows, _, _ = X.labelled_rows(docs, labels, F.lit(False), shard_rows)
+        rows = rows.persist()
+        start = X._start_from(X._bucket_hits(rows), [200, 200], np.random.default_rng(1))
+        shards = [p for p in rows.rdd.glom().collect() if p]
+        assert sum(len(p) for p in shards) == 400 and (len(shards) > 1) == (shard_rows == 100)
+        own = []
+        for part in shards:
+            model, memory = X.copy.deepcopy((start, X._memory_of(start)))
+            ids, first = X.word_features(*T.string_buffer(pa.array([r.text for r in part])))
+            keys = list(X._pass(model, memory, ids, first, np.array([r.toxic for r in part]), np.random.default_rng([X.SEED, 0]), X.BATCH, X.RATE))
+            own.append((len(part), set(np.concatenate(keys).tolist()), model, memory))
+        model, memory = X.copy.deepcopy(start), X._memory_of(start)
+        X._round(rows, model, memory, 0)
+        rows.unpersist()
+        weights = [n for n, *_ in own]
+        assert model.intercept == pytest.approx(np.average([m.intercept for _, _, m, _ in own], weights=weights), abs=1e-5)
+        assert np.allclose(memory.top, np.average([m.top for *_, m in own], axis=0, weights=weights), atol=1e-5)
+        for i in range(len(X.WIDTHS)):
+            assert np.allclose(model.filters[i], np.average([m.filters[i] for _, _, m, _ in own], axis=0, weights=weights), atol=1e-5)
+        changed = set().union(*(k for _, k, *_ in own))
+        for key in sorted(changed)[::7]:
+            mine = [(n, m.embedding[key]) for n, k, m, _ in own if key in k]
+            assert np.allclose(model.embedding[key], np.average([e for _, e in mine], axis=0, weights=[n for n, _ in mine]), atol=1e-5)
+        rest = np.ones(len(start.embedding), bool)
+        rest[list(changed)] = False
+        assert (model.embedding[rest] == start.embedding[rest]).all()
+
+
+def test_thresholds_are_those_of_all_rows(spark):
+    docs, labels = many_rows(spark, 900)
+    labels = labels.withColumn("toxic", F.when(F.col("doc_id") % 11 == 0, 1 - F.col("toxic")).otherwise(F.col("toxic")).cast("int"))
+    rows, _, _ = X.labelled_rows(docs, labels, F.lit(False), shard_rows=200)
+    got = rows.collect()
+    ids, first = X.word_features(*T.string_buffer(pa.array([r.text for r in got])))
+    toxic, langs = np.array([r.toxic for r in got]), np.array([r.lang for r in got])
+    model = X.train(ids, first, toxic, epochs=1)
+    scores = np.round(X.score(model, ids, first), X.SCORE_DIGITS)
+    found = X._thresholds(rows, model)
+    assert set(found) == {None, "", "de", "en"}
+    for lang, threshold in found.items():
+        own = np.full(len(got), True) if lang is None else langs == lang
+        assert threshold == pytest.approx(X.best_threshold(scores[own], toxic[own]), abs=2e-4)
