@@ -3,11 +3,13 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tripstats.llm import packing as K
+from tripstats.llm import text as T
 from tripstats.llm.queries import vocabulary
 from tripstats.llm.shared import stored
 
@@ -129,3 +131,21 @@ def test_sequences_hold_the_ids_of_their_pieces(edge_docs, small_docs, tokenizer
         for r in pieces.orderBy("sequence_id", "offset").collect():
             want.setdefault(r.sequence_id, []).extend(ids[r.doc_id, r.text_key][r.start : r.start + r.length])
         assert found == want
+
+
+def test_learning_words_takes_memory_by_blocks():
+    """New words are encoded a block at a time: beside the arrays that stay, no list of all their ids is held."""
+    import tracemalloc
+
+    encoder = K.WordTokenizer(vocabulary("word_bpe_49k.json"))
+    words = [f"{i * 7919 % 1000003:06d}{'xyz'[i % 3]}q" for i in range(40_000)]
+    raw, offsets = T.string_buffer(pa.array([" ".join(words)]))
+    encoder.encode(raw[:100], np.array([0, 100]), 2)
+    encoder.clear()
+    tracemalloc.start()
+    ids, first = encoder.encode(raw, offsets, 2)
+    held = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert ids.tolist() == [*encoder.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, 2]
+    print("peak", held, flush=True)
+    assert held < 17 << 20

@@ -59,3 +59,26 @@ def test_span_hash_does_not_depend_on_slices(monkeypatch):
     whole = T.span_hashes(raw, start, end)
     monkeypatch.setattr(T, "SLICE_BYTES", 3)
     assert (T.span_hashes(raw, start, end) == whole).all()
+
+
+def test_freed_memory_goes_back_between_batches():
+    import psutil
+    import pytest
+
+    if T._trim() is None:
+        pytest.skip("another C library")
+    batches = [pa.RecordBatch.from_arrays([pa.array([i])], names=["i"]) for i in range(3)]
+    seen, held, pins = [], [], []
+    me = psutil.Process()
+    for batch in T.tidied(iter(batches)):
+        if seen:
+            held.append(me.memory_info().rss)
+        seen.append(batch)
+        small = []
+        for _ in range(2500):  # below the size that malloc maps apart; what stays in between keeps the heap from shrinking by itself
+            small.append(np.ones(60_000, np.uint8))
+            pins.append(np.ones(3_000, np.uint8))
+        full = me.memory_info().rss
+        del small
+    assert [b.column(0).to_pylist() for b in seen] == [[0], [1], [2]]
+    assert full - me.memory_info().rss > 100 << 20

@@ -158,7 +158,7 @@ def signed(docs: DataFrame) -> DataFrame:
     """(doc_id, text key, content keys, band keys) of every row; a narrow map."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in T.tidied(batches):
             raw, offsets = T.string_buffer(batch.column(1))
             for a, b in T.slices(offsets):
                 own, own_offsets = raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
@@ -181,7 +181,7 @@ def _item_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(id, items) of the wanted contents: their items, sorted, as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in T.tidied(batches):
             raw, offsets = T.string_buffer(batch.column(1))
             for a, b in T.slices(offsets):
                 own, own_offsets = raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
@@ -203,7 +203,7 @@ def similarities(pairs: DataFrame, items: DataFrame) -> DataFrame:
     """``pairs`` (a, b) with ``s``, their exact weighted Jaccard similarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in T.tidied(batches):
             out = []
             for x, y in zip(batch.column(2), batch.column(3)):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))

@@ -68,7 +68,7 @@ def lines_frame(docs: DataFrame) -> DataFrame:
     """(h1, h2, doc_id, text_key, line) of every line with a long enough key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in T.tidied(batches):
             raw, offsets = T.string_buffer(batch.column(2))
             for a, b in T.slices(offsets):
                 doc, number, h1, h2 = line_keys(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
@@ -119,7 +119,7 @@ def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n_docs = 1 + np.count_nonzero(doc[1:] != doc[:-1])
         yield _out(2, h1[:1], h2[:1], doc[:1], doc[:1] == _NULL_ID, key[:1], line[:1], np.array([n_docs]), doc[-1:])
 
-    for batch in batches:
+    for batch in T.tidied(batches):
         if batch.num_rows == 0:
             continue
         doc = batch.column(2).fill_null(int(_NULL_ID)).to_numpy(zero_copy_only=False)
@@ -194,7 +194,7 @@ def keep_bitmaps(docs: DataFrame) -> DataFrame:
     dropped = marked_lines(docs).groupBy("doc_id", "text_key").agg(F.collect_set("line").alias("lines"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in T.tidied(batches):
             bitmaps = []
             for lines in batch.column(2):
                 at = lines.values.to_numpy(zero_copy_only=False)
@@ -242,7 +242,7 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     joined = with_bitmaps(docs, keep_bitmaps(docs), keep, free_name(columns, "n_dropped"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in T.tidied(batches):
             keeps = batch.column(batch.num_columns - 1)
             texts = [
                 t if k is None or t is None else kept_lines(t.encode(), k).decode()
@@ -266,7 +266,7 @@ def line_digests(docs: DataFrame) -> DataFrame:
     joined = with_bitmaps(base, keep_bitmaps(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in T.tidied(batches):
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             kept = [hashlib.sha256(kept_lines(t, k)).hexdigest() for t, k in zip(texts, batch.column(2).to_pylist())]
             n_lines = pa.array([t.count(b"\n") + 1 for t in texts], pa.int64())

@@ -37,8 +37,8 @@ MAX_TOKENS = 4096
 MAX_GAP = 20  # at most 0.5 % padding in a pack that is kept as it is
 END_ID = 2
 CACHE_WORDS = 1_000_000  # words whose ids a Python worker remembers
-ENCODE_WORDS = 10_000
-SLICE = 4 << 20
+ENCODE_WORDS = 1_000
+LEARN_WORDS = 50_000
 
 
 class WordTokenizer:
@@ -66,17 +66,18 @@ class WordTokenizer:
     def clear(self) -> None:
         self.hashes = np.zeros(0, np.uint64)  # sorted
         self.starts = np.zeros(0, np.int64)
-        self.counts = np.zeros(0, np.int64)
+        self.counts = np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint32)
 
     def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
-        found: list[list[int]] = []
-        for at in range(0, len(words), ENCODE_WORDS):  # an encoding is much larger than its ids
-            batch = self.tokenizer.encode_batch_fast(words[at : at + ENCODE_WORDS], add_special_tokens=False)
-            found.extend(e.ids for e in batch)
-        counts = np.array([len(x) for x in found], np.int64)
+        found, sizes = [self.ids], []
+        for at in range(0, len(words), ENCODE_WORDS):  # an encoding is much larger than its ids, and so is a list of them
+            batch = [e.ids for e in self.tokenizer.encode_batch_fast(words[at : at + ENCODE_WORDS], add_special_tokens=False)]
+            sizes.append(np.array([len(x) for x in batch], np.int32))
+            found.append(np.fromiter((i for x in batch for i in x), np.uint32, int(sizes[-1].sum())))
+        counts = np.concatenate(sizes)
         starts = len(self.ids) + np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64)
-        self.ids = np.concatenate([self.ids, np.fromiter((i for x in found for i in x), np.uint32, int(counts.sum()))])
+        self.ids = np.concatenate(found)
         hashes = np.concatenate([self.hashes, hashes])
         order = np.argsort(hashes, kind="stable")
         self.hashes = hashes[order]
@@ -96,8 +97,10 @@ class WordTokenizer:
         if not known.all():
             new = np.flatnonzero(~known)
             data = raw.tobytes()
-            words = [data[s:e].decode() for s, e in zip(start[at[new]].tolist(), end[at[new]].tolist())]
-            self._learn(kinds[new], words)
+            for lo in range(0, len(new), LEARN_WORDS):
+                part = new[lo : lo + LEARN_WORDS]
+                self._learn(kinds[part], [data[s:e].decode() for s, e in zip(start[at[part]].tolist(), end[at[part]].tolist())])
+            del data
             place = np.searchsorted(self.hashes, kinds)
         ids = np.append(self.ids, np.uint32(end_id))
         starts = np.insert(self.starts[place][which], first[1:], len(self.ids))
@@ -119,9 +122,9 @@ def token_lengths(docs: DataFrame, vocabulary: str, max_tokens: int = MAX_TOKENS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordTokenizer.of(vocabulary)
-        for batch in batches:
+        for batch in T.tidied(batches):
             raw, offsets = T.string_buffer(batch.column(2))
-            for a, b in T.slices(offsets, SLICE):
+            for a, b in T.slices(offsets):
                 ids, first = encoder.encode(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], end_id)
                 chunks, tails, tail_crcs = [], [], []
                 for lo, hi in zip(first[:-1].tolist(), first[1:].tolist()):
@@ -273,7 +276,7 @@ def _place(ranked: DataFrame, plan: Layout, max_tokens: int, most_chunks: int) -
     chunk_base = stream_base + len(plan.stream_cuts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in T.tidied(batches):
             get = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in ("doc_tokens", "tail", "tail_crc", "rank")}
             tail, rank, n = get["tail"].astype(np.int64), get["rank"].astype(np.int64), batch.num_rows
             row, start, length, crc, sequence, offset = ([] for _ in range(6))
@@ -363,9 +366,9 @@ def sequences(docs: DataFrame, pieces: DataFrame, vocabulary: str, end_id: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordTokenizer.of(vocabulary)
-        for batch in batches:
+        for batch in T.tidied(batches):
             raw, offsets = T.string_buffer(batch.column(2))
-            for a, b in T.slices(offsets, SLICE):
+            for a, b in T.slices(offsets):
                 ids, first = encoder.encode(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], end_id)
                 cuts = batch.column(3).slice(a, b - a)
                 flat = cuts.flatten()
@@ -388,9 +391,9 @@ def _cut_crcs(cut: DataFrame, docs: DataFrame, vocabulary: str, end_id: int) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordTokenizer.of(vocabulary)
-        for batch in batches:
+        for batch in T.tidied(batches):
             raw, offsets = T.string_buffer(batch.column(2))
-            for a, b in T.slices(offsets, SLICE):
+            for a, b in T.slices(offsets):
                 ids, first = encoder.encode(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], end_id)
                 part, rows = batch.slice(a, b - a), []
                 for doc, key, cuts, at in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(3).to_pylist(), first.tolist()):

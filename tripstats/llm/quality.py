@@ -159,7 +159,7 @@ def features_frame(docs: DataFrame) -> DataFrame:
     """(doc_id, counts, pattern) of every document; a narrow map."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in T.tidied(batches):
             raw, offsets = T.string_buffer(batch.column(1))
             for a, b in T.slices(offsets):
                 f = features(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
@@ -255,7 +255,7 @@ def keep_good(docs: DataFrame, keep_at: float = KEEP_AT) -> DataFrame:
     pattern, words, failed = (free_name(columns, n) for n in ("pattern", "n_words", "base_failed"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in T.tidied(batches):
             raw, offsets = T.string_buffer(batch.column(at))
             for a, b in T.slices(offsets):
                 f = features(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])

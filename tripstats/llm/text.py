@@ -8,7 +8,9 @@ plus a few bytes per byte of the longest single document.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +28,29 @@ _WINDOW_BASE = 0xD6E8FEB86659FD93
 _WINDOW_INVERSE = pow(_WINDOW_BASE, -1, 1 << 64)
 
 
+@cache
+def _trim():
+    """glibc's call that gives freed memory back to the system; None with another C library."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):
+        return None
+
+
+def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; what was freed while one was worked on goes back to the system before the next.
+
+    A Python worker outlives its task, so what its allocators keep would add to
+    all later stages of a job.
+    """
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+        if _trim():
+            _trim()(0)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (multiply-xorshift), element by element."""
     x = x.astype(np.uint64, copy=True)

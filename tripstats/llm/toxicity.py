@@ -372,7 +372,7 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, held_out: Column, shard_ro
 
 def _features_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]]:
     """(features, words before each text, labels, languages) of slices of a partition of :func:`labelled_rows`."""
-    for batch in batches:
+    for batch in T.tidied(batches):
         raw, offsets = T.string_buffer(batch.column(2))
         labels = batch.column(0).to_numpy(zero_copy_only=False)
         for a, b in T.slices(offsets):
@@ -495,7 +495,7 @@ def score_frame(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = shared.value
-        for batch in batches:
+        for batch in T.tidied(batches):
             raw, offsets = T.string_buffer(batch.column(2))
             for a, b in T.slices(offsets):
                 ids, first = word_features(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
